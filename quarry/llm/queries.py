@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import langid
+from quarry.llm import chat, langid, neardup, packing, quality, substring
 
 #: Labelled rows that the language model is fitted on, at most, for each language.
 LANGID_ROWS = 400
@@ -24,8 +24,40 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(chat.injected(), rows.schema)
+    return chat.digests(chat.format_conversations(rows.unionByName(extra), tokenizer_path()))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "perplexity", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id}
+    found = [op1_language_id, op2_chat_format, op3_substring_dedup, op5_packing, op7_near_dedup, op9_quality]
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
