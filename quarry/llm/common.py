@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text handled at once in a Python worker; documents are never cut, so one long document may exceed it.
@@ -110,16 +110,12 @@ def numbered(df: DataFrame, group: list[str], order: list[Column], out: str, buc
     """Adds `out`: 0, 1, 2, ... without gaps within `group`, in the order of (first element of `order`, hash bucket,
     rest), where the first element is a small integer. Each window covers one bucket of one group, so no task holds a
     group; what is collected in between is one count per group and bucket."""
-    from pyspark.sql import Window
-
     first, *rest = order
     keyed = df.withColumn("_b", F.pmod(F.xxhash64(*rest), F.lit(buckets)).cast("int")).withColumn("_f", first)
     sizes = keyed.groupBy(*group, "_f", "_b").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*group, "_f", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(Window.partitionBy(*group, "_f", "_b").orderBy(*rest)) - 1
-    ranked = keyed.withColumn("_r", rank)
-    on = [ranked[c].eqNullSafe(starts[c]) for c in (*group, "_f", "_b")]
-    joined = ranked.join(starts, on, "inner")
-    keep = [ranked[c] for c in df.columns]
-    return joined.select(*keep, (ranked["_r"] + starts["_start"]).cast("long").alias(out))
+    by = [*group, "_f", "_b"]
+    starts = sizes.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(by)], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    ranked = keyed.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*rest)) - 1)
+    joined = ranked.join(starts, [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(by)])
+    return joined.select(*df.columns, (F.col("_r") + F.col("_start")).cast("long").alias(out))
