@@ -7,11 +7,12 @@ at least `MATCHES` coordinates meet under at least one of the first COORDINATES
 (prefix); collisions are then counted on the full signatures, leaving off once the rest cannot reach the threshold
 (skip), and pairs above it are confirmed on the full sets.
 
-Postings hold up to a third of all classes, so they are never paired off. In a round, each posting whose members are not
-yet known to be connected names up to `hubs` hubs and pairs them with its members outside the hub's component;
-confirmed pairs merge components; a hub that has met all members leaves the posting. The rounds go on until every
-posting is connected or spent, so no link that a posting holds is passed over, and a posting of n near copies costs
-about n pairs rather than n squared.
+Postings hold up to a third of all classes, so their pairs are never written out. First a star: each class is paired
+with the smallest class it shares a posting with, and the confirmed pairs give components; a posting of near copies is
+then connected at the cost of one pair per member. Postings that still hold several components are compared in blocks
+of bounded size: a task holds two blocks, counts common shingles of classes of different components through an inverted
+index over the full sets, and returns a spanning forest of the links it finds, so what comes out grows with the members
+of a posting and not with their pairs, and no link that a posting holds is passed over.
 """
 
 from __future__ import annotations
@@ -20,17 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from quarry.llm.common import WordHasher, dropped, mix, shingles, utf8, written
 
 COORDINATES, ROWS, MATCHES = 32, 4, 2
-#: Agreeing MinHash values, of COORDINATES * ROWS, that a pair must have to be confirmed on full sets: 6 standard
-#: deviations under the mean at the similarity threshold 0.8.
-AGREEING = 75
+#: Agreeing MinHash values, of COORDINATES * ROWS, that a pair must have to be confirmed on full sets in
+#: the star: 5 standard deviations under the mean at the similarity threshold 0.8.
+AGREEING = 80
+#: Classes of a posting that a task compares with as many others at once.
+BLOCK = 256
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RNG = np.random.RandomState(20240229)
 _A = (_RNG.randint(0, 2**31 - 1, COORDINATES * ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
@@ -137,6 +138,69 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _block_links(k: int, percent: int):  # noqa: ANN202
+    """Links between classes of different components in one pair of blocks (x, y) of a posting, as a spanning forest."""
+
+    def run(block: pa.Table) -> pa.Table:
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        comp = block.column("comp").to_numpy()
+        if (comp == comp[0]).all():
+            return none
+        ids, blk, x, y = block.column("id").to_numpy(), block.column("blk").to_numpy(), block.column("x")[0].as_py(), block.column("y")[0].as_py()
+        hasher = WordHasher()
+        sets = [shingle_set(t, k, hasher) for t in utf8(block.column("text").combine_chunks())]
+        size = np.array([len(s) for s in sets], np.int64)
+        of = np.repeat(np.arange(len(sets)), size)
+        shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        by = np.argsort(shingle, kind="stable")
+        holders, begin = of[by], np.searchsorted(shingle[by], np.arange(shingle.max() + 2))
+        ends, own = np.cumsum(size), {}
+        for c in comp.tolist():
+            own.setdefault(c, c)
+
+        def root(c: int) -> int:
+            while own[c] != c:
+                own[c] = own[own[c]]
+                c = own[c]
+            return c
+
+        left, right = [], []
+        for i in range(len(sets)):
+            if x != y and blk[i] != x:
+                continue
+            mine = shingle[ends[i] - size[i] : ends[i]]
+            lens = begin[mine + 1] - begin[mine]
+            stop = np.cumsum(lens)
+            met = holders[np.repeat(begin[mine] - (stop - lens), lens) + np.arange(stop[-1])]
+            common = np.bincount(met, minlength=len(sets))
+            good = (100 * common >= percent * (size + size[i] - common)) & (comp != comp[i])
+            if x != y:
+                good &= blk == y
+            for j in np.flatnonzero(good).tolist():
+                a, b = root(int(comp[i])), root(int(comp[j]))
+                if a != b:
+                    own[max(a, b)] = min(a, b)
+                    left.append(min(ids[i], ids[j]))
+                    right.append(max(ids[i], ids[j]))
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return run
+
+
+def _between(posted: DataFrame, comp: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between components that meet in a posting; posted: (key, id), comp: (id, comp)."""
+    lab = posted.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    mixed = lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    sized = mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    live = written(lab.join(sized, "key"), "nd-live")
+    used = live.select("id").distinct()
+    read = texts.join(used, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    rows = live.join(read, "id").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
+    dealt = rows.select("key", "id", "comp", "blk", "text", other).select("key", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"), "id", "comp", "blk", "text")
+    return dealt.groupBy("key", "x", "y").applyInArrow(_block_links(k, percent), "a long, b long").distinct()
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """id, comp: the smallest id reachable over `edges` (a, b). Alternates large-star and small-star steps, in which a
     vertex hands its neighbours to the smallest one; only minima are gathered per vertex, never lists."""
@@ -159,7 +223,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("comp")).withColumnRenamed("u", "id")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, hubs: int = 64) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for documents (doc_id, text).
 
     Documents link where 100 * |intersection| >= percent * |union| of their k-word shingle sets (words: bytes outside
@@ -168,10 +232,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, hubs: int =
     always link. A row whose doc_id is null stands alone with a null component_id and is kept. Rows that repeat a doc_id share
     its links and component. Other columns are ignored; an empty table gives an empty result.
 
-    Links are found by MinHash: a pair of similarity 0.8 agrees on two or more coordinates, and reaches AGREEING, with
-    probability above 0.99998; confirmation on full sets makes every reported link exact.
+    Links are found by MinHash: a pair of similarity 0.8 meets under a posted coordinate with probability above
+    0.9999999; confirmation on full sets makes every reported link exact.
     """
-    spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col("doc_id").alias("id"), "text")
     sets = written(_classes(rows, k), "nd-sets")
     alike = sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"), F.min_by("sig", "id").alias("sig"))
@@ -180,33 +243,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, hubs: int =
     shared = posted.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("least")).where("c > 1")
     active = written(posted.join(shared.select("key", "least"), "key"), "nd-post")
     texts = rows.where("id IS NOT NULL")
-    comp = spark.createDataFrame([], "id long, comp long")
-    links: DataFrame | None = None
-    first = True
-    while True:
-        if first:  # a star from each posting's smallest member; each member takes only its smallest hub
-            pairs = active.where("id <> least").groupBy(F.col("id").alias("b")).agg(F.min("least").alias("a"))
-        else:
-            lab = active.select("key", "id", "spent").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-            mixed = lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max((~F.col("spent")).cast("int")).alias("open")).where("lo <> hi AND open = 1").select("key", "lo")
-            live = written(lab.join(mixed, "key"), "nd-live")
-            dropped(live, active)
-            if live.isEmpty():
-                break
-            sized = live.groupBy("key", "comp").agg(F.count("*").alias("size"))
-            rank = Window.partitionBy("key").orderBy("size", "id")
-            chosen = written(live.where("NOT spent").join(sized, ["key", "comp"]).withColumn("r", F.row_number().over(rank)).where(F.col("r") <= hubs).select("key", F.col("id").alias("hub"), F.col("comp").alias("hub_comp")), "nd-hubs")
-            met = live.join(chosen, "key").where("comp <> hub_comp")
-            pairs = met.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-        good = written(_confirmed(_agreeing(pairs, reps), texts, k, percent), "nd-links")
-        links = good if links is None else links.union(good)
-        comp = written(components(links), "nd-comp")
-        if first:
-            active = active.select("key", "id", F.lit(False).alias("spent"))
-            first = False
-        else:
-            gone = chosen.select("key", F.col("hub").alias("id"), F.lit(True).alias("met"))
-            active = live.join(gone, ["key", "id"], "left").select("key", "id", (F.col("spent") | F.coalesce("met", F.lit(False))).alias("spent"))
+    # a star from each posting's smallest member; each member takes only its smallest hub
+    pairs = active.where("id <> least").groupBy(F.col("id").alias("b")).agg(F.min("least").alias("a"))
+    links = written(_confirmed(_agreeing(pairs, reps), texts, k, percent), "nd-links")
+    comp = written(components(links), "nd-comp")
+    more = written(_between(active.select("key", "id"), comp, texts, k, percent), "nd-links")
+    if not more.isEmpty():
+        comp = written(components(links.union(more)), "nd-comp")
     label = reps.join(comp, "id", "left").select("n", "h1", "h2", F.coalesce("comp", "id").alias("c"))
     out = sets.join(label, ["n", "h1", "h2"], "left")
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("c")).otherwise(F.col("id"))
