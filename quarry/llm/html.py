@@ -19,13 +19,12 @@ from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import WordHasher, shingles, written
+from quarry.llm.common import WordHasher, shingles, utf8, written
 
 #: Tokens of a long substring; a power of two, as the suffix array doubles its depth.
 LONG = 8
@@ -145,14 +144,14 @@ def _whole(of: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.arange(len(of)) + LONG <= ends[of]
 
 
-def repeated(chunk: pd.DataFrame) -> pd.DataFrame:
+def repeated(chunk: pa.Table) -> pa.Table:
     """host, key, page, pages (1 or 2, for more) of each distinct long substring of a chunk of one host's pages."""
     hasher = WordHasher()
-    stream, of = _stream([(t or "").encode("utf-8", "surrogatepass").split() for t in chunk["outside"]], hasher)
-    ends = np.searchsorted(of, np.arange(len(chunk)), "right") - 1
+    stream, of = _stream([t.split() for t in utf8(chunk.column("outside").combine_chunks())], hasher)
+    ends = np.searchsorted(of, np.arange(chunk.num_rows), "right") - 1
     ok = _whole(of, ends) if len(of) else np.zeros(0, bool)
     if not ok.any():
-        return pd.DataFrame({"host": [], "key": [], "page": [], "pages": []})
+        return pa.table({"host": pa.array([], pa.string()), **{c: pa.array([], pa.int64()) for c in ("key", "page", "pages")}})
     rank = suffix_ranks(stream, LONG)
     order = np.lexsort((of, rank))
     order = order[ok[order]]
@@ -162,7 +161,8 @@ def repeated(chunk: pd.DataFrame) -> pd.DataFrame:
     last = np.append(at[1:], len(order)) - 1
     pages = 1 + (of[order[at]] != of[order[last]]).astype(np.int64)
     keys = _keys(stream)[order[at]].astype(np.int64)
-    return pd.DataFrame({"host": chunk["host"].iloc[0], "key": keys, "page": chunk["row"].to_numpy()[of[order[at]]], "pages": pages})
+    host = pa.array([chunk.column("host")[0].as_py()] * len(keys), pa.string())
+    return pa.table({"host": host, "key": keys, "page": chunk.column("row").to_numpy()[of[order[at]]], "pages": pages})
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def extract(pages: DataFrame) -> DataFrame:
     table = written(base.withColumn("host", host).mapInArrow(parse, schema).withColumn("row", F.monotonically_increasing_id()), "html-blocks")
     sizes = table.groupBy("host").agg(F.count("*").alias("n"))
     dealt = table.select("row", "host", "outside").join(sizes, "host").withColumn("chunk", F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / CHUNK_PAGES)))
-    named = dealt.groupBy("host", "chunk").applyInPandas(repeated, "host string, key long, page long, pages long")
+    named = dealt.groupBy("host", "chunk").applyInArrow(repeated, "host string, key long, page long, pages long")
     shared = named.groupBy("host", "key").agg(F.max("pages").alias("p"), F.min("page").alias("a"), F.max("page").alias("b")).where("p > 1 OR a <> b").select("host", "key")
     open_pages = table.where(F.col("zone") < ARTICLE).select("row", "host", "kept")
 
