@@ -29,7 +29,7 @@ SPACE = 26
 #: Bins per unit of ln(perplexity) in the histograms.
 BINS = 200
 #: Languages a model may have: beyond, the rarest share one model, so its size stays bounded.
-MOST_LANGUAGES = 64
+MOST_LANGUAGES = 16
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 
 
@@ -196,14 +196,15 @@ def _bands(scored: DataFrame, wide: float, least: float) -> dict[str, tuple[floa
     return out
 
 
-def judged(docs: DataFrame, wide: float = 8.0, least: float = 0.25, min_words: int = 50, repeat_percent: int = 50) -> DataFrame:
+def judged(docs: DataFrame, wide: float = 6.0, least: float = 0.05, min_words: int = 50, repeat_percent: int = 50) -> DataFrame:
     """doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, perplexity, base_failed, kept for
     docs (doc_id, text, lang).
 
     base_failed: fewer than `min_words` words, or more than `repeat_percent` % of the words in repeated 3-word windows.
-    kept: not base_failed, and the perplexity per byte within its language's band: median of ln(perplexity) plus and
-    minus `wide` spreads (1.4826 * median absolute deviation), `least` at least. A null language is a language of its
-    own; a null or empty text has all counts 0, a null perplexity, and fails. Repeated rows count as often as they
+    lang: the learned language under which the text has the lowest perplexity, so that a wrong label harms no document.
+    kept: not base_failed, and the perplexity per byte within that language's band: median of ln(perplexity) plus and
+    minus `wide` spreads (1.4826 * median absolute deviation), `least` at least. Rows with a null label teach a model
+    of their own, as do the rarest labels together where there are many; a null or empty text has all counts 0, a null perplexity, and fails. Repeated rows count as often as they
     occur, and get equal results. Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -221,25 +222,25 @@ def judged(docs: DataFrame, wide: float = 8.0, least: float = 0.25, min_words: i
     schema = T.StructType([T.StructField("doc_id", doc_type), *schema.fields[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, dense = shared.value, {}
+        lm = shared.value
+        names = sorted(lm.keys)
+        dense = [lm.dense(lang) for lang in names]
         for batch in batches:
-            found, ppl = [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            found, best, ppl = [], [], []
+            for text in batch.column("text").to_pylist():
                 found.append(rules(text))
                 if not text:
+                    best.append(None)
                     ppl.append(None)
                     continue
-                if lang not in dense:
-                    if len(dense) >= 16:
-                        dense.clear()
-                    dense[lang] = lm.dense(lang)
-                raw, bits = text.encode("utf-8", "surrogatepass"), 0.0
+                raw, bits = text.encode("utf-8", "surrogatepass"), np.zeros(len(names))
                 for i in range(0, len(raw), CHUNK_BYTES):
                     own = grams(raw[max(0, i - ORDER + 1) : i + CHUNK_BYTES])[ORDER - 1 if i else 0 :]
-                    bits += float(dense[lang][own].sum(dtype=np.float64))
-                ppl.append(bits / len(raw) * math.log(2))
+                    bits += [table[own].sum(dtype=np.float64) for table in dense]
+                best.append(names[int(np.argmin(bits))])
+                ppl.append(float(bits.min()) / len(raw) * math.log(2))
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * 5
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *columns, pa.array(ppl, pa.float64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.string()), *columns, pa.array(ppl, pa.float64())], names=schema.names)
 
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     scored = written(rows.mapInArrow(run, schema), "quality").withColumn("base_failed", failed)
