@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from quarry.llm.common import CHUNK_BYTES, utf8, written
 
 ORDER, BITS = 4, 5
+#: 4-grams seen less often back off: a text of noise must not vouch for itself.
+LEAST_COUNT = 3
 SPACE = 26
 #: Bins per unit of ln(perplexity) in the histograms.
 BINS = 200
@@ -119,6 +121,8 @@ def estimate(counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> NgramModel:
     for lang, (gram, n) in counted.items():
         by = np.argsort(gram)
         key, top = gram[by].astype(np.int64), n[by].astype(np.float64)
+        discounts = _discounts(top)
+        key, top = key[top >= LEAST_COUNT], top[top >= LEAST_COUNT]
         level = np.zeros(1 << (BITS * ORDER))
         level[key] = top
         tables = [level]
@@ -127,7 +131,7 @@ def estimate(counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> NgramModel:
         prob = np.full(width, 1 / width)
         for k in range(ORDER - 1, -1, -1):
             c = tables[k].reshape(-1, width)
-            d = _discounts(tables[k])
+            d = discounts if k == 0 else _discounts(tables[k])
             total = c.sum(1, keepdims=True)
             kind = np.minimum(c, 3).astype(np.int64)
             cut = d[kind]
