@@ -67,8 +67,9 @@ def _round(state: DataFrame, shards: int, total: int, turn: int) -> DataFrame:
     free = state.where("piece IS NULL").count()
     votes = state.where("piece IS NOT NULL").groupBy("piece", "shard").agg(F.count("*").alias("n"))
     best = votes.groupBy("piece").agg(F.max_by("shard", F.struct("n", F.xxhash64("piece", "shard"))).alias("target"))
-    wish = state.join(best, "piece", "left").withColumn("target", F.coalesce("target", "shard"))
-    wish = written(wish.select("row", "piece", "shard", "target"), "shard-wish")
+    linked = state.where("piece IS NOT NULL").join(best, "piece").select("row", "piece", "shard", "target")
+    alone = state.where("piece IS NULL").select("row", "piece", "shard", F.col("shard").alias("target"))
+    wish = written(linked.unionByName(alone), "shard-wish")
     asked = {(r["shard"], r["target"]): r["n"] for r in wish.groupBy("shard", "target").agg(F.count("*").alias("n")).collect()}
     load = {s: sum(n for (a, _), n in asked.items() if a == s) for s in range(shards)}
     most = -(-(total + free // 2) // shards)
