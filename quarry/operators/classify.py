@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import rules, scalars
+from quarry.operators.enrich import small
+
+#: Result patterns that a classifier may have.
+MOST_PATTERNS = 10_000
 
 
 def priority_table(spark, order: tuple[str, ...] = rules.PRIORITY) -> DataFrame:  # noqa: ANN001
@@ -14,14 +18,14 @@ def priority_table(spark, order: tuple[str, ...] = rules.PRIORITY) -> DataFrame:
 
 def weighted_scores(detections: DataFrame, factors: DataFrame, qualities: DataFrame, by: str) -> DataFrame:
     """by, type, score: sum over detecting engines of factor(type) * quality(engine). Both tables hold a row per type
-    or engine."""
-    joined = detections.join(F.broadcast(factors), "type").join(F.broadcast(qualities), "engine")
+    or engine, and are broadcast if they prove small."""
+    joined = detections.join(small(factors), "type").join(small(qualities), "engine")
     return joined.groupBy(by, "type").agg(F.sum(F.col("factor") * F.col("quality")).alias("score"))
 
 
 def best_type(scores: DataFrame, ranks: DataFrame, by: str) -> DataFrame:
     """The type of the highest score; on a tie the one of higher priority (lower rank)."""
-    ranked = scores.join(F.broadcast(ranks), "type", "left").withColumn("_r", F.coalesce("rank", F.lit(1 << 30)))
+    ranked = scores.join(small(ranks), "type", "left").withColumn("_r", F.coalesce("rank", F.lit(1 << 30)))
     best = F.max(F.struct("score", (-F.col("_r")).alias("r"), "type"))
     return ranked.groupBy(by).agg(best.alias("b")).select(by, F.col("b.type").alias("type"), F.col("b.score").alias("score"))
 
@@ -35,8 +39,11 @@ def multi_engine(scans: DataFrame, patterns: DataFrame, factors: DataFrame, qual
     """by, type, score, subtypes of (by, engine, result): results become types by the first pattern (in order) they
     match, scores add up, and the best type wins if its score is above the threshold."""
     listed = patterns.select(F.struct("ordinal", "pattern", "type", "subtype").alias("p"))
-    matched = scans.join(F.broadcast(listed), F.rlike("result", F.col("p.pattern")))
-    first = matched.groupBy(by, "engine", "result").agg(F.min("p").alias("p"))
+    if listed.limit(MOST_PATTERNS + 1).count() > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns")
+    texts = scans.select("result").distinct()  # each distinct result meets the patterns once
+    matched = texts.join(F.broadcast(listed), F.rlike("result", F.col("p.pattern"))).groupBy("result").agg(F.min("p").alias("p"))
+    first = scans.select(by, "engine", "result").distinct().join(matched, "result")
     typed = first.select(by, "engine", F.col("p.type").alias("type"), F.array("p.subtype").alias("subtypes"))
     best = best_type(weighted_scores(typed, factors, qualities, by), ranks, by).where(F.col("score") > threshold)
     named = subtype_sets(typed.where(F.get("subtypes", F.lit(0)).isNotNull()), [by, "type"], "subtypes")
@@ -85,7 +92,7 @@ def double_extension(files: DataFrame, name: str, dimension: DataFrame) -> DataF
 
 def priority_merge(verdicts: DataFrame, priorities: DataFrame, by: str, lower_wins: bool = True) -> DataFrame:
     """The verdict (by, source, type) of the best priority; sources without one come last, in the order of `fallback`."""
-    joined = verdicts.join(F.broadcast(priorities), ["source", "type"], "left")
+    joined = verdicts.join(small(priorities), ["source", "type"], "left")
     sign = F.col("priority") if lower_wins else -F.col("priority")
     order = F.struct(sign.isNull().cast("int").alias("a"), sign.alias("b"), F.col("fallback").alias("c"), F.col("type").alias("d"), F.col("source").alias("e"))
     return joined.groupBy(by).agg(F.min(order).alias("o")).select(by, F.col("o.d").alias("type"), F.col("o.e").alias("source"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry import sinks
 from quarry.functions import rules, scalars
-from quarry.operators import classify, dedup, enrich, filters
+from quarry.operators import batches, classify, dedup, enrich, filters
 from quarry.sources import archive, bson, ndjson
 
 #: Newest day first, then the later minute, then the later line.
@@ -79,3 +80,26 @@ def lookup(requests: DataFrame, reports: DataFrame, store: DataFrame, as_of_ms:
     return named.withColumn("expiration", classify.expiry(F.lit(as_of_ms), F.col("classification")))
 
 
+def daily(spark: SparkSession, root: str, target: str, manifest: sinks.Manifest, store: DataFrame, start: str, today: str) -> str | None:
+    """Process the next day that is in the source, settled and not done: curate it, add it to the target (the first
+    write of a sha256 stays), then mark it. Returns the day, or None if there is none. Run again it does nothing twice:
+    a day that was published but not marked adds no row."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    day = F.regexp_extract("path", r"(\d{8})T\d{4}[^/]*$", 1)
+    settled = batches.default_date(F.lit(today).cast("date"))
+    available = listed.select(F.to_date(F.nullif(day, F.lit("")), "yyyyMMdd").alias("date")).where(F.col("date") <= settled)
+    done = manifest.done("daily").select(F.to_date("name", "yyyyMMdd").alias("date"))
+    chosen = batches.next_unprocessed(available, done, start).first()["next_date"]
+    if chosen is None:
+        return None
+    name = chosen.strftime("%Y%m%d")
+    rows = feed_to_curated(spark, f"{root.rstrip('/')}/{name}", store)
+    base = sinks.current(spark, target) if sinks.versions(spark, target) else rows.limit(0)
+    sinks.publish(dedup.insert_ignore(base, rows, "sha256", [F.asc("sha1")]), target)
+    manifest.mark("daily", spark.createDataFrame([(name, 0, None)], "name string, length long, version string"))
+    return name
+
+
+def dry_run(rows: DataFrame, keep) -> DataFrame:  # noqa: ANN001
+    """What a run would keep, counted and not written."""
+    return enrich.keep_rate(rows, keep)

@@ -10,6 +10,7 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
+from quarry import sinks
 from quarry.operators import batches, dedup, filters, funnel
 from quarry.plans import pipelines
 from quarry.sources import archive, bson, ndjson, verdicts
@@ -81,6 +82,15 @@ def test_feed_to_curated(spark, feed):
     assert [(r.sha256[0], r.classification) for r in pipelines.feed_to_curated(spark, feed, store).collect()] == [("f", "malware")]
 
 
+def test_daily_runs_each_settled_day_once(spark, feed, tmp_path):
+    store = spark.createDataFrame([("1" * 40, "malware", "found"), ("2" * 40, "hacktool", "found")], "sha1 string, classification string, status string")
+    manifest, target = sinks.Manifest(spark, str(tmp_path / "done")), str(tmp_path / "target")
+    run = lambda today: pipelines.daily(spark, feed, target, manifest, store, "2024-01-01", today)
+    assert [run("2024-01-03"), run("2024-01-03"), run("2024-01-04"), run("2024-01-09")] == ["20240101", None, "20240102", None]
+    assert sorted((r.sha256[0], r.classification) for r in sinks.current(spark, target).collect()) == [("d", "hacktool"), ("e", "malware"), ("f", "malware")]
+    assert pipelines.dry_run(sinks.current(spark, target), F.col("classification") == "malware").first().kept == 2
+
+
 def cstr(x):
     return x.encode() + b"\0"
 
