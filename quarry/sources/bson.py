@@ -9,14 +9,13 @@ by one to the next framing that holds and are reported as corrupt.
 from __future__ import annotations
 
 import datetime as dt
-import glob
 import json
-import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
 
+from pyarrow import fs as stores
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 LEAST, MOST = 5, 16 << 20
@@ -106,6 +105,21 @@ def _plain(x: Any) -> Any:
     return [_plain(v) for v in x] if isinstance(x, list) else x
 
 
+def _store(path: str) -> tuple[stores.FileSystem, str]:
+    """File system and path of a URI; a plain path is local."""
+    return stores.FileSystem.from_uri(path) if "://" in path or path.startswith("file:/") else (stores.LocalFileSystem(), path)
+
+
+def _files(path: str) -> list[str]:
+    """URIs of the dumps under a folder, or of the one file."""
+    store, at = _store(path)
+    info = store.get_file_info(at)
+    prefix = path[: len(path) - len(at)] if path.endswith(at) else ""
+    if info.type == stores.FileType.Directory:
+        return sorted(prefix + i.path for i in store.get_file_info(stores.FileSelector(at, recursive=True)) if i.path.endswith(".bson"))
+    return [path] if info.type == stores.FileType.File else []
+
+
 def _framed(f: Any, at: int, size: int) -> int:
     """Length of the document at `at`, or 0 if none is framed there."""
     f.seek(at)
@@ -143,8 +157,9 @@ class Split(InputPartition):
 
 def splits(path: str, most: int) -> Iterator[Split]:
     """Runs of whole documents of at least `most` bytes, the last one shorter."""
-    size, start, at = os.path.getsize(path), 0, 0
-    with open(path, "rb") as f:
+    store, name = _store(path)
+    size, start, at = store.get_file_info(name).size, 0, 0
+    with store.open_input_file(name) as f:
         while at < size:
             n = _framed(f, at, size)
             at, n = (at, n) if n else _resumed(f, at + 1, size)
@@ -162,16 +177,15 @@ class BsonReader(DataSourceReader):
         self.most = int(options.get("splitBytes", 64 << 20))
 
     def partitions(self) -> list[InputPartition]:
-        root = self.path.removeprefix("file://")
-        files = sorted(glob.glob(os.path.join(root, "*.bson"))) if os.path.isdir(root) else sorted(glob.glob(root))
-        return [s for f in files for s in splits(f, self.most)] or [Split("", 0, 0)]
+        return [s for f in _files(self.path) for s in splits(f, self.most)] or [Split("", 0, 0)]
 
     def read(self, partition: Split) -> Iterator[tuple]:
         """path, offset, doc (JSON text) of each document; doc is NULL with the length in `corrupt` for bad bytes."""
         if not partition.path:
             return
         at = partition.start
-        with open(partition.path, "rb") as f:
+        store, name = _store(partition.path)
+        with store.open_input_file(name) as f:
             while at < partition.end:
                 n = _framed(f, at, partition.end)
                 if n:
