@@ -29,6 +29,8 @@ from quarry.llm.common import chunks, utf8, without
 UNDETERMINED = "und"
 #: Bound of the broadcast tables.
 MODEL_BYTES = 48 << 20
+#: Bounds of the sample that a model is fitted on.
+MOST_LANGUAGES, MOST_ROWS = 64, 4000
 #: Bytes in one scoring lane; a long text is scored as several lanes that overlap by the order.
 LANE = 1024
 _LETTER = re.compile(r"[^\W\d_]")
@@ -50,12 +52,14 @@ class PpmModel:
 
 
 def sample(docs: DataFrame, rows_per_language: int, text: str = "text", label: str = "lang", key: str = "doc_id") -> list[tuple[str, bytes]]:
-    """At most `rows_per_language` whole labelled texts of each language, chosen by a hash of the key. The thinning by
-    hash happens before the shuffle, so what moves is bounded too."""
+    """At most `rows_per_language` whole labelled texts of each of the `MOST_LANGUAGES` most frequent languages, and
+    `MOST_ROWS` in all, chosen by a hash of the key. The thinning by hash happens before the shuffle, so what moves is
+    bounded too."""
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("l"), F.col(text).alias("t"), F.xxhash64(F.col(key)).alias("h"))
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(MOST_LANGUAGES).collect()}
     if not counts:
         return []
+    rows_per_language = max(1, min(rows_per_language, MOST_ROWS // len(counts)))
     top = 1 << 30
     share = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(min(top, int(top * 2 * rows_per_language / n) + 1)))])
     some = rows.where(F.pmod("h", F.lit(top)) < share[F.col("l")])
