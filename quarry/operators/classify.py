@@ -107,7 +107,7 @@ def customer_override(verdicts: DataFrame, customer: DataFrame, key: str, overri
 
 def expiry(now_ms: Column, classification: Column, ttl_ms: Column | None = None) -> Column:
     """Expiration in epoch milliseconds: the given lifetime, at most the longest; unknown has its own; else the default."""
-    given = F.least(ttl_ms, F.lit(rules.TTL_MOST)) if ttl_ms is not None else F.lit(None).cast("long")
+    given = F.when(ttl_ms.isNotNull(), F.least(ttl_ms, F.lit(rules.TTL_MOST))) if ttl_ms is not None else F.lit(None).cast("long")
     return now_ms + F.coalesce(given, F.when(classification == "unknown", F.lit(rules.TTL_UNKNOWN)), F.lit(rules.TTL_DEFAULT))
 
 
