@@ -383,7 +383,7 @@ def double_extension(spark, sf_dir):
     return classify.double_extension(names, "name", dimension).select("p_partkey", "alert")
 
 
-@query("SELECT event_id, event_type AS type, 'virus,trojan' AS subtypes, CAST(event_id AS DOUBLE) AS score1, 14.35 AS score2, 'NONE' AS product_type, 'null' AS product FROM events")
+@query("SELECT event_id, event_type AS type, 'virus,trojan' AS subtypes, CAST(event_id AS DOUBLE) AS score1, CAST(14.35 AS DOUBLE) AS score2, 'NONE' AS product_type, 'null' AS product FROM events")
 def summary_grammar(spark, sf_dir):
     text = F.concat("event_type", F.lit(".virus.trojan("), F.col("event_id").cast("string"), F.lit(",14.35);NONE.null"))
     s = table(spark, sf_dir, "events").select("event_id", scalars.summary_parts(text).alias("s"))
