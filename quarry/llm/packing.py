@@ -8,7 +8,6 @@ document its place in one stream, and the stream is cut into sequences. Tokens t
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import chunks, written
-from quarry.llm.tokens import Encoder
+from quarry.llm.tokens import encoder
 
 DIMENSIONS, DEPTH = 3, 10
-SIGNS = np.random.RandomState(7).choice([-1.0, 1.0], size=(1 << 16, DIMENSIONS)).astype(np.float32)
+#: Characters of whole texts that are encoded together.
+ENCODE_CHARS = 1 << 20
+SIGNS = np.random.RandomState(7).choice(np.array([-1, 1], np.int8), size=(DIMENSIONS, 1 << 16))
 
 
 def hilbert(points: np.ndarray, depth: int = DEPTH) -> np.ndarray:
@@ -52,14 +53,18 @@ def hilbert(points: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return key
 
 
-def curve_key(ids: np.ndarray) -> int:
-    """Hilbert key of a document's ids: each projected sum, over sqrt(length), is about normal; its quantile is cut into
-    2**DEPTH cells."""
-    if not len(ids):
-        return 0
-    vector = SIGNS[ids & 0xFFFF].sum(0) / math.sqrt(len(ids))
-    cell = [min(int(0.5 * (1 + math.erf(float(v) / math.sqrt(2))) * (1 << DEPTH)), (1 << DEPTH) - 1) for v in vector]
-    return int(hilbert(np.array([cell]))[0])
+def curve_keys(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hilbert key of each document, given all ids one after another: a projected sum over sqrt(length) is about normal,
+    and its quantile (by a logistic curve close to the normal one) is cut into 2**DEPTH cells."""
+    sums = np.zeros((len(counts), DIMENSIONS))
+    some = counts > 0
+    if some.any():
+        begin = (np.cumsum(counts) - counts)[some]
+        for d in range(DIMENSIONS):
+            sums[some, d] = np.add.reduceat(SIGNS[d][ids & np.uint32(0xFFFF)], begin, dtype=np.int64)
+    vector = sums / np.sqrt(np.maximum(counts, 1))[:, None]
+    cells = np.minimum((1 << DEPTH) / (1 + np.exp(-1.702 * np.clip(vector, -30, 30))), (1 << DEPTH) - 1)
+    return hilbert(cells.astype(np.int64))
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -67,14 +72,17 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, doc_tokens long, wide boolean, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = encoder(path)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in chunks(texts):  # type: ignore[arg-type]
-                own = [np.append(x, np.uint32(end_id)) for x in encode(texts[a:b])]
-                wide = [bool(len(x) and x.max() > 0xFFFF) for x in own]
+            for a, b in chunks(texts, ENCODE_CHARS):  # type: ignore[arg-type]
+                flat, counts = encode(texts[a:b])
+                keys = curve_keys(flat, counts)
+                ends = np.cumsum(counts).tolist()
+                own = [np.append(flat[i:j], np.uint32(end_id)) for i, j in zip([0, *ends], ends, strict=False)]
+                wide = [bool(x.max() > 0xFFFF) for x in own]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array([curve_key(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array(wide), pa.array([x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(own, wide, strict=True)], pa.binary())],
+                    [batch.column("doc_id").slice(a, b - a), pa.array(keys), pa.array(counts + 1), pa.array(wide), pa.array([x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(own, wide, strict=True)], pa.binary())],
                     names=["doc_id", "key", "doc_tokens", "wide", "ids"],
                 )
 

@@ -3,16 +3,20 @@
 The splitter reproduces the public byte-level pattern
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 over an array of character classes; BPE works inside each piece, so ids of pieces, taken from the tokenizers library and
-kept in a bounded memory, join to the ids of the text.
+kept in a bounded memory by a 128-bit hash, join to the ids of the text.
 """
 
 from __future__ import annotations
 
+import os
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
+from quarry.llm.common import mix
+
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: The characters of the pattern's white space, and its contractions.
 WHITE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -30,79 +34,173 @@ def classes() -> np.ndarray:
     return out
 
 
-def cuts(text: str) -> np.ndarray:
-    """Start of every piece of the text."""
+def cuts(text: str, begins: np.ndarray) -> np.ndarray:
+    """Start of every piece of texts that are joined to one, each beginning at its place in `begins`."""
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(code)
     kind = classes()[code]
-    edge = np.ones(n, bool)
-    edge[1:] = kind[1:] != kind[:-1]
+    start = np.ones(n, bool)
+    np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start[begins] = True
     white = kind == SPACE
     last = np.zeros(n, bool)  # white space right before something else
-    last[:-1] = white[:-1] & ~white[1:]
-    start = edge.copy()
+    np.logical_and(white[:-1], ~white[1:], out=last[:-1])
+    last[begins[1:] - 1] = False
     start |= last
-    joins = np.flatnonzero(last & (code == 32)) + 1
-    start[joins] = False  # a blank goes with what follows
+    start[np.flatnonzero(last & (code == 32)) + 1] = False  # a blank goes with what follows
     marks = np.flatnonzero((code == 39) & start)
-    for i in marks[(marks + 1 < n)].tolist():
-        if kind[i + 1] != LETTER:
-            continue
-        for c in CONTRACTIONS:
-            if text.startswith(c, i + 1):
-                start[i + 1] = False
-                if i + 1 + len(c) < n:
-                    start[i + 1 + len(c)] = True
-                break
+    marks = marks[marks + 1 < n]
+    if len(marks):
+        own = np.zeros(n, bool)
+        own[begins] = True
+        for i in marks[(kind[marks + 1] == LETTER) & ~own[marks + 1]].tolist():
+            for c in CONTRACTIONS:
+                if text.startswith(c, i + 1):
+                    start[i + 1] = False
+                    if i + 1 + len(c) < n:
+                        start[i + 1 + len(c)] = True
+                    break
     return np.flatnonzero(start)
 
 
+#: Two odd bases of polynomial hashes modulo 2**64; a piece is known by both together.
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+
+#: Characters hashed at once; only a longer piece exceeds it.
+HASH_CHARS = 1 << 18
+
+
+class Powers:
+    """Powers of a base and of its inverse modulo 2**64, as far as needed so far."""
+
+    def __init__(self, base: int) -> None:
+        self.base, self.inverse, self.up, self.down = base, pow(base, -1, 1 << 64), np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def reach(self, n: int) -> None:
+        while len(self.up) < n:
+            k = len(self.up)
+            with np.errstate(over="ignore"):
+                self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, k, 1 << 64))])
+                self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.inverse, k, 1 << 64))])
+
+
+#: Pieces on which a faster merge must agree with the tokenizer before it is used.
+PROBE = (" the", "ing", "É", " 12345", "\n\n", "ß", "'ll", " überraschungsfrei", "xyzzyqwvut", "漢字かな", " \t ", "!!??", "1", "🙂🙃", "Ωmega", " a")
+
+
+def _merger(own, path: str) -> Callable[[str], list[int]]:  # noqa: ANN001
+    """Piece to ids. Byte-level BPE whose ids are in merge order is merged by a library made for that, from the same
+    file; any other vocabulary by the tokenizer."""
+    import json
+
+    import tiktoken
+
+    slow = lambda piece: own.encode(piece, add_special_tokens=False).ids
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    special = {t.content for t in own.get_added_tokens_decoder().values()}
+    try:
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
+        fast = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return fast if all(fast(p) == slow(p) for p in PROBE) else slow
+    except (KeyError, AttributeError, ValueError):
+        return slow
+
+
 class Encoder:
-    """ids of texts, as uint32 arrays. Remembers at most `most` pieces."""
+    """ids of texts, as uint32 arrays. Remembers at most about `most` pieces: past that, those seen again."""
 
     def __init__(self, path: str, most: int = 400_000) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
         from tokenizers import Tokenizer
 
         self.own, self.most = Tokenizer.from_file(path), most
         self.own.encode_special_tokens = True
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def learn(self, pieces: list[str]) -> None:
-        at = len(self.known)
-        ids = [e.ids for e in self.own.encode_batch_fast(pieces, add_special_tokens=False)]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        need, total = at + len(pieces), self.used + int(lens.sum())
-        while len(self.begin) < need:
-            self.begin, self.count = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.count, 2 * len(self.count))
-        while len(self.pool) < total:
-            self.pool = np.resize(self.pool, 2 * len(self.pool))
-        self.pool[self.used : total] = np.concatenate(ids)
-        self.begin[at:need] = self.used + np.cumsum(lens) - lens
-        self.count[at:need] = lens
-        self.used = total
-        self.known.update(zip(pieces, range(at, need), strict=True))
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """One array for each text; texts are split together, at a border no piece can cross."""
-        out = []
-        for text in texts:
-            if not text:
-                out.append(np.zeros(0, np.uint32))
-                continue
-            if len(self.known) > self.most:
-                self.forget()
-            at = cuts(text).tolist()
-            pieces = list(map(text.__getitem__, map(slice, at, [*at[1:], len(text)])))
-            new = list(set(pieces).difference(self.known))
-            if new:
-                self.learn(new)
-            which = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-            n = self.count[which]
-            ends = np.cumsum(n)
-            out.append(self.pool[np.repeat(self.begin[which] - (ends - n), n) + np.arange(ends[-1])])
-        return out
+        self.single = _merger(self.own, path)
+        self.powers = [Powers(b) for b in BASES]
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.begin, self.count, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+        self.pool = np.zeros(0, np.uint32)
+
+    def _hashes(self, code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of each piece, over blocks of whole pieces so that powers and sums stay short."""
+        out = np.zeros((2, len(starts)), np.uint64)
+        i = 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASH_CHARS, "right")))
+            low = int(starts[i])
+            plus = code[low : int(ends[j - 1])].astype(np.uint64) + np.uint64(1)
+            for h, p in enumerate(self.powers):
+                p.reach(len(plus) + 1)
+                with np.errstate(over="ignore"):
+                    total = np.zeros(len(plus) + 1, np.uint64)
+                    np.cumsum(plus * p.up[: len(plus)], out=total[1:])
+                    out[h, i:j] = mix((total[ends[i:j] - low] - total[starts[i:j] - low]) * p.down[starts[i:j] - low])
+            i = j
+        return out[0], out[1]
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key among the known ones, and whether it is there."""
+        if not len(self.key):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        return at, self.key[at] == keys
+
+    def _forget(self) -> None:
+        """Keep the pieces used more often than the median."""
+        keep = self.uses > np.sort(self.uses)[len(self.uses) // 2]
+        self.key, self.check, self.begin, self.count, self.uses = (x[keep] for x in (self.key, self.check, self.begin, self.count, self.uses))
+        ends = np.cumsum(self.count)
+        total = int(ends[-1]) if len(ends) else 0
+        self.pool = self.pool[np.repeat(self.begin - (ends - self.count), self.count) + np.arange(total)]
+        self.begin, self.uses = ends - self.count, np.zeros(len(ends), np.int64)
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
+        ids = list(map(self.single, pieces))
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        begin = len(self.pool) + np.cumsum(count) - count
+        self.pool = np.concatenate([self.pool, np.concatenate(ids).astype(np.uint32)])
+        by = np.argsort(np.concatenate([self.key, keys]), kind="stable")
+        new = (keys, checks, begin, count, np.zeros(len(keys), np.int64))
+        old = (self.key, self.check, self.begin, self.count, self.uses)
+        self.key, self.check, self.begin, self.count, self.uses = (np.concatenate([a, b])[by] for a, b in zip(old, new, strict=True))
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each text has."""
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        begins = (np.cumsum(size) - size)[size > 0]
+        if not len(begins):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        text = "".join(texts)
+        if len(self.key) > self.most:
+            self._forget()
+        starts = cuts(text, begins)
+        ends = np.append(starts[1:], len(text))
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        keys, checks = self._hashes(code, starts, ends)
+        each, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        at, known = self._find(each)
+        if not known.all():
+            new = first[~known]
+            self._learn(each[~known], checks[new], [text[i:j] for i, j in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            at, known = self._find(each)
+        at = at[which]
+        if not known.all() or (self.check[at] != checks).any():  # two pieces with one key, or more pieces than fit
+            ids = [np.array(e.ids, np.uint32) for e in self.own.encode_batch(texts, add_special_tokens=False)]
+            return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
+        self.uses += np.bincount(at, minlength=len(self.key))
+        n = self.count[at]
+        stop = np.cumsum(n)
+        ids = self.pool[np.repeat(self.begin[at] - (stop - n), n) + np.arange(stop[-1])]
+        counts = np.zeros(len(texts), np.int64)
+        counts[size > 0] = np.add.reduceat(n, np.searchsorted(starts, begins))
+        return ids, counts
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One for each worker process, so what it has learned serves its later tasks."""
+    return Encoder(path)
