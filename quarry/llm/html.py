@@ -3,7 +3,7 @@ host finds the boilerplate among the rest.
 
 A page falls into blocks, each in a zone: article, main part, elsewhere, or chrome (menus, headers, footers, sidebars,
 notices, adverts, forms, comments). Scripts, styles and other raw elements give no block. All blocks outside articles
-feed their host's token stream, page after page with separators; the suffix array of the stream, sorted to a depth of
+feed their host's token stream, page after page with separators after each block; the suffix array of the stream, sorted to a depth of
 `LONG` tokens, puts repeated substrings side by side, and those that lie in two or more pages are boilerplate. Blocks of
 an article are never judged by repetition, since articles may share passages; from other blocks, covered tokens go and
 unique runs stay. A page's text is its article blocks, or else those of its main part, or else the remaining ones.
@@ -125,13 +125,20 @@ def suffix_ranks(ids: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def _stream(pages: list[list[bytes]], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of pages with a separator of its own after each, and the page of each token."""
-    parts, of = [], []
-    for i, tokens in enumerate(pages):
-        parts += (hasher(tokens), np.array([i + 1], np.uint64))
-        of.append(np.full(len(tokens) + 1, i))
-    return (np.concatenate(parts), np.concatenate(of)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+def _stream(pages: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token hashes of pages, whose lines are blocks, with a separator of its own after each block; the page of each
+    token; and where its block's separator is."""
+    parts, of, ends, at = [], [], [], 0
+    for i, page in enumerate(pages):
+        for line in page.split(b"\n"):
+            tokens = line.split()
+            at += len(tokens)
+            parts += (hasher(tokens), np.array([at], np.uint64))
+            of.append(np.full(len(tokens) + 1, i))
+            ends.append(np.full(len(tokens) + 1, at))
+            at += 1
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(parts), np.concatenate(of), np.concatenate(ends)) if parts else (none.astype(np.uint64), none, none)
 
 
 def _keys(stream: np.ndarray) -> np.ndarray:
@@ -139,17 +146,11 @@ def _keys(stream: np.ndarray) -> np.ndarray:
     return np.append(shingles(stream, LONG), np.zeros(min(len(stream), LONG - 1), np.uint64))
 
 
-def _whole(of: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Whether the LONG tokens from each position lie in one page."""
-    return np.arange(len(of)) + LONG <= ends[of]
-
-
 def repeated(chunk: pa.Table) -> pa.Table:
     """host, key, page, pages (1 or 2, for more) of each distinct long substring of a chunk of one host's pages."""
     hasher = WordHasher()
-    stream, of = _stream([t.split() for t in utf8(chunk.column("outside").combine_chunks())], hasher)
-    ends = np.searchsorted(of, np.arange(chunk.num_rows), "right") - 1
-    ok = _whole(of, ends) if len(of) else np.zeros(0, bool)
+    stream, of, ends = _stream(utf8(chunk.column("outside").combine_chunks()), hasher)
+    ok = np.arange(len(of)) + LONG <= ends
     if not ok.any():
         return pa.table({"host": pa.array([], pa.string()), **{c: pa.array([], pa.int64()) for c in ("key", "page", "pages")}})
     rank = suffix_ranks(stream, LONG)
@@ -199,9 +200,14 @@ def extract(pages: DataFrame) -> DataFrame:
         hasher = WordHasher()
         for batch in batches:
             for row, host, kept in zip(batch.column("row").to_pylist(), batch.column("host").to_pylist(), batch.column("kept").to_pylist(), strict=True):
-                stream = hasher(" ".join(kept).encode("utf-8", "surrogatepass").split())
-                keys = _keys(stream)[: max(0, len(stream) - LONG + 1)].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([row] * len(keys), pa.int64()), pa.array([host] * len(keys), pa.string()), pa.array(np.arange(len(keys))), pa.array(keys)], names=["row", "host", "at", "key"])
+                at, keys, n = [], [], 0
+                for block in kept:
+                    own = shingles(hasher(block.encode("utf-8", "surrogatepass").split()), LONG)
+                    at.append(np.arange(len(own)) + n)
+                    keys.append(own.astype(np.int64))
+                    n += len(block.split())
+                at, keys = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, keys))
+                yield pa.RecordBatch.from_arrays([pa.array([row] * len(keys), pa.int64()), pa.array([host] * len(keys), pa.string()), pa.array(at), pa.array(keys)], names=["row", "host", "at", "key"])
 
     hit = open_pages.mapInArrow(places, "row long, host string, at long, key long").join(shared, ["host", "key"], "left_semi")
     gone = hit.groupBy("row").agg(F.collect_list("at").alias("gone"))
@@ -219,5 +225,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=out.names)
 
-    whole = table.select("row", "page_id", "url", "kept").join(gone, "row", "left").select("page_id", "url", "kept", "gone").mapInArrow(keep, out)
+    opened = table.where(F.col("zone") < ARTICLE).select("row", "page_id", "url", "kept").join(gone, "row", "left")
+    closed = table.where(F.col("zone") == ARTICLE).select("page_id", "url", "kept", F.lit(None).cast("array<int>").alias("gone"))  # these need no join
+    whole = closed.unionByName(opened.select("page_id", "url", "kept", F.col("gone").cast("array<int>"))).mapInArrow(keep, out)
     return whole.withColumn("n_chars", F.char_length("text").cast("long"))
