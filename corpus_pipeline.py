@@ -26,9 +26,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest doc_id. Rows without doc_id stay."""
-    kept = neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT).where("kept AND doc_id IS NOT NULL").select("doc_id")
-    one = docs.where("doc_id IS NOT NULL").join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    found = common.written(neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT).where("doc_id IS NOT NULL"), "nd-found")
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    twice = found.groupBy(F.col("doc_id").alias("gone")).agg(F.count("*").alias("n")).where("n > 1").select("gone")
+    told = common.marked(docs, "doc_id", gone.union(twice))
+    sure = told.where("NOT _in").select(*docs.columns)
+    rest = told.where("_in").join(gone, F.col("doc_id") == F.col("gone"), "left_anti").dropDuplicates(["doc_id"])
+    return sure.unionByName(rest.select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,6 +56,24 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+#: Bits of a filter over ids; it takes an eighth of that in bytes, whatever it is built from, so it may be broadcast.
+FILTER_BITS = 1 << 26
+
+
+def marked(df: DataFrame, key: str, ids: DataFrame, out: str = "_in") -> DataFrame:
+    """`df` with a boolean `out` that is true wherever `key` is among `ids` (one column), and true by chance elsewhere:
+    a hashed bitmap keeps rows that surely have no partner out of a shuffle. An exact join has to follow. Where ids are
+    so many that the bitmap fills up, it only stops saving. A null key is not among any."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    rows = ids.select(place(F.col(ids.columns[0])).alias("_x")).groupBy(F.bitmap_bucket_number("_x").alias("_bucket"))
+    bits = written(rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_x")).alias("_bits")), "ids")
+    keyed = df.withColumn("_x", place(F.col(key))).withColumn("_p", F.bitmap_bit_position("_x")).withColumn("_k", F.bitmap_bucket_number("_x"))
+    both = keyed.join(F.broadcast(bits), F.col("_k") == F.col("_bucket"), "left")  # FILTER_BITS / 8 bytes at most
+    byte = "cast(conv(hex(substring(_bits, cast(_p div 8 as int) + 1, 1)), 16, 10) as int)"
+    hit = F.expr(f"coalesce((shiftright({byte}, cast(_p % 8 as int)) & 1) = 1, false)") & F.col(key).isNotNull()
+    return both.select(*df.columns, hit.alias(out))
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of whole texts of about `limit` bytes together."""
     start = size = 0

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WordHasher, dropped, mix, shingles, utf8, written
+from quarry.llm.common import WordHasher, dropped, marked, mix, shingles, utf8, written
 
 COORDINATES, ROWS, MATCHES = 32, 4, 2
 #: Agreeing MinHash values, of COORDINATES * ROWS, that a pair must have to be confirmed on full sets in
@@ -119,7 +119,7 @@ def _agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union. Only texts in some pair travel."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = texts.join(used, "id", "left_semi")
+    own = marked(texts, "id", used).where("_in").drop("_in").join(used, "id", "left_semi")
     both = pairs.join(own.toDF("a", "ta"), "a").join(own.toDF("b", "tb"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,14 +139,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
 
 
 def _block_links(k: int, percent: int):  # noqa: ANN202
-    """Links between classes of different components in one pair of blocks (x, y) of a posting, as a spanning forest."""
+    """Pairs of components that have a link in one pair of blocks (x, y) of a posting, as a spanning forest."""
 
     def run(block: pa.Table) -> pa.Table:
         none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         comp = block.column("comp").to_numpy()
         if (comp == comp[0]).all():
             return none
-        ids, blk, x, y = block.column("id").to_numpy(), block.column("blk").to_numpy(), block.column("x")[0].as_py(), block.column("y")[0].as_py()
+        blk, x, y = block.column("blk").to_numpy(), block.column("x")[0].as_py(), block.column("y")[0].as_py()
         hasher = WordHasher()
         sets = [shingle_set(t, k, hasher) for t in utf8(block.column("text").combine_chunks())]
         size = np.array([len(s) for s in sets], np.int64)
@@ -180,21 +180,21 @@ def _block_links(k: int, percent: int):  # noqa: ANN202
                 a, b = root(int(comp[i])), root(int(comp[j]))
                 if a != b:
                     own[max(a, b)] = min(a, b)
-                    left.append(min(ids[i], ids[j]))
-                    right.append(max(ids[i], ids[j]))
+                    left.append(min(comp[i], comp[j]))
+                    right.append(max(comp[i], comp[j]))
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     return run
 
 
 def _between(posted: DataFrame, comp: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links between components that meet in a posting; posted: (key, id), comp: (id, comp)."""
+    """Pairs of components with a link that meet in a posting; posted: (key, id), comp: (id, comp)."""
     lab = posted.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     mixed = lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
     sized = mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     live = written(lab.join(sized, "key"), "nd-live")
     used = live.select("id").distinct()
-    read = texts.join(used, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    read = marked(texts, "id", used).where("_in").drop("_in").join(used, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     rows = live.join(read, "id").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
     dealt = rows.select("key", "id", "comp", "blk", "text", other).select("key", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"), "id", "comp", "blk", "text")
@@ -245,12 +245,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     texts = rows.where("id IS NOT NULL")
     # a star from each posting's smallest member; each member takes only its smallest hub
     pairs = active.where("id <> least").groupBy(F.col("id").alias("b")).agg(F.min("least").alias("a"))
-    links = written(_confirmed(_agreeing(pairs, reps), texts, k, percent), "nd-links")
+    likely = written(_agreeing(pairs, reps), "nd-pairs")
+    links = written(_confirmed(likely, texts, k, percent), "nd-links")
     comp = written(components(links), "nd-comp")
     more = written(_between(active.select("key", "id"), comp, texts, k, percent), "nd-links")
-    if not more.isEmpty():
-        comp = written(components(links.union(more)), "nd-comp")
+    joined = written(components(more), "nd-comp").toDF("c", "to")
     label = reps.join(comp, "id", "left").select("n", "h1", "h2", F.coalesce("comp", "id").alias("c"))
+    label = label.join(joined, "c", "left").select("n", "h1", "h2", F.coalesce("to", "c").alias("c"))
     out = sets.join(label, ["n", "h1", "h2"], "left")
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("c")).otherwise(F.col("id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
