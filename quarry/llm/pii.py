@@ -46,8 +46,10 @@ PATTERNS = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 TYPES = tuple(PATTERNS)
-#: What every entity holds a part of; a text without a match has none, and the long pattern need not run.
-GATE = rf"[0-9@=:]|[A-Fa-f]{{32}}|AKIA|sk-|gh[pousr]_|(?:{_ALL_TITLES})\.? \p{{Lu}}"
+_TITLES = [t for ts in TITLES.values() for t in ts]
+#: What every entity holds a part of; a text without a match has none, and the long pattern need not run. Titles are
+#: told by their first letters and by any of their ends, which is quick and lets no title slip.
+GATE = rf"[0-9@=:]|[{''.join(sorted({t[0] for t in _TITLES}))}](?:{'|'.join(sorted({t[1:] for t in _TITLES}))})\.? \p{{Lu}}|[A-Fa-f]{{32}}|AKIA|sk-|gh[pousr]_"
 
 
 def entities(text: Column) -> Column:
