@@ -8,6 +8,7 @@ spans of trainable texts and the spans of tokens are both sorted; a binary searc
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,10 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.tokens import encoder
+
 BOS, ROLE, TEXT, EOS = "<s>", "[INST]", "[/INST]", "</s>"
 CONTROL = (BOS, ROLE, TEXT, EOS)
 _HIDE = re.compile(r"([<\[])(\\*)(/?s>|/?INST\])")
 _SHOW = re.compile(r"([<\[])\\(\\*)(/?s>|/?INST\])")
+_SPLIT = re.compile(r"(</?s>|\[/?INST\])")
 _TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.DOTALL)
 #: Characters encoded in one call of the tokenizer.
 BATCH_CHARS = 1 << 20
@@ -73,16 +77,62 @@ def masked_text(rendered: str, offsets: np.ndarray, loss: np.ndarray) -> str:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str):  # noqa: ANN201
-    import os
-
+    """The tokenizer, with the control strings as tokens of their own."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import AddedToken, Tokenizer
 
     own = Tokenizer.from_file(path)
-    own.add_special_tokens([AddedToken(x, normalized=False, special=True) for x in CONTROL])
+    own.encode_special_tokens = True
+    own.add_tokens([AddedToken(x, normalized=False) for x in CONTROL])
     return own
 
 
+@lru_cache(maxsize=2)
+def _widths(path: str) -> np.ndarray:
+    """Bytes of each id of a byte-level vocabulary, whose tokens have one character a byte."""
+    vocab = tokenizer(path).get_vocab()
+    out = np.zeros(max(vocab.values()) + 1, np.int64)
+    for token, i in vocab.items():
+        out[i] = len(token)
+    return out
+
+
+def encode(path: str, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """ids and (start, end) character offsets of each rendered conversation, all encoded in one go. Stretches between
+    control strings are joined, so offsets are sums of the ids' byte lengths, told in characters."""
+    controls = {c: tokenizer(path).token_to_id(c) for c in CONTROL}
+    parts = [_SPLIT.split(t) for t in texts]
+    flat = [x for p in parts for x in p]
+    is_control = np.fromiter((x in controls for x in flat), bool, len(flat))
+    chars = np.fromiter(map(len, flat), np.int64, len(flat))
+    plain = [x for x, c in zip(flat, is_control.tolist(), strict=True) if not c]
+    ids, counts = encoder(path)(plain)
+    data = np.frombuffer("".join(plain).encode("utf-8", "surrogatepass"), np.uint8)
+    ends = np.cumsum(_widths(path)[ids])
+    if (int(ends[-1]) if len(ends) else 0) != len(data):  # not a byte-level vocabulary
+        return [(np.array(e.ids, np.uint32), np.array(e.offsets, np.int64).reshape(-1, 2)) for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    letter = np.cumsum((data & 0xC0) != 0x80) - 1  # which character of the joined stretches a byte belongs to
+    begins = letter[ends - _widths(path)[ids]] if len(ids) else ends
+    stops = letter[ends - 1] + 1 if len(ids) else ends
+    tokens = np.ones(len(flat), np.int64)
+    tokens[~is_control] = counts
+    owner = np.repeat(np.arange(len(flat)), tokens)
+    joined = np.cumsum(np.where(is_control, 0, chars)) - np.where(is_control, 0, chars)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    of = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+    place = np.cumsum(chars) - chars - (np.cumsum(size) - size)[of]
+    every, offsets = np.zeros(len(owner), np.uint32), np.zeros((len(owner), 2), np.int64)
+    special = is_control[owner]
+    every[special] = [controls[x] for x, c in zip(flat, is_control.tolist(), strict=True) if c]
+    offsets[special, 0] = place[is_control]
+    offsets[special, 1] = place[is_control] + chars[is_control]
+    every[~special] = ids
+    shift = (place - joined)[owner[~special]]
+    offsets[~special, 0], offsets[~special, 1] = begins + shift, stops + shift
+    cut = np.cumsum(np.bincount(of, tokens, len(texts)).astype(np.int64))[:-1] if len(texts) else []
+    return list(zip(np.split(every, cut), np.split(offsets, cut), strict=True))
+
+
 def format_conversations(rows: DataFrame, path: str, train: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """conv_id, formatted, input_ids, loss_mask, read back as turns [(role, text)], and loss_text, for rows of
     (conv_id, turn, role, text).
@@ -97,7 +147,6 @@ def format_conversations(rows: DataFrame, path: str, train: tuple[str, ...] = ("
     trained = frozenset(train)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(path)
         for batch in batches:
             ids = batch.column("conv_id")
             made = [render([(t["role"] or "", t["text"] or "") for t in turns], trained) for turns in batch.column("turns").to_pylist()]
@@ -108,11 +157,10 @@ def format_conversations(rows: DataFrame, path: str, train: tuple[str, ...] = ("
                     chars += len(made[b][0])
                     b += 1
                 texts, tokens, masks, back, under = [], [], [], [], []
-                for (text, spans), enc in zip(made[a:b], own.encode_batch([x for x, _ in made[a:b]], add_special_tokens=False), strict=True):
-                    offsets = np.array(enc.offsets, np.int64).reshape(-1, 2)
+                for (text, spans), (found, offsets) in zip(made[a:b], encode(path, [x for x, _ in made[a:b]]), strict=True):
                     loss = mask(offsets, spans)
                     texts.append(text)
-                    tokens.append(enc.ids)
+                    tokens.append(found.astype(np.int32))
                     masks.append(loss)
                     back.append([{"role": r, "text": t} for r, t in parse(text)])
                     under.append(masked_text(text, offsets, loss))

@@ -219,6 +219,14 @@ def test_packing_tiles_every_document(spark, odd):
     assert packing.pack(spark.createDataFrame([(None, None), (1, ""), (1, "")], "doc_id long, text string"), queries.tokenizer_path()).count() == 3
 
 
+def test_chat_offsets_equal_the_tokenizer():
+    path, r = queries.tokenizer_path(), random.Random(2)
+    pool = ["a", " the", "É", "漢", "🙂", "\n", "  ", "<s>", "</s>", "[INST]", "[/INST]", "<", "/s>", "'ll", "12", "\xa0", "e\u0301", "<|endoftext|>"]
+    texts = ["", "<s>", "x", *("".join(r.choice(pool) for _ in range(r.randint(0, 30))) for _ in range(200))]
+    for (ids, offsets), want in zip(chat.encode(path, texts), chat.tokenizer(path).encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids.tolist() == want.ids and [tuple(o) for o in offsets.tolist()] == list(want.offsets)
+
+
 def test_chat_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "<s>", "<\\s>", "[\\\\/INST]", "[INST", "INST]", "", None, "é\r\n\x85 🙂 <", "</s", "a\\", "<<s>>", "[[INST]]"]
     rows = [(c, t, role, nasty[(c * 5 + t) % len(nasty)]) for c in range(30) for t, role in enumerate(["system", "user", "assistant", "user", "assistant", None])]
