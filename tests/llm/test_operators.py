@@ -260,6 +260,23 @@ def test_sharding_law_and_links(spark, odd):
     assert sharding.propagate(empty(spark)).count() == 0
 
 
+def test_sharding_keeps_large_groups_together(spark):
+    sizes = {"third": 333, "a": 100, "b": 100, "c": 60, "d": 45}
+    rows = [t for t, n in sizes.items() for _ in range(n)]
+    rows += [f"single {i}" for i in range(1000 - len(rows))]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    out = sharding.propagate(docs).collect()
+    on = {t: len({r.shard for r in out if rows[r.doc_id] == t}) for t in sizes}
+    assert on == {"third": 3, "a": 1, "b": 1, "c": 1, "d": 1}
+    assert {sum(r.shard == s for r in out) for s in range(8)} == {125}
+
+
+def test_sharding_plan_fills_to_capacity():
+    spots, room = sharding.planned([7, 7, 7, 30], {0: 11, 1: 10, 2: 10, 3: 10, 4: 10, 5: 10})
+    assert [len(own) for own in spots] == [1, 1, 1, 3] and sum(n for _, n in spots[3]) == 30
+    assert sum(room.values()) == 61 - 51 and min(room.values()) >= 0
+
+
 def test_surrogates(spark):
     text = "Mail anna.b@mail3.example.com or ANNA.B@mail3.example.com, call +1 (017) 555-7713 or +1 017 555 7713; 10.20.30.44 4111111111111111 token = \"9b0b3c6a43eb78aa99cbd7049c572391524f37a8\"!! Frau Erika Muster, Mr. Smith; 123-45-6789."
     rows = [(1, text), (2, text), (3, None), (4, ""), (5, "no data here 3.1 1999 v4.0."), (6, "Call +1 (017) 555-7713***"), (7, "Herr Smith " + "x" * 50_000 + " 10.20.30.44")]
