@@ -34,15 +34,16 @@ SYLLABLES = {
 }
 _ALL_TITLES = "|".join(t for ts in TITLES.values() for t in ts)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-#: Patterns by type, in the order in which they are tried at a place.
+#: Patterns by type, in the order in which they are tried at a place. What has no length of its own has no upper bound:
+#: possessive quantifiers keep a run linear. A keyed secret may hold dots and pads (JWT), but ends before a final dot.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
-    "secret": r"(?<![0-9A-Za-z])(?:(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])|(?:AKIA[0-9A-Z]{16}|sk-[0-9A-Za-z]{20,64}|gh[pousr]_[0-9A-Za-z]{36})(?![0-9A-Za-z])|(?<=(?i:token|secret|password|passwd|api_key|api-key|apikey)[ ]?[=:][ ]?[\"']?)[0-9A-Za-z_+/-]{8,128})",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
+    "secret": r"(?<![0-9A-Za-z])(?:(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])|(?:AKIA[0-9A-Z]{16}|sk-[0-9A-Za-z]{20,}+|gh[pousr]_[0-9A-Za-z]{36,}+)(?![0-9A-Za-z])|(?<=(?i:token|secret|password|passwd|api_key|api-key|apikey)[ ]?[=:][ ]?[\"']?)(?=[0-9A-Za-z_+/~.=-]{8})[0-9A-Za-z_+/~-]++(?:[0-9A-Za-z_+/~=-]++|\.++(?=[0-9A-Za-z_+/~=-]))*+)",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[.-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "number": r"(?<![\d.,])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})(?!\d)",
-    "name": rf"(?<![\p{{L}}])(?:{_ALL_TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?(?![\p{{L}}])",
+    "name": rf"(?<![\p{{L}}])(?:{_ALL_TITLES})\.? \p{{Lu}}\p{{Ll}}++(?![\p{{L}}])(?: \p{{Lu}}\p{{Ll}}++(?![\p{{L}}]))?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 TYPES = tuple(PATTERNS)
@@ -90,10 +91,10 @@ def _as(ch: Column, n: Column, hexadecimal: Column) -> Column:
 def _like(entity: Column, digest: Column, skip: Column, hexadecimal: Column) -> Column:
     """`entity` with each letter and digit but the first `skip` of them drawn again. Marks between do not count, so
     spellings with different marks get the same draws."""
-    chars = F.split(entity, "")
-    start = F.struct(F.lit(0).alias("i"), F.lit("").alias("s"))
-    step = lambda a, c: F.when(c.rlike(r"[\p{L}\p{N}]"), F.struct((a["i"] + 1).alias("i"), F.concat(a["s"], F.when(a["i"] < skip, c).otherwise(_as(c, _draw(digest, a["i"]), hexadecimal))).alias("s"))).otherwise(F.struct(a["i"].alias("i"), F.concat(a["s"], c).alias("s")))
-    return F.aggregate(chars, start, step, lambda a: a["s"])
+    bare = F.split(F.regexp_replace(entity, r"[^\p{L}\p{N}]", ""), "")
+    drawn = F.transform(bare, lambda c, i: F.when(i < skip, c).otherwise(_as(c, _draw(digest, i), hexadecimal)))
+    marks = F.split(entity, r"[\p{L}\p{N}]", -1)
+    return F.array_join(F.zip_with(marks, F.concat(drawn, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
 
 
 def _luhn(digits: Column) -> Column:

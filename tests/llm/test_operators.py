@@ -296,6 +296,20 @@ def test_surrogates(spark):
     assert made.columns.count("n_entities") == 1 and pii.pseudonymised(empty(spark), "k").count() == 0
 
 
+def test_surrogates_cover_long_entities(spark):
+    r = random.Random(6)
+    run = lambda n, of="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789": "".join(r.choice(of) for _ in range(n))
+    key, jwt, bare, sk, local, label, name = run(300), f"{run(36)}.{run(700)}.{run(43)}", run(20_000, "0123456789abcdef"), "sk-" + run(120), run(90), run(80), run(50, "abcdefghij")
+    texts = [f"token={key} end", f"token: {jwt}. End", f"hash {bare}, end", f"use {sk} end", f"to {local}@{label}.example.com now", f"Mr. B{name} said", "secret = dGhpcyBpcyBhIHNlY3JldA== end", "at " + "a." * 20_000]
+    out = {x.doc_id: x for x in pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    for i, whole in enumerate([key, jwt, bare, sk[3:], local, name, "dGhpcyBpcyBhIHNlY3JldA"]):
+        assert out[i].n_entities == 1, i
+        assert not any(whole[j : j + 12] in out[i].text for j in range(len(whole) - 11)), i
+        assert i == 5 or len(out[i].text) == len(texts[i])
+    assert out[1].text.endswith(". End") and out[1].text.count(".") == 3 and out[6].text.endswith("== end") and label not in out[4].text
+    assert out[7].text == texts[7] and out[7].n_entities == 0
+
+
 def test_surrogates_stay_distinct_in_a_crowded_space(spark):
     rows = [(i, f"at {i // 100 % 10}.{i // 10 % 10}.1.{i % 10} now") for i in range(0, 1000, 2)]
     out = pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
