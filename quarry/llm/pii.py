@@ -5,6 +5,8 @@ from a keyed digest of the entity's canonical form (so spellings of one entity s
 octets of as many digits, a number that passes the Luhn check still does, and titled names get names of the same gender
 and script. All distinct entities of the table are checked together: where two of them share a replacement, or a
 replacement is itself an entity of the table, all but one draw again until every replacement stands for one entity.
+Where `NARROW` draws in an entity's format all collided, that format counts as exhausted: the next draws come from wider
+ones, each attempt one character longer (names: a syllable; IPv4: octets of any length), so the search always ends.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ SYLLABLES = {
     "latin": ("ba", "ber", "do", "dal", "fen", "gar", "hol", "ka", "lin", "mor", "nes", "per", "ros", "sten", "tal", "wen"),
     "cyrillic": ("ба", "бер", "до", "дал", "фен", "гар", "хол", "ка", "лин", "мор", "нес", "пер", "рос", "стен", "тал", "вен"),
 }
+#: Draws in an entity's own format before wider ones are tried.
+NARROW = 16
 _ALL_TITLES = "|".join(t for ts in TITLES.values() for t in ts)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: Patterns by type, in the order in which they are tried at a place. What has no length of its own has no upper bound:
@@ -104,19 +108,20 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
-def _number(entity: Column, digest: Column) -> Column:
-    """Digits drawn again but for the first; the last one set so that a valid Luhn check stays valid."""
+def _number(entity: Column, digest: Column, valid: Column) -> Column:
+    """Digits drawn again but for the first; where `valid`, the last one is set so that the Luhn check is valid."""
     drawn = _like(entity, digest, F.lit(1), F.lit(False))
     bare = lambda x: F.regexp_replace(x, r"\D", "")
     head = F.regexp_extract(drawn, r"(?s)^(.*)\d(\D*)$", 1)
     check = ((10 - _luhn(F.concat(bare(head), F.lit("0"))) % 10) % 10).cast("string")
-    return F.when(_luhn(bare(entity)) % 10 == 0, F.concat(head, check)).otherwise(drawn)
+    return F.when(valid, F.concat(head, check)).otherwise(drawn)
 
 
-def _octets(entity: Column, digest: Column) -> Column:
-    """Octets drawn again among those of as many digits."""
+def _octets(entity: Column, digest: Column, wide: Column) -> Column:
+    """Octets drawn again among those of as many digits, or among all."""
     parts = F.split(entity, r"\.")
-    one = lambda p, i: F.when(F.length(p) == 3, 100 + (_draw(digest, 2 * i) * 256 + _draw(digest, 2 * i + 1)) % 156).when(F.length(p) == 2, 10 + _draw(digest, 2 * i) % 90).otherwise(_draw(digest, 2 * i) % 10)
+    drawn = lambda i: _draw(digest, 2 * i)
+    one = lambda p, i: F.when(wide, drawn(i)).when(F.length(p) == 3, 100 + (drawn(i) * 256 + _draw(digest, 2 * i + 1)) % 156).when(F.length(p) == 2, 10 + drawn(i) % 90).otherwise(drawn(i) % 10)
     return F.array_join(F.transform(parts, lambda p, i: one(p, i).cast("string")), ".")
 
 
@@ -140,22 +145,26 @@ def surrogate(entity: Column, key: str, attempt: Column) -> Column:
     """Replacement of a detected entity."""
     what = kind(entity)
     digest = F.sha2(F.concat_ws("|", F.lit(key), what, attempt.cast("string"), canonical(entity, what)), 512)
+    extra = F.greatest(F.lit(0), attempt - (NARROW - 1)).cast("int")
+    long = F.when(extra > 0, F.concat(entity, F.repeat(F.lit("0"), extra))).otherwise(entity)
     tail = F.regexp_extract(entity, r"(\.[^.]*)$", 1)
-    address = F.concat(_like(F.regexp_replace(entity, r"\.[^.]*$", ""), digest, F.lit(0), F.lit(False)), tail)
+    head = F.concat(F.repeat(F.lit("a"), extra), F.regexp_replace(entity, r"\.[^.]*$", ""))
+    address = F.concat(_like(head, digest, F.lit(0), F.lit(False)), tail)
     country = F.when(entity.startswith("+"), F.length(F.regexp_extract(entity, r"^\+(\d{1,3}?)(?=[ .(-]|\d{7})", 1))).otherwise(F.lit(0))
-    out = F.when(what == "email", address).when(what == "ip", _octets(entity, digest)).when(what == "number", _number(entity, digest))
-    out = out.when(what == "phone", _like(entity, digest, country, F.lit(False))).when(what == "ssn", _like(entity, digest, F.lit(0), F.lit(False)))
-    return out.when(what == "name", _name(entity, key, attempt)).otherwise(_like(entity, digest, F.lit(0), entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")))
+    valid = _luhn(F.regexp_replace(entity, r"\D", "")) % 10 == 0
+    out = F.when(what == "email", address).when(what == "ip", _octets(entity, digest, extra > 0)).when(what == "number", _number(long, digest, valid))
+    out = out.when(what == "phone", _like(long, digest, country, F.lit(False))).when(what == "ssn", _like(long, digest, F.lit(0), F.lit(False)))
+    return out.when(what == "name", _name(entity, key, attempt)).otherwise(_like(long, digest, F.lit(0), entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")))
 
 
-def attempts(docs: DataFrame, key: str, text: str = "text", most: int = 50) -> DataFrame:
-    """canon, kind, attempt of the entities that had to draw again."""
+def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """canon, kind, attempt of the entities that had to draw again, when no replacement collides any more."""
     every = docs.select(F.explode(F.array_distinct(entities(F.col(text)))).alias("entity")).distinct()
     every = written(every.select("entity", kind(F.col("entity")).alias("kind")).select("entity", "kind", canonical(F.col("entity"), F.col("kind")).alias("canon")), "pii-entities")
     own = every.select("kind", "canon").distinct()
     spelled = every.groupBy("kind", "canon").agg(F.min("entity").alias("entity"))
     state = spelled.withColumn("attempt", F.lit(0))
-    for _ in range(most):
+    while True:
         drawn = written(state.withColumn("to", surrogate(F.col("entity"), key, F.col("attempt"))).select("kind", "canon", "entity", "attempt", canonical(F.col("to"), F.col("kind")).alias("to")), "pii-drawn")
         twice = drawn.groupBy("kind", "to").agg(F.min("canon").alias("keeps"), F.count("*").alias("n")).where("n > 1").drop("n")
         real = own.select("kind", F.col("canon").alias("to"), F.lit(True).alias("real"))

@@ -317,6 +317,16 @@ def test_surrogates_stay_distinct_in_a_crowded_space(spark):
     assert len(to) == 500 and not to & {t.split()[1] for _, t in rows}
 
 
+def test_surrogates_stay_distinct_in_an_exhausted_space(spark):
+    """Every address of its format is taken, and more than half of the quads: no replacement of that format is free."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    real = [f"{a}@{b}.com" for a in letters for b in letters] + [f"{i // 1000}.{i // 100 % 10}.{i // 10 % 10}.{i % 10}" for i in range(7000)]
+    rows = [(i, f"at {e} now") for i, e in enumerate(real)]
+    out = pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    to = {r.text.split()[1] for r in out}
+    assert len(to) == len(real) and not to & set(real)
+
+
 def test_html_blocks():
     page = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body class="main"><nav><ul><li>Menu</ul></nav>
     <div class="cookie-notice">We use <b>cookies</b></div><article><h1>Head &amp; tail</h1><p>One<br>two <b>three</b>four&nbsp;&#233;<p class='x > y'>five<form>name</form>
