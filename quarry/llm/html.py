@@ -1,15 +1,19 @@
-"""Main text of web pages: structure tells what is certainly article or certainly not; a suffix array over the pages of a
-host finds the boilerplate among the rest.
+"""Main text of web pages: structure tells what is certainly not text; a suffix array over the pages of a host finds the
+boilerplate among the rest, wherever it stands.
 
 A page falls into blocks, each in a zone: article, main part, elsewhere, or chrome (menus, headers, footers, sidebars,
-notices, adverts, forms, comments). Scripts, styles and other raw elements give no block. All blocks outside articles
-feed their host's token stream, page after page with separators after each block; the suffix array of the stream, sorted to a depth of
-`LONG` tokens, puts repeated substrings side by side, and those that lie in two or more pages are boilerplate. Blocks of
-an article are never judged by repetition, since articles may share passages; from other blocks, covered tokens go and
-unique runs stay. A page's text is its article blocks, or else those of its main part, or else the remaining ones.
-
-A host's stream is built from chunks of at most about `CHUNK_PAGES` pages; chunks name each distinct substring once, and
-adding these up over the host's chunks makes the result the same as for one stream.
+notices, adverts, forms, comments). Scripts, styles and other raw elements give no block. The blocks in articles and
+those outside feed two token streams of their host, page after page with a separator after each page; the suffix array
+of a stream, sorted to a depth of `LONG` tokens, puts repeated substrings side by side. Outside articles a substring in
+two pages is boilerplate. Articles may share passages, so there it has to be in `ARTICLE_PAGES` different articles and
+half of the host's. A block of fewer tokens counts as a substring of its own where it is repeated whole.
+
+A page's text is all its blocks but chrome, without the tokens of boilerplate inside a block and without blocks that
+boilerplate covers wholly, across their borders too; unique runs stay, in articles or not.
+
+A host's streams are built from chunks of at most about `CHUNK_PAGES` pages; chunks count each distinct substring once a
+page, and adding these up over the host's chunks makes the result the same as for one stream. Articles with equal texts
+in a chunk count as one.
 """
 
 from __future__ import annotations
@@ -20,15 +24,18 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import WordHasher, shingles, utf8, written
+from quarry.llm.common import WordHasher, marked, mix, shingles, written
 
 #: Tokens of a long substring; a power of two, as the suffix array doubles its depth.
 LONG = 8
 CHUNK_PAGES = 2000
+#: Different articles of a host that a substring has to be in, at least, to be boilerplate in articles.
+ARTICLE_PAGES = 5
 CHROME, ELSEWHERE, MAIN, ARTICLE = -1, 0, 1, 2
 #: Elements by what they mean here.
 RAW = frozenset("script style noscript template iframe svg math textarea title object canvas audio video select".split())
@@ -125,45 +132,93 @@ def suffix_ranks(ids: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def _stream(pages: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes of pages, whose lines are blocks, with a separator of its own after each block; the page of each
-    token; and where its block's separator is."""
-    parts, of, ends, at = [], [], [], 0
-    for i, page in enumerate(pages):
-        for line in page.split(b"\n"):
-            tokens = line.split()
-            at += len(tokens)
-            parts += (hasher(tokens), np.array([at], np.uint64))
-            of.append(np.full(len(tokens) + 1, i))
-            ends.append(np.full(len(tokens) + 1, at))
-            at += 1
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(parts), np.concatenate(of), np.concatenate(ends)) if parts else (none.astype(np.uint64), none, none)
+def _sides(zones: list[int], texts: list[str], hasher: WordHasher) -> list[list[np.ndarray]]:
+    """Token hashes of the blocks of a page that are outside articles, and of those inside."""
+    tokens = [hasher(t.encode("utf-8", "surrogatepass").split()) for t in texts]
+    return [[t for z, t in zip(zones, tokens, strict=True) if (z == ARTICLE) == inside] for inside in (False, True)]
 
 
-def _keys(stream: np.ndarray) -> np.ndarray:
-    """One hash for the LONG tokens from each position."""
-    return np.append(shingles(stream, LONG), np.zeros(min(len(stream), LONG - 1), np.uint64))
+def _windows(side: list[np.ndarray]) -> np.ndarray:
+    """One hash for each run of LONG tokens in the blocks of a side, over their borders."""
+    return shingles(np.concatenate(side), LONG) if side else np.zeros(0, np.uint64)
 
 
-def repeated(chunk: pa.Table) -> pa.Table:
-    """host, key, page, pages (1 or 2, for more) of each distinct long substring of a chunk of one host's pages."""
-    hasher = WordHasher()
-    stream, of, ends = _stream(utf8(chunk.column("outside").combine_chunks()), hasher)
-    ok = np.arange(len(of)) + LONG <= ends
-    if not ok.any():
-        return pa.table({"host": pa.array([], pa.string()), **{c: pa.array([], pa.int64()) for c in ("key", "page", "pages")}})
-    rank = suffix_ranks(stream, LONG)
+def _short(side: list[np.ndarray]) -> tuple[list[int], list[int], np.ndarray]:
+    """Start, length and hash of each block of fewer than LONG tokens."""
+    starts = np.cumsum([0, *map(len, side)])[:-1].tolist()
+    own = [(a, len(t), shingles(t, len(t))[0]) for a, t in zip(starts, side, strict=True) if 0 < len(t) < LONG]
+    return [a for a, _, _ in own], [n for _, n, _ in own], np.array([k for _, _, k in own], np.uint64)
+
+
+def _of_host(keys: np.ndarray, host: str, side: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(keys + np.uint64(xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass"), side))).astype(np.int64)
+
+
+def _counted(rank: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct rank, and how many pages have it."""
     order = np.lexsort((of, rank))
-    order = order[ok[order]]
-    head = np.ones(len(order), bool)
-    head[1:] = rank[order][1:] != rank[order][:-1]
+    r, o = rank[order], of[order]
+    head = np.append(True, r[1:] != r[:-1])[: len(r)]
+    fresh = head | np.append(True, o[1:] != o[:-1])[: len(r)]
     at = np.flatnonzero(head)
-    last = np.append(at[1:], len(order)) - 1
-    pages = 1 + (of[order[at]] != of[order[last]]).astype(np.int64)
-    keys = _keys(stream)[order[at]].astype(np.int64)
-    host = pa.array([chunk.column("host")[0].as_py()] * len(keys), pa.string())
-    return pa.table({"host": host, "key": keys, "page": chunk.column("row").to_numpy()[of[order[at]]], "pages": pages})
+    return order[at], np.add.reduceat(fresh.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+
+
+def repeated(chunk: pa.Table) -> pa.Table:
+    """side (0 outside articles, 1 inside), key, n: in how many pages of a chunk of one host's each distinct substring
+    is. Where the chunk is all the host has, substrings of one page are left out."""
+    hasher, host, alone = WordHasher(), chunk.column("host")[0].as_py(), chunk.column("chunks")[0].as_py() == 1
+    pages = [_sides(z, t, hasher) for z, t in zip(chunk.column("zones").to_pylist(), chunk.column("texts").to_pylist(), strict=True)]
+    inside = {b"".join(t.tobytes() for t in p[1]): p for p in pages if p[1]}
+    none = np.zeros(0, np.int64)
+    sides, keys, counts = [none], [none], [none]
+    for side, own in enumerate(([p[0] for p in pages], [p[1] for p in inside.values()])):
+        own = [blocks_ for blocks_ in own if blocks_]
+        lens = np.array([sum(map(len, x)) for x in own], np.int64)
+        if len(own):
+            ends = np.cumsum(lens + 1) - 1
+            stream = np.concatenate([y for i, x in enumerate(own) for y in (*x, np.array([i], np.uint64))])
+            of = np.repeat(np.arange(len(own)), lens + 1)
+            ok = np.flatnonzero(np.arange(len(of)) + LONG <= ends[of])
+            at, n = _counted(suffix_ranks(stream, LONG)[ok], of[ok])
+            short = [_short(x)[2] for x in own]
+            small, page = np.concatenate(short), np.repeat(np.arange(len(own)), [len(x) for x in short])
+            at2, n2 = _counted(small, page)
+            found, n = np.concatenate([shingles(stream, LONG)[ok[at]] if len(at) else np.zeros(0, np.uint64), small[at2]]), np.concatenate([n, n2])
+            many = n >= (2 if alone else 1)
+            sides.append(np.full(int(many.sum()), side))
+            keys.append(_of_host(found[many], host, side))
+            counts.append(n[many])
+    return pa.table({"side": np.concatenate(sides).astype(np.int32), "key": np.concatenate(keys), "n": np.concatenate(counts).astype(np.int32), "home": np.full(sum(map(len, keys)), chunk.column("home")[0].as_py())})
+
+
+def _left(zones: list[int], texts: list[str], gone: list | None) -> str:
+    """The text of a page without its boilerplate."""
+    if not gone:
+        return " ".join(t for z, t in zip(zones, texts, strict=True) if z != CHROME)
+    out, start = [], [0, 0]
+    size = [sum(len(t.split()) for z, t in zip(zones, texts, strict=True) if (z == ARTICLE) == inside) for inside in (False, True)]
+    hit = [np.zeros(n + 1, np.int64) for n in size]
+    for g in gone:
+        hit[g["side"]][g["at"]] += 1
+        hit[g["side"]][g["at"] + g["w"]] -= 1
+    covered = [np.cumsum(x)[:-1] > 0 for x in hit]
+    spans = [sorted((g["at"], g["w"]) for g in gone if g["side"] == side) for side in (0, 1)]
+    nth = [0, 0]
+    for z, t in zip(zones, texts, strict=True):
+        side, tokens = int(z == ARTICLE), t.split()
+        a, b = start[side], start[side] + len(tokens)
+        start[side] = b
+        drop = np.full(len(tokens), bool(covered[side][a:b].all()))
+        while nth[side] < len(spans[side]) and spans[side][nth[side]][0] < b:
+            at, w = spans[side][nth[side]]
+            nth[side] += 1
+            if a <= at and at + w <= b:
+                drop[at - a : at - a + w] = True
+        if z != CHROME:
+            out += [t] if not drop.any() else [x for x, d in zip(tokens, drop.tolist(), strict=True) if not d]
+    return " ".join(out)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -176,56 +231,48 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     base = pages.select("page_id", "url", "html")
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
-    schema = T.StructType([*base.schema.fields[:2], *T.StructType.fromDDL("host string, zone int, kept array<string>, outside string").fields])
+    schema = T.StructType([*base.schema.fields[:2], *T.StructType.fromDDL("host string, zones array<int>, texts array<string>, art long").fields])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            zones, kept, outside = [], [], []
-            for html in batch.column("html").to_pylist():
-                found = blocks(html or "")
-                zone = max((z for z, _ in found if z != CHROME), default=ELSEWHERE)
-                zones.append(zone)
-                kept.append([t for z, t in found if z == zone])
-                outside.append("\n".join(t for z, t in found if z != ARTICLE))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(zones, pa.int32()), pa.array(kept, pa.list_(pa.string())), pa.array(outside, pa.string())], names=schema.names)
+            found = [blocks(html or "") for html in batch.column("html").to_pylist()]
+            zones, texts = [[z for z, _ in x] for x in found], [[t for _, t in x] for x in found]
+            own = ["\n".join(t for z, t in x if z == ARTICLE).encode("utf-8", "surrogatepass") for x in found]
+            art = [xxhash.xxh3_64_intdigest(t) >> 1 if t else None for t in own]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(zones, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())), pa.array(art, pa.int64())], names=schema.names)
 
     table = written(base.withColumn("host", host).mapInArrow(parse, schema).withColumn("row", F.monotonically_increasing_id()), "html-blocks")
-    sizes = table.groupBy("host").agg(F.count("*").alias("n"))
-    dealt = table.select("row", "host", "outside").join(sizes, "host").withColumn("chunk", F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / CHUNK_PAGES)))
-    named = dealt.groupBy("host", "chunk").applyInArrow(repeated, "host string, key long, page long, pages long")
-    shared = named.groupBy("host", "key").agg(F.max("pages").alias("p"), F.min("page").alias("a"), F.max("page").alias("b")).where("p > 1 OR a <> b").select("host", "key")
-    open_pages = table.where(F.col("zone") < ARTICLE).select("row", "host", "kept")
+    sizes = table.groupBy("host").agg(F.ceil(F.count("*") / CHUNK_PAGES).alias("many")).where("many > 1")
+    keyed = table.join(F.broadcast(sizes), "host", "left").withColumn("chunks", F.coalesce("many", F.lit(1)))  # a host in CHUNK_PAGES pages at most
+    keyed = keyed.withColumn("chunk", F.pmod(F.xxhash64("row"), F.col("chunks"))).withColumn("home", F.xxhash64("host"))
+    dealt = keyed.select("host", "home", "chunks", "zones", "texts", F.xxhash64("host", "chunk").alias("unit"))
+    named = dealt.groupBy("unit").applyInArrow(repeated, "side int, key long, n int, home long")
+    summed = written(named.groupBy("key").agg(F.sum("n").alias("n"), F.first("side").alias("side"), F.first("home").alias("home")).where("n > 1"), "html-runs")
+    total = keyed.where("art IS NOT NULL").select("home", "chunk", "art").distinct().groupBy("home").agg(F.count("*").alias("total"))
+    often = summed.where(F.col("n") >= ARTICLE_PAGES).where("side = 1").join(total, "home").where("2 * n >= total")
+    shared = written(summed.where("side = 0").select("key").union(often.select("key")), "html-shared")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            for row, host, kept in zip(batch.column("row").to_pylist(), batch.column("host").to_pylist(), batch.column("kept").to_pylist(), strict=True):
-                at, keys, n = [], [], 0
-                for block in kept:
-                    own = shingles(hasher(block.encode("utf-8", "surrogatepass").split()), LONG)
-                    at.append(np.arange(len(own)) + n)
-                    keys.append(own.astype(np.int64))
-                    n += len(block.split())
-                at, keys = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, keys))
-                yield pa.RecordBatch.from_arrays([pa.array([row] * len(keys), pa.int64()), pa.array([host] * len(keys), pa.string()), pa.array(at), pa.array(keys)], names=["row", "host", "at", "key"])
-
-    hit = open_pages.mapInArrow(places, "row long, host string, at long, key long").join(shared, ["host", "key"], "left_semi")
-    gone = hit.groupBy("row").agg(F.collect_list("at").alias("gone"))
+            for row, host, zones, texts in zip(*(batch.column(c).to_pylist() for c in ("row", "host", "zones", "texts")), strict=True):
+                for side, own in enumerate(_sides(zones, texts, hasher)):
+                    keys, (at, lens, small) = _windows(own), _short(own)
+                    n = len(keys) + len(small)
+                    at, width = np.append(np.arange(len(keys)), at).astype(np.int32), np.append(np.full(len(keys), LONG), lens).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row)), pa.array(np.full(n, side, np.int32)), pa.array(at), pa.array(width), pa.array(_of_host(np.append(keys, small), host, side))], names=["row", "side", "at", "w", "key"])
+
+    every = table.select("row", "host", "zones", "texts").mapInArrow(places, "row long, side int, at int, w int, key long")
+    hit = marked(every, "key", shared).where("_in").drop("_in").join(shared, "key", "left_semi")
+    gone = written(hit.groupBy("row").agg(F.collect_list(F.struct("side", "at", "w")).alias("gone")), "html-gone")
     out = T.StructType([*base.schema.fields[:2], T.StructField("text", T.StringType())])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for kept, at in zip(batch.column("kept").to_pylist(), batch.column("gone").to_pylist(), strict=True):
-                text = " ".join(kept)
-                if at:
-                    tokens = text.encode("utf-8", "surrogatepass").split()
-                    covered = {i + k for i in at for k in range(LONG)}
-                    text = b" ".join(t for i, t in enumerate(tokens) if i not in covered).decode("utf-8", "surrogatepass")
-                texts.append(text)
+            texts = [_left(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("zones", "texts", "gone")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=out.names)
 
-    opened = table.where(F.col("zone") < ARTICLE).select("row", "page_id", "url", "kept").join(gone, "row", "left")
-    closed = table.where(F.col("zone") == ARTICLE).select("page_id", "url", "kept", F.lit(None).cast("array<int>").alias("gone"))  # these need no join
-    whole = closed.unionByName(opened.select("page_id", "url", "kept", F.col("gone").cast("array<int>"))).mapInArrow(keep, out)
-    return whole.withColumn("n_chars", F.char_length("text").cast("long"))
+    told = marked(table.select("row", "page_id", "url", "zones", "texts"), "row", gone.select("row"))
+    struck = told.where("_in").drop("_in").join(gone, "row", "left").drop("row")
+    whole = told.where("NOT _in").drop("_in", "row").withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))  # these need no join
+    return struck.unionByName(whole).mapInArrow(keep, out).withColumn("n_chars", F.char_length("text").cast("long"))

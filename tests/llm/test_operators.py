@@ -359,3 +359,18 @@ def test_html_boilerplate_outside_articles(spark, monkeypatch):
             assert out[i][0] == f"unique words of page number {i} are here"
         assert out[7][0] == out[10][0] == common and out[8] == out[9] == ("", 0) and out[None] == ("short", 5)
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_html_repeats_in_articles_and_runs_outside(spark, monkeypatch):
+    """A notice in every article goes, a passage that two of nine articles share stays, and so do runs beside a teaser."""
+    notice, passage = "please support our small newsroom with a gift of any size today", "this passage was written once and then quoted by another author"
+    card = "<main><article><p>teaser {i}x{i}</p></article><div>the long story {i}a{i} of page {i}b{i} goes on outside</div></main>"
+    pages = [(i, f"http://h.example/{i}", f"<article><p>{notice}</p><p>own {i}o{i} text {i}t{i} here</p>{f'<p>{passage}</p>' if i < 2 else ''}</article>") for i in range(9)]
+    pages += [(20 + i, f"http://c.example/{i}", card.format(i=i)) for i in range(3)]
+    for size in (2000, 1):
+        monkeypatch.setattr(html, "CHUNK_PAGES", size)
+        out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+        for i in range(9):
+            assert out[i] == f"own {i}o{i} text {i}t{i} here" + (f" {passage}" if i < 2 else "")
+        for i in range(3):
+            assert out[20 + i] == f"teaser {i}x{i} the long story {i}a{i} of page {i}b{i} goes on outside"
