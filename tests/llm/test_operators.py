@@ -374,3 +374,12 @@ def test_html_repeats_in_articles_and_runs_outside(spark, monkeypatch):
             assert out[i] == f"own {i}o{i} text {i}t{i} here" + (f" {passage}" if i < 2 else "")
         for i in range(3):
             assert out[20 + i] == f"teaser {i}x{i} the long story {i}a{i} of page {i}b{i} goes on outside"
+
+
+def test_html_short_blocks(spark):
+    """Menu items, lines of a word or two, and sequences of them go where the host repeats them, cut alike or not."""
+    menu = "".join(f"<li>{w}</li>" for w in "home news sport culture travel money weather contact imprint".split())
+    flat = "<p>home news sport culture travel</p><p>money weather contact imprint</p>"
+    pages = [(i, f"http://h.example/{i}", f"<ul>{menu if i else ''}</ul>{'' if i else flat}<p>unique {i}u{i} words</p><p>Read more</p>") for i in range(3)]
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out == {i: f"unique {i}u{i} words" for i in range(3)}
