@@ -30,8 +30,8 @@ LEAST_COUNT = 3
 SPACE = 26
 #: Bins per unit of ln(perplexity) in the histograms.
 BINS = 200
-#: Languages a model may have: beyond, the rarest share one model, so its size stays bounded.
-MOST_LANGUAGES = 16
+#: Models that a worker keeps laid out at once; further ones are laid out anew for each batch.
+HELD = 16
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 
 
@@ -208,14 +208,12 @@ def judged(docs: DataFrame, wide: float = 6.0, least: float = 0.05, min_words: i
     lang: the learned language under which the text has the lowest perplexity, so that a wrong label harms no document.
     kept: not base_failed, and the perplexity per byte within that language's band: median of ln(perplexity) plus and
     minus `wide` spreads (1.4826 * median absolute deviation), `least` at least. Rows with a null label teach a model
-    of their own, as do the rarest labels together where there are many; a null or empty text has all counts 0, a null perplexity, and fails. Repeated rows count as often as they
-    occur, and get equal results. Other columns are ignored.
+    of their own; every label has its own model and band, however many there are. A null or empty text has all
+    counts 0, a null perplexity, and fails. Repeated rows count as often as they occur, and get equal results. Other
+    columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
-    langs = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    named = [r["lang"] for r in langs][: MOST_LANGUAGES - 1]
-    rows = rows.withColumn("lang", F.when(F.col("lang").isin(named), F.col("lang")).otherwise(F.lit("*"))) if len(langs) == MOST_LANGUAGES else rows
     table = count(rows).toArrow()
     lang_of = table.column("lang").to_numpy(zero_copy_only=False)
     gram_of, n_of = table.column("gram").to_numpy(), table.column("n").to_numpy()
@@ -228,21 +226,25 @@ def judged(docs: DataFrame, wide: float = 6.0, least: float = 0.05, min_words: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lm = shared.value
         names = sorted(lm.keys)
-        dense = [lm.dense(lang) for lang in names]
+        held = [lm.dense(lang) for lang in names[:HELD]]
+
+        def bits_of(raw: bytes, dense: list[np.ndarray]) -> np.ndarray:
+            bits = np.zeros(len(dense))
+            for i in range(0, len(raw), CHUNK_BYTES):
+                own = grams(raw[max(0, i - ORDER + 1) : i + CHUNK_BYTES])[ORDER - 1 if i else 0 :]
+                bits += [table[own].sum(dtype=np.float64) for table in dense]
+            return bits
+
         for batch in batches:
-            found, best, ppl = [], [], []
-            for text in batch.column("text").to_pylist():
-                found.append(rules(text))
-                if not text:
-                    best.append(None)
-                    ppl.append(None)
-                    continue
-                raw, bits = text.encode("utf-8", "surrogatepass"), np.zeros(len(names))
-                for i in range(0, len(raw), CHUNK_BYTES):
-                    own = grams(raw[max(0, i - ORDER + 1) : i + CHUNK_BYTES])[ORDER - 1 if i else 0 :]
-                    bits += [table[own].sum(dtype=np.float64) for table in dense]
-                best.append(names[int(np.argmin(bits))])
-                ppl.append(float(bits.min()) / len(raw) * math.log(2))
+            texts = batch.column("text").to_pylist()
+            found = [rules(text) for text in texts]
+            raws = [text.encode("utf-8", "surrogatepass") if text else b"" for text in texts]
+            scores = [bits_of(raw, held) for raw in raws]
+            for at in range(HELD, len(names), HELD):
+                dense = [lm.dense(lang) for lang in names[at : at + HELD]]
+                scores = [np.append(x, bits_of(raw, dense)) for x, raw in zip(scores, raws, strict=True)]
+            best = [names[int(np.argmin(x))] if raw else None for x, raw in zip(scores, raws, strict=True)]
+            ppl = [float(x.min()) / len(raw) * math.log(2) if raw else None for x, raw in zip(scores, raws, strict=True)]
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.string()), *columns, pa.array(ppl, pa.float64())], names=schema.names)
 

@@ -138,6 +138,16 @@ def test_perplexity_bands_reject_noise(spark):
     assert not out[900] and sum(out.values()) >= 148
 
 
+def test_every_label_has_its_own_model(spark):
+    r, rows = random.Random(9), []
+    for k in range(20):
+        letters = r.sample("abcdefghijklmnopqrstuvwxyz", 6)
+        words = ["".join(r.choice(letters) for _ in range(5)) for _ in range(40)]
+        rows += [(100 * k + i, " ".join(r.choice(words) for _ in range(80)), f"l{k:02}") for i in range(6)]
+    out = {x.doc_id: x.lang for x in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert out == {d: lang for d, _, lang in rows}
+
+
 def test_decontamination_matches_brute_force(spark):
     r, words = random.Random(8), vocabulary(40, 2)
     items = [(i, " ".join(r.choice(words) for _ in range(n))) for i, n in enumerate([1, 2, 5, 12, 13, 14, 30, 40])] + [(50, None), (51, "..."), (52, ""), (6, "b-c")]
