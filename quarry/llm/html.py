@@ -3,39 +3,49 @@ boilerplate among the rest, wherever it stands.
 
 A page falls into blocks, each in a zone: article, main part, elsewhere, or chrome (menus, headers, footers, sidebars,
 notices, adverts, forms, comments). Scripts, styles and other raw elements give no block. The blocks in articles and
-those outside feed two token streams of their host, page after page with a separator after each page; the suffix array
-of a stream, sorted to a depth of `LONG` tokens, puts repeated substrings side by side. Outside articles a substring in
-two pages is boilerplate. Articles may share passages, so there it has to be in `ARTICLE_PAGES` different articles and
-half of the host's. A block of fewer tokens counts as a substring of its own where it is repeated whole.
-
-A page's text is all its blocks but chrome, without the tokens of boilerplate inside a block and without blocks that
-boilerplate covers wholly, across their borders too; unique runs stay, in articles or not.
-
-A host's streams are built from chunks of at most about `CHUNK_PAGES` pages; chunks count each distinct substring once a
-page, and adding these up over the host's chunks makes the result the same as for one stream. Articles with equal texts
-in a chunk count as one.
+those outside feed two token streams of their host, page after page; the suffix array of a stream, sorted to a depth of
+`LONG` tokens, puts repeated substrings side by side, and neighbours from different pages are counted. Any longer
+repeated substring is a chain of these. A block of fewer tokens counts as a substring of its own where it is repeated
+whole. Pages of equal content are one page, and so are articles of equal content.
+
+A substring is boilerplate outside articles if it is in two pages, and in one of `ONE_IN` of the host's; articles may
+share passages, so there it has to be in `ARTICLE_PAGES` articles and half of the host's. A page's text is all its blocks
+but chrome, without the tokens of boilerplate inside a block and without blocks that boilerplate covers wholly, across
+their borders too; unique runs stay, in articles or not.
+
+Pages travel once, in compressed packs, to units of about `CHUNK_PAGES` pages of one host, dealt by content, so equal
+contents meet. What is frequent in a host is as frequent in one of its units at least: units name their candidates, all
+units of the host count these, and the sums decide. So the result is that of one array over the whole host, while only
+substrings that are frequent somewhere travel, by their 64-bit hash.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import WordHasher, marked, mix, shingles, written
+from quarry.llm.common import WordHasher, shingles, written
 
 #: Tokens of a long substring; a power of two, as the suffix array doubles its depth.
 LONG = 8
+#: Pages of a host that one task should hold.
 CHUNK_PAGES = 2000
+#: Outside articles, a substring has to be in one of so many pages of the host.
+ONE_IN = 50
 #: Different articles of a host that a substring has to be in, at least, to be boilerplate in articles.
 ARTICLE_PAGES = 5
+#: Rows of a table by host, and substrings in it, that may be broadcast (about 30 bytes each).
+BROADCAST_ROWS, BROADCAST_KEYS = 200_000, 500_000
 CHROME, ELSEWHERE, MAIN, ARTICLE = -1, 0, 1, 2
 #: Elements by what they mean here.
 RAW = frozenset("script style noscript template iframe svg math textarea title object canvas audio video select".split())
@@ -132,147 +142,273 @@ def suffix_ranks(ids: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def _sides(zones: list[int], texts: list[str], hasher: WordHasher) -> list[list[np.ndarray]]:
-    """Token hashes of the blocks of a page that are outside articles, and of those inside."""
-    tokens = [hasher(t.encode("utf-8", "surrogatepass").split()) for t in texts]
-    return [[t for z, t in zip(zones, tokens, strict=True) if (z == ARTICLE) == inside] for inside in (False, True)]
+@dataclass(frozen=True)
+class Stream:
+    """The tokens (hashes) of one side of pages, one after another. Substrings are the windows of LONG tokens inside a
+    page, over the borders of its blocks, and then the whole blocks of fewer tokens: their page, place, width and key."""
+
+    tokens: np.ndarray
+    long: int
+    page: np.ndarray
+    at: np.ndarray
+    width: np.ndarray
+    key: np.ndarray
+
+
+Page = tuple[list[int], list[str]]
+
+
+def streams(pages: list[Page], hasher: WordHasher) -> list[Stream]:
+    """The streams outside and inside articles of pages (zones, texts)."""
+    zones = np.array([z for p in pages for z in p[0]], np.int64)
+    split = [t.encode("utf-8", "surrogatepass").split() for p in pages for t in p[1]]
+    size = np.fromiter(map(len, split), np.int64, len(split))
+    every = hasher([w for x in split for w in x])
+    block_page = np.repeat(np.arange(len(pages)), [len(p[0]) for p in pages])
+    out = []
+    for inside in (False, True):
+        own = (zones == ARTICLE) == inside
+        tokens = every[np.repeat(own, size)]
+        lens, of_block = size[own], block_page[own]
+        begin = np.cumsum(lens) - lens
+        page = np.repeat(of_block, lens)
+        at = np.arange(max(len(tokens) - LONG + 1, 0))
+        at = at[page[at] == page[at + LONG - 1]]
+        places, widths, keys, owners = [at], [np.full(len(at), LONG)], [shingles(tokens, LONG)[at]], [page[at]]
+        for n in range(1, LONG):
+            some = lens == n
+            if some.any():
+                places.append(begin[some])
+                widths.append(np.full(int(some.sum()), n))
+                keys.append(shingles(tokens, n)[begin[some]])
+                owners.append(of_block[some])
+        out.append(Stream(tokens, len(at), np.concatenate(owners), np.concatenate(places), np.concatenate(widths), np.concatenate(keys)))
+    return out
 
 
-def _windows(side: list[np.ndarray]) -> np.ndarray:
-    """One hash for each run of LONG tokens in the blocks of a side, over their borders."""
-    return shingles(np.concatenate(side), LONG) if side else np.zeros(0, np.uint64)
+def _pages_with(rank: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct rank, and how many pages have it."""
+    order = np.lexsort((page, rank))
+    r, o = rank[order], page[order]
+    head = np.append(True, r[1:] != r[:-1])[: len(r)]
+    fresh = head | np.append(True, o[1:] != o[:-1])[: len(r)]
+    at = np.flatnonzero(head)
+    return order[at], np.add.reduceat(fresh.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
 
 
-def _short(side: list[np.ndarray]) -> tuple[list[int], list[int], np.ndarray]:
-    """Start, length and hash of each block of fewer than LONG tokens."""
-    starts = np.cumsum([0, *map(len, side)])[:-1].tolist()
-    own = [(a, len(t), shingles(t, len(t))[0]) for a, t in zip(starts, side, strict=True) if 0 < len(t) < LONG]
-    return [a for a, _, _ in own], [n for _, n, _ in own], np.array([k for _, _, k in own], np.uint64)
+def counted(stream: Stream) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct substrings of a stream by key, and how many pages have each, from its suffix array."""
+    n = stream.long
+    at, many = _pages_with(suffix_ranks(stream.tokens, LONG)[stream.at[:n]], stream.page[:n])
+    short, few = _pages_with(stream.key[n:], stream.page[n:])
+    return np.concatenate([stream.key[:n][at], stream.key[n:][short]]), np.concatenate([many, few])
 
 
-def _of_host(keys: np.ndarray, host: str, side: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(keys + np.uint64(xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass"), side))).astype(np.int64)
+def boilerplate(n: np.ndarray, pages: int, side: int) -> np.ndarray:
+    """Which substrings are boilerplate, given how many of a host's distinct pages (articles for side 1) have them."""
+    return (n >= ARTICLE_PAGES) & (2 * n >= pages) if side else (n >= 2) & (ONE_IN * n >= pages)
 
 
-def _counted(rank: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each distinct rank, and how many pages have it."""
-    order = np.lexsort((of, rank))
-    r, o = rank[order], of[order]
-    head = np.append(True, r[1:] != r[:-1])[: len(r)]
-    fresh = head | np.append(True, o[1:] != o[:-1])[: len(r)]
-    at = np.flatnonzero(head)
-    return order[at], np.add.reduceat(fresh.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+def frequent(n: np.ndarray, pages: int, side: int) -> np.ndarray:
+    """Which substrings of a unit could be boilerplate in the host: one that is must be as frequent in some unit."""
+    return 2 * n >= pages if side else ONE_IN * n >= pages
 
 
-def repeated(chunk: pa.Table) -> pa.Table:
-    """side (0 outside articles, 1 inside), key, n: in how many pages of a chunk of one host's each distinct substring
-    is. Where the chunk is all the host has, substrings of one page are left out."""
-    hasher, host, alone = WordHasher(), chunk.column("host")[0].as_py(), chunk.column("chunks")[0].as_py() == 1
-    pages = [_sides(z, t, hasher) for z, t in zip(chunk.column("zones").to_pylist(), chunk.column("texts").to_pylist(), strict=True)]
-    inside = {b"".join(t.tobytes() for t in p[1]): p for p in pages if p[1]}
-    none = np.zeros(0, np.int64)
-    sides, keys, counts = [none], [none], [none]
-    for side, own in enumerate(([p[0] for p in pages], [p[1] for p in inside.values()])):
-        own = [blocks_ for blocks_ in own if blocks_]
-        lens = np.array([sum(map(len, x)) for x in own], np.int64)
-        if len(own):
-            ends = np.cumsum(lens + 1) - 1
-            stream = np.concatenate([y for i, x in enumerate(own) for y in (*x, np.array([i], np.uint64))])
-            of = np.repeat(np.arange(len(own)), lens + 1)
-            ok = np.flatnonzero(np.arange(len(of)) + LONG <= ends[of])
-            at, n = _counted(suffix_ranks(stream, LONG)[ok], of[ok])
-            short = [_short(x)[2] for x in own]
-            small, page = np.concatenate(short), np.repeat(np.arange(len(own)), [len(x) for x in short])
-            at2, n2 = _counted(small, page)
-            found, n = np.concatenate([shingles(stream, LONG)[ok[at]] if len(at) else np.zeros(0, np.uint64), small[at2]]), np.concatenate([n, n2])
-            many = n >= (2 if alone else 1)
-            sides.append(np.full(int(many.sum()), side))
-            keys.append(_of_host(found[many], host, side))
-            counts.append(n[many])
-    return pa.table({"side": np.concatenate(sides).astype(np.int32), "key": np.concatenate(keys), "n": np.concatenate(counts).astype(np.int32), "home": np.full(sum(map(len, keys)), chunk.column("home")[0].as_py())})
-
-
-def _left(zones: list[int], texts: list[str], gone: list | None) -> str:
-    """The text of a page without its boilerplate."""
-    if not gone:
-        return " ".join(t for z, t in zip(zones, texts, strict=True) if z != CHROME)
-    out, start = [], [0, 0]
-    size = [sum(len(t.split()) for z, t in zip(zones, texts, strict=True) if (z == ARTICLE) == inside) for inside in (False, True)]
-    hit = [np.zeros(n + 1, np.int64) for n in size]
-    for g in gone:
-        hit[g["side"]][g["at"]] += 1
-        hit[g["side"]][g["at"] + g["w"]] -= 1
-    covered = [np.cumsum(x)[:-1] > 0 for x in hit]
-    spans = [sorted((g["at"], g["w"]) for g in gone if g["side"] == side) for side in (0, 1)]
-    nth = [0, 0]
-    for z, t in zip(zones, texts, strict=True):
+def _left(page: Page, covered: list[np.ndarray], hits: list[list[tuple[int, int]]]) -> str:
+    """The text of a page without its boilerplate: tokens inside a block that one substring covers, and blocks that
+    substrings cover wholly together. Places count from the start of the page's side."""
+    out, start, nth = [], [0, 0], [0, 0]
+    for z, t in zip(*page, strict=True):
         side, tokens = int(z == ARTICLE), t.split()
         a, b = start[side], start[side] + len(tokens)
         start[side] = b
         drop = np.full(len(tokens), bool(covered[side][a:b].all()))
-        while nth[side] < len(spans[side]) and spans[side][nth[side]][0] < b:
-            at, w = spans[side][nth[side]]
+        own = hits[side]
+        while nth[side] < len(own) and own[nth[side]][0] < b:
+            at, width = own[nth[side]]
             nth[side] += 1
-            if a <= at and at + w <= b:
-                drop[at - a : at - a + w] = True
+            if a <= at and at + width <= b:
+                drop[at - a : at - a + width] = True
         if z != CHROME:
             out += [t] if not drop.any() else [x for x, d in zip(tokens, drop.tolist(), strict=True) if not d]
     return " ".join(out)
 
 
+def main_texts(pages: list[Page], gone: list[np.ndarray], hasher: WordHasher) -> list[str]:
+    """The texts of pages, given the sorted keys of their host's boilerplate on each side."""
+    if not any(len(x) for x in gone):
+        return [" ".join(t for z, t in zip(*p, strict=True) if z != CHROME) for p in pages]
+    found = []
+    for stream, keys in zip(streams(pages, hasher), gone, strict=True):
+        near = np.minimum(np.searchsorted(keys, stream.key), max(len(keys) - 1, 0))
+        hit = np.flatnonzero(keys[near] == stream.key) if len(keys) else np.zeros(0, np.int64)
+        hit = hit[np.lexsort((stream.at[hit], stream.page[hit]))]
+        step = np.zeros(len(stream.tokens) + 1, np.int64)
+        np.add.at(step, stream.at[hit], 1)
+        np.add.at(step, stream.at[hit] + stream.width[hit], -1)
+        found.append((np.cumsum(step)[:-1] > 0, stream.page[hit], stream.at[hit], stream.width[hit]))
+    out, begin = [], [0, 0]
+    for i, page in enumerate(pages):
+        size = [sum(len(t.split()) for z, t in zip(*page, strict=True) if (z == ARTICLE) == inside) for inside in (False, True)]
+        covered, hits = [], []
+        for side, (cover, of, at, width) in enumerate(found):
+            a, b = np.searchsorted(of, [i, i + 1])
+            covered.append(cover[begin[side] : begin[side] + size[side]])
+            hits.append(list(zip((at[a:b] - begin[side]).tolist(), width[a:b].tolist(), strict=True)))
+            begin[side] += size[side]
+        plain = not any(map(len, hits))
+        out.append(" ".join(t for z, t in zip(*page, strict=True) if z != CHROME) if plain else _left(page, covered, hits))
+    return out
+
+
+def _pack(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return zstandard.compress(sink.getvalue().to_pybytes(), 3)
+
+
+def _unpack(raw: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.decompress(raw)).read_all()
+
+
+def _contents(table: pa.Table) -> tuple[dict[bytes, Page], list[bytes]]:
+    """The distinct contents of packed rows, and the content of each row."""
+    of, held = table.column("whole").to_pylist(), {}
+    for whole, zones, texts in zip(of, table.column("zones").to_pylist(), table.column("texts").to_pylist(), strict=True):
+        if zones is not None and whole not in held:
+            held[whole] = (zones, texts)
+    return held, of
+
+
+def _sides(table: pa.Table, hasher: WordHasher) -> list[tuple[Stream, int]]:
+    """For each side, the stream of the distinct pages (articles) of packed rows, and how many these are."""
+    held, of = _contents(table)
+    articles = dict(zip(table.column("art").to_pylist(), of, strict=True))
+    outside = [p for p in held.values() if any(z != ARTICLE for z in p[0])]
+    inside = [held[whole] for art, whole in articles.items() if art is not None]
+    return [(streams(outside, hasher)[0], len(outside)), (streams(inside, hasher)[1], len(inside))]
+
+
+def _digest(page: Page) -> bytes:
+    return xxhash.xxh3_128_digest("\0".join(f"{z}{t}" for z, t in zip(*page, strict=True)).encode("utf-8", "surrogatepass"))
+
+
+def _keys(found: list | None, side: int) -> np.ndarray:
+    """The sorted keys of one side among collected (side, key) pairs."""
+    return np.sort(np.array([g["key"] for g in found or () if g["side"] == side], np.int64).astype(np.uint64))
+
+
+def bounded(df: DataFrame, most: int, keys: str | None = None) -> DataFrame:
+    """`df`, marked for broadcast if it has few rows, and few elements in its array column `keys`."""
+    n, held = df.agg(F.count("*"), F.coalesce(F.sum(F.size(keys)), F.lit(0)) if keys else F.lit(0)).first()
+    return F.broadcast(df) if n <= most and held <= BROADCAST_KEYS else df
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for pages (page_id, url, html).
 
     White space inside a block is one blank; blocks join in page order by one blank. A null or empty html, or one
-    without visible text, has an empty text. A null url counts as a host of its own name. Rows that repeat are pages of
-    their own: outside articles, what two equal pages share is repeated. Markup may be cut off or unbalanced anywhere.
+    without visible text, has an empty text. A null url counts as a host of its own name. Rows of equal content are
+    one page when repetition is counted, and each keeps its text. Markup may be cut off or unbalanced anywhere.
     Other columns are ignored; nothing is dropped or capped.
     """
+    spark = pages.sparkSession
     base = pages.select("page_id", "url", "html")
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
-    schema = T.StructType([*base.schema.fields[:2], *T.StructType.fromDDL("host string, zones array<int>, texts array<string>, art long").fields])
+    named = base.withColumn("home", F.xxhash64(host))
+    sizes = written(named.groupBy("home").agg(F.ceil(F.count("*") / CHUNK_PAGES).cast("long").alias("many")).where("many > 1").withColumnRenamed("home", "large"), "html-hosts")
+    sized = named.join(bounded(sizes, BROADCAST_ROWS), F.col("home") == F.col("large"), "left").select("page_id", "url", "html", "home", F.coalesce("many", F.lit(1)).alias("many"))
+    own_types = base.schema.fields[:2]
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [blocks(html or "") for html in batch.column("html").to_pylist()]
-            zones, texts = [[z for z, _ in x] for x in found], [[t for _, t in x] for x in found]
-            own = ["\n".join(t for z, t in x if z == ARTICLE).encode("utf-8", "surrogatepass") for x in found]
-            art = [xxhash.xxh3_64_intdigest(t) >> 1 if t else None for t in own]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(zones, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())), pa.array(art, pa.int64())], names=schema.names)
-
-    table = written(base.withColumn("host", host).mapInArrow(parse, schema).withColumn("row", F.monotonically_increasing_id()), "html-blocks")
-    sizes = table.groupBy("host").agg(F.ceil(F.count("*") / CHUNK_PAGES).alias("many")).where("many > 1")
-    keyed = table.join(F.broadcast(sizes), "host", "left").withColumn("chunks", F.coalesce("many", F.lit(1)))  # a host in CHUNK_PAGES pages at most
-    keyed = keyed.withColumn("chunk", F.pmod(F.xxhash64("row"), F.col("chunks"))).withColumn("home", F.xxhash64("host"))
-    dealt = keyed.select("host", "home", "chunks", "zones", "texts", F.xxhash64("host", "chunk").alias("unit"))
-    named = dealt.groupBy("unit").applyInArrow(repeated, "side int, key long, n int, home long")
-    summed = written(named.groupBy("key").agg(F.sum("n").alias("n"), F.first("side").alias("side"), F.first("home").alias("home")).where("n > 1"), "html-runs")
-    total = keyed.where("art IS NOT NULL").select("home", "chunk", "art").distinct().groupBy("home").agg(F.count("*").alias("total"))
-    often = summed.where(F.col("n") >= ARTICLE_PAGES).where("side = 1").join(total, "home").where("2 * n >= total")
-    shared = written(summed.where("side = 0").select("key").union(often.select("key")), "html-shared")
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            units: dict[tuple[int, int, int], list[int]] = {}
+            homes, many = batch.column("home").to_pylist(), batch.column("many").to_pylist()
+            found: list[Page] = []
+            for html in batch.column("html").to_pylist():
+                own = blocks(html or "")
+                found.append(([z for z, _ in own], [t for _, t in own]))
+            whole = [_digest(p) for p in found]
+            art = [_digest(([z for z in p[0] if z == ARTICLE], [t for z, t in zip(*p, strict=True) if z == ARTICLE])) if ARTICLE in p[0] else None for p in found]
+            for i, (home, n) in enumerate(zip(homes, many, strict=True)):
+                units.setdefault((home, n, int.from_bytes((art[i] or whole[i])[:8], "little") % n), []).append(i)
+            rows = []
+            for (home, n, nth), at in units.items():
+                seen: set[bytes] = set()
+                fresh = [not (whole[i] in seen or seen.add(whole[i])) for i in at]
+                take = pa.array(at)
+                table = pa.table(
+                    {
+                        "page_id": batch.column("page_id").take(take),
+                        "url": batch.column("url").take(take),
+                        "whole": pa.array([whole[i] for i in at], pa.binary()),
+                        "art": pa.array([art[i] for i in at], pa.binary()),
+                        "zones": pa.array([found[i][0] if f else None for i, f in zip(at, fresh, strict=True)], pa.list_(pa.int8())),
+                        "texts": pa.array([found[i][1] if f else None for i, f in zip(at, fresh, strict=True)], pa.list_(pa.string())),
+                    }
+                )
+                rows.append((home, n, nth, _pack(table)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["home", "many", "nth", "pack"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, now, packs = WordHasher(), None, []
+
+        def unit() -> pa.RecordBatch:
+            table = pa.concat_tables([_unpack(p) for p in packs])
+            keys, total = [], []
+            for side, (stream, n) in enumerate(_sides(table, hasher)):
+                key, many = counted(stream)
+                rule = boilerplate if now[1] == 1 else frequent
+                keys += [(side, int(k)) for k in key[rule(many, n, side)].astype(np.int64)]
+                total.append(n)
+            held = pa.array([[{"side": s, "key": k} for s, k in keys]], pa.list_(pa.struct([("side", pa.int32()), ("key", pa.int64())])))
+            return pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.array([now[1]]), *(pa.array([t], pa.int64()) for t in total), pa.array([_pack(table)], pa.binary()), held], names=["home", "many", "outside", "inside", "pack", "keys"])
+
+        for batch in batches:
+            for home, n, nth, raw in zip(*(batch.column(c).to_pylist() for c in ("home", "many", "nth", "pack")), strict=True):
+                if now is not None and now != (home, n, nth):
+                    yield unit()
+                    packs.clear()
+                now = (home, n, nth)
+                packs.append(raw)
+        if packs:
+            yield unit()
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent = sized.mapInArrow(pack, "home long, many long, nth long, pack binary").repartition(parts, "home", "nth").sortWithinPartitions("home", "nth")
+    pair = "array<struct<side: int, key: long>>"
+    units = written(sent.mapInArrow(gather, f"home long, many long, outside long, inside long, pack binary, keys {pair}"), "html-units")
+    large = units.where("many > 1")
+    named_keys = large.select("home", F.explode("keys").alias("k")).distinct()
+    asked = written(named_keys.groupBy("home").agg(F.collect_list("k").alias("asked")), "html-asked")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            for row, host, zones, texts in zip(*(batch.column(c).to_pylist() for c in ("row", "host", "zones", "texts")), strict=True):
-                for side, own in enumerate(_sides(zones, texts, hasher)):
-                    keys, (at, lens, small) = _windows(own), _short(own)
-                    n = len(keys) + len(small)
-                    at, width = np.append(np.arange(len(keys)), at).astype(np.int32), np.append(np.full(len(keys), LONG), lens).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row)), pa.array(np.full(n, side, np.int32)), pa.array(at), pa.array(width), pa.array(_of_host(np.append(keys, small), host, side))], names=["row", "side", "at", "w", "key"])
-
-    every = table.select("row", "host", "zones", "texts").mapInArrow(places, "row long, side int, at int, w int, key long")
-    hit = marked(every, "key", shared).where("_in").drop("_in").join(shared, "key", "left_semi")
-    gone = written(hit.groupBy("row").agg(F.collect_list(F.struct("side", "at", "w")).alias("gone")), "html-gone")
-    out = T.StructType([*base.schema.fields[:2], T.StructField("text", T.StringType())])
+            for home, raw, wanted in zip(*(batch.column(c).to_pylist() for c in ("home", "pack", "asked")), strict=True):
+                for side, (stream, _) in enumerate(_sides(_unpack(raw), hasher)):
+                    key, n = counted(stream)
+                    own = np.isin(key, _keys(wanted, side))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(int(own.sum()), home)), pa.array(np.full(int(own.sum()), side, np.int32)), pa.array(key[own].astype(np.int64)), pa.array(n[own])], names=["home", "side", "key", "n"])
+
+    answers = large.select("home", "pack").join(bounded(asked, BROADCAST_ROWS, "asked"), "home").select("home", "pack", "asked").mapInArrow(count, "home long, side int, key long, n long")
+    total = large.groupBy("home").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"))
+    summed = answers.groupBy("home", "side", "key").agg(F.sum("n").alias("n")).join(total, "home")
+    rule = F.when(F.col("side") == 1, (F.col("n") >= ARTICLE_PAGES) & (2 * F.col("n") >= F.col("inside"))).otherwise((F.col("n") >= 2) & (ONE_IN * F.col("n") >= F.col("outside")))
+    decided = written(summed.where(rule).groupBy("home").agg(F.collect_list(F.struct("side", "key")).alias("gone")).withColumnRenamed("home", "large"), "html-gone")
+    out = T.StructType([*own_types, T.StructField("text", T.StringType())])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
         for batch in batches:
-            texts = [_left(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("zones", "texts", "gone")), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=out.names)
-
-    told = marked(table.select("row", "page_id", "url", "zones", "texts"), "row", gone.select("row"))
-    struck = told.where("_in").drop("_in").join(gone, "row", "left").drop("row")
-    whole = told.where("NOT _in").drop("_in", "row").withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))  # these need no join
-    return struck.unionByName(whole).mapInArrow(keep, out).withColumn("n_chars", F.char_length("text").cast("long"))
+            for raw, gone in zip(batch.column("pack").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+                table = _unpack(raw)
+                held, of = _contents(table)
+                text = dict(zip(held, main_texts(list(held.values()), [_keys(gone, 0), _keys(gone, 1)], hasher), strict=True))
+                made = pa.table({"page_id": table.column("page_id"), "url": table.column("url"), "text": pa.array([text[x] for x in of], pa.string())})
+                yield from made.combine_chunks().to_batches()
+
+    told = units.join(bounded(decided, BROADCAST_ROWS, "gone"), F.col("home") == F.col("large"), "left")
+    gone = F.when(F.col("many") == 1, F.col("keys")).otherwise(F.col("gone"))
+    return told.select("pack", gone.alias("gone")).mapInArrow(keep, out).withColumn("n_chars", F.char_length("text").cast("long"))
