@@ -144,10 +144,12 @@ def suffix_ranks(ids: np.ndarray, depth: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Stream:
-    """The tokens (hashes) of one side of pages, one after another. Substrings are the windows of LONG tokens inside a
-    page, over the borders of its blocks, and then the whole blocks of fewer tokens: their page, place, width and key."""
+    """The tokens (hashes) of one side of pages, one after another, and where each page begins. Substrings are the
+    windows of LONG tokens inside a page, over the borders of its blocks, and then the whole blocks of fewer tokens:
+    their page, place, width and key."""
 
     tokens: np.ndarray
+    begin: np.ndarray
     long: int
     page: np.ndarray
     at: np.ndarray
@@ -158,32 +160,26 @@ class Stream:
 Page = tuple[list[int], list[str]]
 
 
-def streams(pages: list[Page], hasher: WordHasher) -> list[Stream]:
-    """The streams outside and inside articles of pages (zones, texts)."""
-    zones = np.array([z for p in pages for z in p[0]], np.int64)
-    split = [t.encode("utf-8", "surrogatepass").split() for p in pages for t in p[1]]
-    size = np.fromiter(map(len, split), np.int64, len(split))
-    every = hasher([w for x in split for w in x])
-    block_page = np.repeat(np.arange(len(pages)), [len(p[0]) for p in pages])
-    out = []
-    for inside in (False, True):
-        own = (zones == ARTICLE) == inside
-        tokens = every[np.repeat(own, size)]
-        lens, of_block = size[own], block_page[own]
-        begin = np.cumsum(lens) - lens
-        page = np.repeat(of_block, lens)
-        at = np.arange(max(len(tokens) - LONG + 1, 0))
-        at = at[page[at] == page[at + LONG - 1]]
-        places, widths, keys, owners = [at], [np.full(len(at), LONG)], [shingles(tokens, LONG)[at]], [page[at]]
-        for n in range(1, LONG):
-            some = lens == n
-            if some.any():
-                places.append(begin[some])
-                widths.append(np.full(int(some.sum()), n))
-                keys.append(shingles(tokens, n)[begin[some]])
-                owners.append(of_block[some])
-        out.append(Stream(tokens, len(at), np.concatenate(owners), np.concatenate(places), np.concatenate(widths), np.concatenate(keys)))
-    return out
+def stream(pages: list[Page], side: int, hasher: WordHasher) -> Stream:
+    """The stream of pages (zones, texts) outside (0) or inside (1) articles."""
+    own = [[t.encode("utf-8", "surrogatepass").split() for z, t in zip(*p, strict=True) if (z == ARTICLE) == side] for p in pages]
+    lens = np.array([len(b) for p in own for b in p], np.int64)
+    tokens = hasher([w for p in own for b in p for w in b])
+    of_block = np.repeat(np.arange(len(pages)), [len(p) for p in own])
+    start = np.cumsum(lens) - lens
+    page = np.repeat(of_block, lens)
+    at = np.arange(max(len(tokens) - LONG + 1, 0))
+    at = at[page[at] == page[at + LONG - 1]]
+    places, widths, keys, owners = [at], [np.full(len(at), LONG)], [shingles(tokens, LONG)[at]], [page[at]]
+    for n in range(1, LONG):
+        some = lens == n
+        if some.any():
+            places.append(start[some])
+            widths.append(np.full(int(some.sum()), n))
+            run = tokens[start[some][:, None] + np.arange(n)].reshape(-1)
+            keys.append(shingles(run, n)[::n])
+            owners.append(of_block[some])
+    return Stream(tokens, np.searchsorted(page, np.arange(len(pages) + 1)), len(at), np.concatenate(owners), np.concatenate(places), np.concatenate(widths), np.concatenate(keys))
 
 
 def _pages_with(rank: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,12 +192,19 @@ def _pages_with(rank: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order[at], np.add.reduceat(fresh.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
 
 
-def counted(stream: Stream) -> tuple[np.ndarray, np.ndarray]:
+def counted(own: Stream) -> tuple[np.ndarray, np.ndarray]:
     """The distinct substrings of a stream by key, and how many pages have each, from its suffix array."""
-    n = stream.long
-    at, many = _pages_with(suffix_ranks(stream.tokens, LONG)[stream.at[:n]], stream.page[:n])
-    short, few = _pages_with(stream.key[n:], stream.page[n:])
-    return np.concatenate([stream.key[:n][at], stream.key[n:][short]]), np.concatenate([many, few])
+    n = own.long
+    at, many = _pages_with(suffix_ranks(own.tokens, LONG)[own.at[:n]], own.page[:n])
+    short, few = _pages_with(own.key[n:], own.page[n:])
+    return np.concatenate([own.key[:n][at], own.key[n:][short]]), np.concatenate([many, few])
+
+
+def among(own: Stream, keys: np.ndarray) -> np.ndarray:
+    """Which substrings of a stream have one of the sorted keys."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(keys[np.minimum(np.searchsorted(keys, own.key), len(keys) - 1)] == own.key)
 
 
 def boilerplate(n: np.ndarray, pages: int, side: int) -> np.ndarray:
@@ -222,7 +225,7 @@ def _left(page: Page, covered: list[np.ndarray], hits: list[list[tuple[int, int]
         side, tokens = int(z == ARTICLE), t.split()
         a, b = start[side], start[side] + len(tokens)
         start[side] = b
-        drop = np.full(len(tokens), bool(covered[side][a:b].all()))
+        drop = np.full(len(tokens), bool(len(covered[side]) and covered[side][a:b].all()))
         own = hits[side]
         while nth[side] < len(own) and own[nth[side]][0] < b:
             at, width = own[nth[side]]
@@ -239,24 +242,28 @@ def main_texts(pages: list[Page], gone: list[np.ndarray], hasher: WordHasher) ->
     if not any(len(x) for x in gone):
         return [" ".join(t for z, t in zip(*p, strict=True) if z != CHROME) for p in pages]
     found = []
-    for stream, keys in zip(streams(pages, hasher), gone, strict=True):
-        near = np.minimum(np.searchsorted(keys, stream.key), max(len(keys) - 1, 0))
-        hit = np.flatnonzero(keys[near] == stream.key) if len(keys) else np.zeros(0, np.int64)
-        hit = hit[np.lexsort((stream.at[hit], stream.page[hit]))]
-        step = np.zeros(len(stream.tokens) + 1, np.int64)
-        np.add.at(step, stream.at[hit], 1)
-        np.add.at(step, stream.at[hit] + stream.width[hit], -1)
-        found.append((np.cumsum(step)[:-1] > 0, stream.page[hit], stream.at[hit], stream.width[hit]))
-    out, begin = [], [0, 0]
+    for side, keys in enumerate(gone):
+        if not len(keys):
+            found.append(None)
+            continue
+        own = stream(pages, side, hasher)
+        hit = among(own, keys)
+        hit = hit[np.lexsort((own.at[hit], own.page[hit]))]
+        step = np.zeros(len(own.tokens) + 1, np.int64)
+        np.add.at(step, own.at[hit], 1)
+        np.add.at(step, own.at[hit] + own.width[hit], -1)
+        edges = np.searchsorted(own.page[hit], np.arange(len(pages) + 1))
+        found.append((np.cumsum(step)[:-1] > 0, own.begin.tolist(), edges.tolist(), own.at[hit].tolist(), own.width[hit].tolist()))
+    out, nothing = [], np.zeros(0, bool)
     for i, page in enumerate(pages):
-        size = [sum(len(t.split()) for z, t in zip(*page, strict=True) if (z == ARTICLE) == inside) for inside in (False, True)]
-        covered, hits = [], []
-        for side, (cover, of, at, width) in enumerate(found):
-            a, b = np.searchsorted(of, [i, i + 1])
-            covered.append(cover[begin[side] : begin[side] + size[side]])
-            hits.append(list(zip((at[a:b] - begin[side]).tolist(), width[a:b].tolist(), strict=True)))
-            begin[side] += size[side]
-        plain = not any(map(len, hits))
+        covered, hits = [nothing, nothing], [[], []]
+        for side, own in enumerate(found):
+            if own is not None:
+                cover, begin, edges, at, width = own
+                covered[side] = cover[begin[i] : begin[i + 1]]
+                hits[side] = [(at[j] - begin[i], width[j]) for j in range(edges[i], edges[i + 1])]
+        # chrome goes anyway; a page with nothing else to lose is joined as it is
+        plain = not any(hits) or not any(c.any() for c in covered)
         out.append(" ".join(t for z, t in zip(*page, strict=True) if z != CHROME) if plain else _left(page, covered, hits))
     return out
 
@@ -287,7 +294,7 @@ def _sides(table: pa.Table, hasher: WordHasher) -> list[tuple[Stream, int]]:
     articles = dict(zip(table.column("art").to_pylist(), of, strict=True))
     outside = [p for p in held.values() if any(z != ARTICLE for z in p[0])]
     inside = [held[whole] for art, whole in articles.items() if art is not None]
-    return [(streams(outside, hasher)[0], len(outside)), (streams(inside, hasher)[1], len(inside))]
+    return [(stream(outside, 0, hasher), len(outside)), (stream(inside, 1, hasher), len(inside))]
 
 
 def _digest(page: Page) -> bytes:
@@ -357,8 +364,8 @@ def extract(pages: DataFrame) -> DataFrame:
         def unit() -> pa.RecordBatch:
             table = pa.concat_tables([_unpack(p) for p in packs])
             keys, total = [], []
-            for side, (stream, n) in enumerate(_sides(table, hasher)):
-                key, many = counted(stream)
+            for side, (own, n) in enumerate(_sides(table, hasher)):
+                key, many = counted(own)
                 rule = boilerplate if now[1] == 1 else frequent
                 keys += [(side, int(k)) for k in key[rule(many, n, side)].astype(np.int64)]
                 total.append(n)
@@ -387,10 +394,11 @@ def extract(pages: DataFrame) -> DataFrame:
         hasher = WordHasher()
         for batch in batches:
             for home, raw, wanted in zip(*(batch.column(c).to_pylist() for c in ("home", "pack", "asked")), strict=True):
-                for side, (stream, _) in enumerate(_sides(_unpack(raw), hasher)):
-                    key, n = counted(stream)
-                    own = np.isin(key, _keys(wanted, side))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(int(own.sum()), home)), pa.array(np.full(int(own.sum()), side, np.int32)), pa.array(key[own].astype(np.int64)), pa.array(n[own])], names=["home", "side", "key", "n"])
+                for side, (own, _) in enumerate(_sides(_unpack(raw), hasher)):
+                    hit = among(own, _keys(wanted, side))
+                    at, n = _pages_with(own.key[hit], own.page[hit])
+                    key = own.key[hit][at].astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), home)), pa.array(np.full(len(key), side, np.int32)), pa.array(key), pa.array(n)], names=["home", "side", "key", "n"])
 
     answers = large.select("home", "pack").join(bounded(asked, BROADCAST_ROWS, "asked"), "home").select("home", "pack", "asked").mapInArrow(count, "home long, side int, key long, n long")
     total = large.groupBy("home").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"))
