@@ -2,8 +2,9 @@
 
 An item's windows are `size` consecutive words, or the whole item where it has fewer. A window's shingles are its pairs
 of neighbouring words (its word, if it has one). Containment is total, so a prefix of one shingle is enough: the rarest
-one over all documents. Documents post their places of shingles; places of prefix shingles join the windows, the window
-then has one place in the document, which must lie inside it (positional and length bounds), and its words are compared.
+one over all documents. Documents post their places of shingles, with their words; places of prefix shingles join the
+windows, the window then has one place in the document, which must lie inside it (positional and length bounds), and its
+words are compared.
 
 A side is broadcast only while its counted rows are under a bound; beyond it the same joins shuffle.
 """
@@ -19,7 +20,6 @@ from quarry.llm.common import written
 BROADCAST_ROWS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_RUN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -29,19 +29,10 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(lowered, F.lit("")), _GAPS), lambda w: w != "")
 
 
-def n_words(text: Column) -> Column:
-    """How many words `words` would give, without making them."""
-    return F.coalesce(F.regexp_count(text, F.lit(_RUN)), F.lit(0)).cast("long")
-
-
 def pairs(ws: Column) -> Column:
-    """Hash of the two words at each place but the last."""
+    """The two words at each place but the last, joined by a blank, which is in no word."""
     n = F.size(ws)
-    return F.zip_with(F.slice(ws, 1, F.greatest(n - 1, F.lit(0))), F.slice(ws, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-
-
-def singles(ws: Column) -> Column:
-    return F.transform(ws, lambda a: F.xxhash64(a))
+    return F.zip_with(F.slice(ws, 1, F.greatest(n - 1, F.lit(0))), F.slice(ws, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
 def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -57,42 +48,45 @@ def windows(items: DataFrame, size: int) -> DataFrame:
     return each.select(F.sha2(F.array_join("w", " ").cast("binary"), 256).alias("win"), "item_id", "w", F.size("w").alias("len"))
 
 
+def places_of(docs: DataFrame, wanted: DataFrame, single: bool) -> DataFrame:
+    """row, doc_id, n (words), at, token of each place of a wanted token (one column), and one place -1 a row, whose
+    token is empty. One pass splits every text once; `single` adds the words by themselves."""
+    split = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words(F.col("text")).alias("w"))
+    tokens = F.concat(F.array(F.lit("")), pairs(F.col("w")), *([F.col("w")] if single else []))
+    each = split.select("row", "doc_id", F.size("w").alias("n"), F.posexplode(tokens).alias("at", "token"))
+    ends = F.greatest("n", F.lit(1))  # where pairs end and single words begin
+    return each.join(bounded(wanted), "token", "left_semi").withColumn("at", F.when(F.col("at") < ends, F.col("at") - 1).otherwise(F.col("at") - ends))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, size: int = 13, percent: int = 5) -> DataFrame:
     """doc_id, n_words, n_hit, item_ids (sorted as strings), contaminated for docs (doc_id, text), items (item_id, text).
 
     A document word inside any place of an item's window is hit; contaminated means at least one hit word and
     100 * n_hit >= percent * n_words. A null, empty or wordless text has no words and is clean; such an item has no
-    window. Rows that repeat a doc_id (or have none) are judged as one document, whose findings all of them get. Items that repeat an item_id count once. Other
-    columns are ignored; without items everything is clean.
+    window. Every row is judged by itself, whether its doc_id is null, repeated or neither. Items that repeat an
+    item_id count once. Other columns are ignored; without items everything is clean.
     """
-    rows = docs.select("doc_id", "text")
     table = written(windows(items.select("item_id", "text"), size), "dc-windows")
     distinct = table.groupBy("win").agg(F.first("w").alias("w"), F.first("len").alias("len"))
-    tokens = F.when(F.size("w") > 1, pairs(F.col("w"))).otherwise(singles(F.col("w")))
+    tokens = F.when(F.size("w") > 1, pairs(F.col("w"))).otherwise(F.col("w"))
     grams = written(distinct.select("win", "len", F.posexplode(tokens).alias("at", "token")), "dc-grams")
-    split = rows.select("doc_id", words(F.col("text")).alias("w"))
-    places = split.select("doc_id", F.posexplode(pairs(F.col("w"))).alias("at", "token"))
-    if not table.where("len = 1").isEmpty():
-        places = places.unionByName(split.select("doc_id", F.posexplode(singles(F.col("w"))).alias("at", "token")))
-    places = written(places.join(bounded(grams.select("token").distinct()), "token", "left_semi").select("doc_id", "at", "token"), "dc-places")
+    wanted = grams.select("token").union(docs.sparkSession.range(1).select(F.lit("").alias("token"))).distinct()
+    found = written(places_of(docs.select("doc_id", "text"), wanted, not table.where("len = 1").isEmpty()), "dc-places")
+    places = found.where("at >= 0").select("row", "at", "token")
     often = places.groupBy("token").agg(F.count("*").alias("often"))
     rarest = grams.join(often, "token").groupBy("win", "len").agg(F.count("*").alias("met"), F.min(F.struct("often", "at", "token")).alias("p"))
     complete = rarest.where("met = greatest(len - 1, 1)")  # a window with a shingle that occurs nowhere cannot occur
-    prefix = complete.select("win", "len", F.col("p.at").alias("shift"), F.col("p.token").alias("token"))
+    prefix = written(complete.select("win", "len", F.col("p.at").alias("shift"), F.col("p.token").alias("token")), "dc-prefix")
     started = places.join(bounded(prefix), "token").withColumn("start", F.col("at") - F.col("shift")).where("start >= 0")
-    candidates = started.select("doc_id", "win", "len", "start").distinct()
-    expected = candidates.join(bounded(grams.drop("len")), "win").select("doc_id", "win", "len", "start", (F.col("start") + F.col("at")).alias("at"), "token")
-    met = places.distinct().withColumnRenamed("doc_id", "d")
-    same = expected["doc_id"].eqNullSafe(met["d"]) & (expected["at"] == met["at"]) & (expected["token"] == met["token"])
-    whole = expected.join(met, same).groupBy("doc_id", "win", "len", "start").agg(F.count("*").alias("n")).where("n = greatest(len - 1, 1)")
-    occurs = written(whole.select("doc_id", "win", "len", "start"), "dc-occurs")
-    spans = occurs.select("doc_id", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("at")).distinct()
-    hit = spans.groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    named = occurs.select("doc_id", "win").distinct().join(bounded(table.select("win", "item_id").distinct()), "win").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
-    listed = named.groupBy("doc_id").agg(F.array_sort(F.collect_list("item")).alias("item_ids")).withColumnRenamed("doc_id", "named_id")
-    counted = rows.select("doc_id", n_words(F.col("text")).alias("n_words"))
-    found = hit.join(listed, F.col("doc_id").eqNullSafe(F.col("named_id"))).select(F.col("doc_id").alias("d"), "n_hit", "item_ids")
-    out = counted.join(found, counted["doc_id"].eqNullSafe(F.col("d")), "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
+    candidates = started.select("row", "win", "len", "start").distinct()
+    expected = candidates.join(bounded(grams.drop("len")), "win").select("row", "win", "len", "start", (F.col("start") + F.col("at")).alias("at"), "token")
+    whole = expected.join(places, ["row", "at", "token"]).groupBy("row", "win", "len", "start").agg(F.count("*").alias("met")).where("met = greatest(len - 1, 1)")
+    occurs = written(whole.select("row", "win", "len", "start"), "dc-occurs")
+    spans = occurs.select("row", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("at")).distinct()
+    hit = spans.groupBy("row").agg(F.count("*").alias("n_hit"))
+    named = occurs.select("row", "win").distinct().join(bounded(table.select("win", "item_id").distinct()), "win").select("row", F.col("item_id").cast("string").alias("item")).distinct()
+    listed = named.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("item_ids"))
+    out = found.where("at < 0").join(hit.join(listed, "row", "left"), "row", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
     )
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words")))
