@@ -8,9 +8,9 @@ kept in a bounded memory by a 128-bit hash, join to the ids of the text.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
-from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -23,22 +23,43 @@ WHITE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 
-@lru_cache(maxsize=1)
-def classes() -> np.ndarray:
+@lru_cache(maxsize=2)
+def classes(path: str) -> np.ndarray:
+    """Class of each code point, as the tokenizer's own splitter sees it: runs of one class in Python's tables are tried
+    on the splitter, each after a character that is surely of that class, and where a run falls apart (their Unicode
+    versions differ) its characters are tried one by one."""
     out = np.full(0x110000, OTHER, np.uint8)
     for i in range(0x110000):
         kind = unicodedata.category(chr(i))[0]
         if kind in "LN":
             out[i] = LETTER if kind == "L" else NUMBER
     out[list(WHITE)] = SPACE
+    leads = {LETTER: "a", NUMBER: "1", OTHER: "!", SPACE: "!"}
+    edges = sorted({*(np.flatnonzero(out[1:] != out[:-1]) + 1).tolist(), 0, 0xD800, 0xE000, 0x110000})  # no surrogates
+    runs = [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if a != 0xD800]
+    split = _tokenizer(path).pre_tokenizer.pre_tokenize_str
+
+    def whole(tries: list[str]) -> list[bool]:
+        """Whether each string, on a line of its own, stays in one piece."""
+        have = {spot for _, spot in split("\n" + "\n".join(tries))}
+        begin = np.cumsum([1, *(len(t) + 1 for t in tries)])[:-1].tolist()
+        return [(a, a + len(t)) in have for a, t in zip(begin, tries, strict=True)]
+
+    text = lambda a, b: "".join(map(chr, range(a, b)))
+    sure = whole([leads[int(out[a])] + text(a, b) for a, b in runs])
+    odd = [i for (a, b), ok in zip(runs, sure, strict=True) if not ok for i in range(a, b)]
+    out[odd] = SPACE
+    for kind in (LETTER, NUMBER, OTHER):
+        out[np.array(odd, np.int64)[whole([leads[kind] + chr(i) for i in odd])]] = kind
     return out
 
 
-def cuts(text: str, begins: np.ndarray) -> np.ndarray:
-    """Start of every piece of texts that are joined to one, each beginning at its place in `begins`."""
+def cuts(text: str, begins: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Start of every piece of texts that are joined to one, each beginning at its place in `begins`; `kinds` are the
+    classes of code points."""
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(code)
-    kind = classes()[code]
+    kind = kinds[code]
     start = np.ones(n, bool)
     np.not_equal(kind[1:], kind[:-1], out=start[1:])
     start[begins] = True
@@ -85,41 +106,30 @@ class Powers:
                 self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.inverse, k, 1 << 64))])
 
 
-#: Pieces on which a faster merge must agree with the tokenizer before it is used.
-PROBE = (" the", "ing", "É", " 12345", "\n\n", "ß", "'ll", " überraschungsfrei", "xyzzyqwvut", "漢字かな", " \t ", "!!??", "1", "🙂🙃", "Ωmega", " a")
-
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):  # noqa: ANN202
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
+    from tokenizers import Tokenizer
 
-def _merger(own, path: str) -> Callable[[str], list[int]]:  # noqa: ANN001
-    """Piece to ids. Byte-level BPE whose ids are in merge order is merged by a library made for that, from the same
-    file; any other vocabulary by the tokenizer."""
-    import json
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    return own
 
-    import tiktoken
 
-    slow = lambda piece: own.encode(piece, add_special_tokens=False).ids
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+def _plain(path: str) -> bool:
+    """Whether the file splits by the public pattern, into bytes, with nothing done before."""
     with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
-    special = {t.content for t in own.get_added_tokens_decoder().values()}
-    try:
-        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
-        fast = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        return fast if all(fast(p) == slow(p) for p in PROBE) else slow
-    except (KeyError, AttributeError, ValueError):
-        return slow
+        said = json.load(f)
+    split = said.get("pre_tokenizer") or {}
+    return said.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
 
 
 class Encoder:
     """ids of texts, as uint32 arrays. Remembers at most about `most` pieces: past that, those seen again."""
 
     def __init__(self, path: str, most: int = 400_000) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
-        from tokenizers import Tokenizer
-
-        self.own, self.most = Tokenizer.from_file(path), most
-        self.own.encode_special_tokens = True
-        self.single = _merger(self.own, path)
+        self.own, self.most = _tokenizer(path), most
+        self.kinds = classes(path) if _plain(path) else None
         self.powers = [Powers(b) for b in BASES]
         self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.begin, self.count, self.uses = (np.zeros(0, np.int64) for _ in range(3))
@@ -159,25 +169,31 @@ class Encoder:
         self.begin, self.uses = ends - self.count, np.zeros(len(ends), np.int64)
 
     def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
-        ids = list(map(self.single, pieces))
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        found = self.own.encode(pieces, is_pretokenized=True, add_special_tokens=False)  # each piece by itself
+        count = np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
         begin = len(self.pool) + np.cumsum(count) - count
-        self.pool = np.concatenate([self.pool, np.concatenate(ids).astype(np.uint32)])
+        self.pool = np.concatenate([self.pool, np.array(found.ids, np.uint32)])
         by = np.argsort(np.concatenate([self.key, keys]), kind="stable")
         new = (keys, checks, begin, count, np.zeros(len(keys), np.int64))
         old = (self.key, self.check, self.begin, self.count, self.uses)
         self.key, self.check, self.begin, self.count, self.uses = (np.concatenate([a, b])[by] for a, b in zip(old, new, strict=True))
 
+    def _plainly(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [np.array(e.ids, np.uint32) for e in self.own.encode_batch(texts, add_special_tokens=False)]
+        return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each text has."""
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         begins = (np.cumsum(size) - size)[size > 0]
         if not len(begins):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        if self.kinds is None:
+            return self._plainly(texts)
         text = "".join(texts)
         if len(self.key) > self.most:
             self._forget()
-        starts = cuts(text, begins)
+        starts = cuts(text, begins, self.kinds)
         ends = np.append(starts[1:], len(text))
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         keys, checks = self._hashes(code, starts, ends)
@@ -189,8 +205,7 @@ class Encoder:
             at, known = self._find(each)
         at = at[which]
         if not known.all() or (self.check[at] != checks).any():  # two pieces with one key, or more pieces than fit
-            ids = [np.array(e.ids, np.uint32) for e in self.own.encode_batch(texts, add_special_tokens=False)]
-            return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
+            return self._plainly(texts)
         self.uses += np.bincount(at, minlength=len(self.key))
         n = self.count[at]
         stop = np.cumsum(n)
