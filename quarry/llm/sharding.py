@@ -24,6 +24,9 @@ from quarry.llm.common import dropped, numbered, written
 
 #: Groups of more than one shard's capacity divided by this are planned; there are fewer than shards * PIECES * 2.
 PIECES = 4
+#: A group of more than one in so many documents joins by a broadcast, not by a shuffle: no key of a shuffle is hot, and
+#: there are fewer than so many such groups.
+SPREAD = 8000
 #: Documents that one numbering window should hold.
 WINDOW_ROWS = 20_000
 #: The same for members of one planned group.
@@ -64,11 +67,17 @@ def propagate(docs: DataFrame, shards: int = 8, rounds: int = 4) -> DataFrame:
     told = own.select("row", "h1", "h2", "size").join(F.broadcast(known), ["h1", "h2", "size"], "left")  # a few dozen rows
     ranked = numbered(told.where("g IS NOT NULL").select("row", "g"), ["g"], [F.lit(0), F.col("row")], "rank", max(1, max((r["members"] for r in large), default=0) // GROUP_ROWS))
     held = ranked.select("row", F.col("g").cast("long").alias("piece"), _spot(spots).alias("shard"), F.lit(True).alias("held"))
-    small = groups.where(F.col("members") <= limit).drop("members").withColumn("piece", F.xxhash64("h1", "h2", "size"))
-    rest = told.where("g IS NULL").join(small, ["h1", "h2", "size"], "left")
-    state = written(held.unionByName(rest.select("row", "piece", _start(room).alias("shard"), F.lit(False).alias("held"))), "shard-state")
+    most = max(2, total // SPREAD)
+    named = groups.where(F.col("members") <= limit).select("h1", "h2", "size", F.xxhash64("h1", "h2", "size").alias("piece"), (F.col("members") > most).alias("spread"))
+    middle = F.broadcast(named.where("spread").select("h1", "h2", "size", F.col("piece").alias("wide")))  # fewer than SPREAD rows
+    spread = told.where("g IS NULL").join(middle, ["h1", "h2", "size"], "left")
+    few = spread.where("wide IS NULL").join(named.where("NOT spread").drop("spread"), ["h1", "h2", "size"], "left").select("row", "piece", F.lit(False).alias("spread"))
+    rest = spread.where("wide IS NOT NULL").select("row", F.col("wide").alias("piece"), F.lit(True).alias("spread")).unionByName(few)
+    state = written(held.withColumn("spread", F.lit(False)).unionByName(rest.select("row", "piece", _start(room).alias("shard"), F.lit(False).alias("held"), "spread")), "shard-state")
     for turn in range(rounds):
-        state = _round(state, shards, total, turn)
+        state, settled = _round(state, shards, total, turn)
+        if settled:
+            break
     state = _settle(state, want, total)
     placed = state.join(own.select("row", "doc_id", "size", "text_crc32"), "row")
     out = numbered(placed, ["shard"], [F.lit(0), F.col("row")], "slot", max(1, total // shards // WINDOW_ROWS))
@@ -113,16 +122,22 @@ def _start(room: dict[int, int]) -> Column:
     return made.cast("int")
 
 
-def _round(state: DataFrame, shards: int, total: int, turn: int) -> DataFrame:
-    """Members of linked pieces move towards the shard that most of their piece is on, within quotas. A shard may run
-    over by half its share of unlinked documents, which the last step can move away without cutting a link."""
+def _round(state: DataFrame, shards: int, total: int, turn: int) -> tuple[DataFrame, bool]:
+    """Members of linked pieces move towards the shard that most of their piece is on, within quotas; and whether nobody
+    wished to move. A shard may run over by half its share of unlinked documents, which the last step can move away
+    without cutting a link."""
     free = state.where("piece IS NULL").count()
-    votes = state.where("piece IS NOT NULL AND NOT held").groupBy("piece", "shard").agg(F.count("*").alias("n"))
-    best = votes.groupBy("piece").agg(F.max_by("shard", F.struct("n", F.xxhash64("piece", "shard"))).alias("target"))
-    linked = state.where("piece IS NOT NULL AND NOT held").join(best, "piece").select("row", "piece", "shard", "target", "held")
-    alone = state.where("piece IS NULL OR held").select("row", "piece", "shard", F.col("shard").alias("target"), "held")
-    wish = written(linked.unionByName(alone), "shard-wish")
+    votes = state.where("piece IS NOT NULL AND NOT held").groupBy("piece", "shard", "spread").agg(F.count("*").alias("n"))
+    best = votes.groupBy("piece", "spread").agg(F.max_by("shard", F.struct("n", F.xxhash64("piece", "shard"))).alias("target"))
+    columns = ["row", "piece", "shard", "target", "held", "spread"]
+    moving = state.where("piece IS NOT NULL AND NOT held")
+    few = moving.where("NOT spread").join(best.where("NOT spread").drop("spread"), "piece")
+    wide = moving.where("spread").join(F.broadcast(best.where("spread").drop("spread")), "piece")  # fewer than SPREAD rows
+    alone = state.where("piece IS NULL OR held").withColumn("target", F.col("shard"))
+    wish = written(few.select(columns).unionByName(wide.select(columns)).unionByName(alone.select(columns)), "shard-wish")
     asked = {(r["shard"], r["target"]): r["n"] for r in wish.groupBy("shard", "target").agg(F.count("*").alias("n")).collect()}
+    if all(a == b for a, b in asked):
+        return dropped(state, wish), True
     load = {s: sum(n for (a, _), n in asked.items() if a == s) for s in range(shards)}
     most = -(-(total + free // 2) // shards)
     room = {s: max(0, most - load[s]) for s in range(shards)}
@@ -132,8 +147,8 @@ def _round(state: DataFrame, shards: int, total: int, turn: int) -> DataFrame:
             into = sum(m for (x, y), m in asked.items() if y == b and x != b)
             share[a, b] = min(1.0, (asked.get((b, a), 0) + room[b] * n / into) / n)
     granted = _chance(F.col("piece"), F.col("shard"), F.lit(turn)) < _grid(share, F.col("shard"), F.col("target"))
-    moved = written(wish.select("row", "piece", F.when((F.col("shard") != F.col("target")) & granted, F.col("target")).otherwise(F.col("shard")).alias("shard"), "held"), "shard-state")
-    return dropped(moved, wish, state)
+    moved = written(wish.select("row", "piece", F.when((F.col("shard") != F.col("target")) & granted, F.col("target")).otherwise(F.col("shard")).alias("shard"), "held", "spread"), "shard-state")
+    return dropped(moved, wish, state), False
 
 
 def _settle(state: DataFrame, want: dict[int, int], total: int) -> DataFrame:
