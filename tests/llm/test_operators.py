@@ -59,11 +59,39 @@ def test_substring_matches_brute_force(spark, odd):
 
 def test_super_kmers_cover_every_window_once():
     words = [b"w%d" % (i * i % 11) for i in range(90)]
-    spans = [(a, n, packed.split()) for _, a, n, packed in substring.super_kmers(words, substring.WordHasher(5)(words), 20)]
+    hashes = substring.WordHasher(5)(words)
+    common = np.sort(substring.shingles(hashes, 4)[::3])
+    spans = [(a, n, packed.split()) for _, a, n, packed in substring.super_kmers(words, hashes, 20, common)]
     assert [a for a, _, _ in spans] == [0, *np.cumsum([n for _, n, _ in spans])[:-1]] and sum(n for _, n, _ in spans) == 71
     assert all(w == words[a : a + n + 19] for a, n, w in spans)
 
 
+def test_substring_compares_words_where_hashes_collide(odd):
+    """Every word has one hash: windows are told apart by their words, in one round or several."""
+    docs = [(d, t.encode().split()) for d, t in odd if t and len(t.split()) >= 20][:14]
+    strings = [(d, i, b" ".join(w[i : i + 25])) for d, w in docs for i in range(0, min(len(w), 120) - 24, 6)]
+    heads = {"doc": [d for d, _, _ in strings], "tie": [0] * len(strings), "start": [i for _, i, _ in strings], "windows": [6] * len(strings)}
+    args = {k: np.array(v, np.int64) for k, v in heads.items()}, b"\n".join(x for _, _, x in strings)
+    same = lambda words: np.zeros(len(words), np.uint64)
+    want, got = (substring.marked_windows(*args, h, 20) for h in (substring.WordHasher(), same))
+    assert len(want[0]) and sorted(zip(*(x.tolist() for x in want[:3]), strict=True)) == sorted(zip(*(x.tolist() for x in got[:3]), strict=True))
+
+
+def test_substring_buckets_read_in_many_rounds(spark, odd, monkeypatch):
+    monkeypatch.setattr(substring, "SORT_BYTES", 2000)
+    monkeypatch.setattr(substring, "PACK_BYTES", 1500)
+    monkeypatch.setattr(substring, "COMMON", 2)
+    out = substring.remove_repeats(frame(spark, odd), buckets=2).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in out} == brute.substring(odd)
+
+
+def test_substring_one_id_with_two_texts(spark):
+    long, other = " ".join(f"w{i}" for i in range(160)), " ".join(f"w{i}" for i in range(100, 140))
+    rows = [(1, long), (1, "a b c d e"), (0, other), (1, other), (2, long)]
+    out = sorted((r.doc_id, r.n_words, r.n_removed) for r in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert out == [(0, 40, 0), (1, 5, 0), (1, 40, 40), (1, 160, 40), (2, 160, 160)]
+
+
 def test_substring_repeated_and_null_ids(spark):
     long = " ".join(f"w{i}" for i in range(30))
     rows = [(1, long), (1, long), (2, long), (None, long), (None, long)]
@@ -90,10 +118,53 @@ def test_neardup_chain_and_foreign_members(spark):
     assert got == brute.near_duplicates(rows, 4)
 
 
+def family(n, part=0.6, length=200, seed=3):
+    """Texts that share a template and are not alike: every pair is of a similarity under the threshold."""
+    r = random.Random(seed)
+    shared = [f"t{i}" for i in range(int(length * part))]
+    return [" ".join(shared + [f"u{i}_{r.randrange(10**9)}" for _ in range(length - len(shared))]) for i in range(n)]
+
+
+def test_neardup_counts_collisions():
+    """Partners are the pairs above the threshold whose first common coordinate is the posting's, however many there are."""
+    r = np.random.RandomState(5)
+    base = r.randint(0, 1 << 32, (1, neardup.COORDINATES, neardup.ROWS), dtype=np.uint64).astype(np.uint32)
+    sig = np.repeat(base, 60, 0)
+    fresh = r.rand(*sig.shape) < r.rand(60, 1, 1) * 0.5
+    sig[fresh] = r.randint(0, 1 << 32, fresh.sum(), dtype=np.uint64).astype(np.uint32)
+    same = sig[:, None] == sig[None]
+    whole = same.all(3)
+    for first in (0, 3):
+        ok = (same.sum((2, 3)) >= neardup.AGREEING) & (whole.sum(2) >= neardup.MATCHES) & ~whole[:, :, :first].any(2) & ~np.eye(60, dtype=bool)
+        on = np.flatnonzero((sig[:, first] == base[0, first]).all(1))
+        for few in (0, 10**6):
+            neardup.FEW_PAIRS, kept = few, neardup.FEW_PAIRS
+            left, right = neardup.partners(sig[on], sig[on], first, None, 80, ~np.eye(len(on), dtype=bool))
+            neardup.FEW_PAIRS = kept
+            assert left.tolist() == right.tolist() == ok[on][:, on].any(1).tolist() and 0 < left.sum()
+
+
+def test_neardup_sends_texts_of_partners_only(spark, monkeypatch):
+    """A family under the threshold shares postings, and hardly any text travels; links inside it are still found."""
+    rows = list(enumerate(family(150, 0.7)))
+    rows += [(1000 + i, t + " more words") for i, t in rows[:40]]
+    sent = []
+    keep = neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, tag: [t := keep(df, tag), sent.append(t.count()) if tag == "nd-named" else None][0])
+    for block in (2048, 32):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+        assert got == brute.near_duplicates(rows, 4)
+    assert max(sent) < 2 * len(rows)
+
+
 def test_neardup_odd_ids(spark):
-    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (3, "A b c d e f"), (9, None), (9, "")]
-    out = sorted(((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
-    assert out == [(3, 3, True), (5, 3, False), (5, 3, False), (9, 9, True), (9, 9, True), (None, None, True)]
+    a, b = "a b c d e f", " ".join(f"w{i}" for i in range(30))
+    rows = [(5, a), (5, a), (None, a), (3, "A b c d e f"), (9, None), (9, ""), (7, b), (7, "x y z x y z"), (7, b + " "), (6, b)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = sorted(((r.doc_id, r.component_id, r.kept) for r in found), key=str)
+    assert out == sorted([(3, 3, True), (5, 3, False), (5, 3, False), (6, 6, True), (7, 6, False), (7, 6, False), (7, 7, True), (9, 9, True), (9, 9, True), (None, None, True)], key=str)
+    assert sorted((r.doc_id, r.n_shingles) for r in found if r.first and r.n_shingles and r.doc_id) == [(3, 2), (6, 26), (7, 2)]
     assert neardup.near_duplicates(empty(spark)).count() == 0
 
 
@@ -158,8 +229,10 @@ def test_decontamination_matches_brute_force(spark):
         for x in out:
             n, hit, ids = brute.hits(dict(docs)[x.doc_id], own)
             assert (x.n_words, x.n_hit, x.item_ids, x.contaminated) == (n, hit, [str(i) for i in ids], hit > 0 and 20 * hit >= n), x.doc_id
-    same = spark.createDataFrame([(None, items[6][1]), (7, items[6][1]), (7, items[6][1])], "doc_id long, text string")
-    assert [x.contaminated for x in decontam.contaminated(same, spark.createDataFrame(items, "item_id long, text string")).collect()] == [True] * 3
+    w = items[7][1].split()[:13]
+    halves = [(None, " ".join(w[:8])), (None, " ".join(w[7:])), (7, " ".join(w)), (7, " ".join(w)), (7, "other"), (8, " ".join(w[:8])), (8, "x " * 7 + " ".join(w[7:]))]
+    out = decontam.contaminated(spark.createDataFrame(halves, "doc_id long, text string"), spark.createDataFrame(items[7:8], "item_id long, text string")).collect()
+    assert sorted((x.doc_id or 0, x.n_words, x.n_hit) for x in out) == [(0, 6, 0), (0, 8, 0), (7, 1, 0), (7, 13, 13), (7, 13, 13), (8, 8, 0), (8, 13, 0)]
     assert decontam.contaminated(empty(spark), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
@@ -205,6 +278,12 @@ def test_tokens_equal_the_tokenizer():
         ids, counts = encode(texts)
         want = [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
         assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+    encode = tokens.Encoder(queries.tokenizer_path())
+    planes = [(0x20, 0x250), (0x250, 0x3000), (0x3000, 0xD800), (0xE000, 0x10000), (0x10000, 0x14000), (0x16000, 0x1F000), (0x1F000, 0x33480), (0xE0000, 0x110000)]
+    texts = ["".join(chr(r.randrange(*r.choice(planes))) for _ in range(r.randint(1, 12))) for _ in range(20_000)] + ["\U000139da\u920c"]
+    ids, counts = encode(texts)
+    want = [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
 
 
 def test_hilbert_walks_through_neighbours():
@@ -281,6 +360,28 @@ def test_sharding_keeps_large_groups_together(spark):
     assert {sum(r.shard == s for r in out) for s in range(8)} == {125}
 
 
+def test_sharding_cuts_fewer_edges_than_hashing(spark, monkeypatch):
+    """Groups of 2 to 12 copies among single texts: few lose a member, where a hash of the row cuts most."""
+    r, rows = random.Random(12), []
+    for g in range(150):
+        rows += [f"group {g}"] * r.randint(2, 12)
+    rows += [f"single {i}" for i in range(700)]
+    r.shuffle(rows)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+
+    def cut(shard_of):
+        """Members that are not on the shard of most of their group."""
+        on = {}
+        for d, t in enumerate(rows):
+            on.setdefault(t, []).append(shard_of[d])
+        return sum(len(x) - max(map(x.count, x)) for x in on.values())
+
+    for spread in (8000, 300):
+        monkeypatch.setattr(sharding, "SPREAD", spread)
+        out = {x.doc_id: x.shard for x in sharding.propagate(docs).collect()}
+        assert cut(out) <= 0.05 * cut({d: hash((d, "x")) % 8 for d in range(len(rows))})
+
+
 def test_sharding_plan_fills_to_capacity():
     spots, room = sharding.planned([7, 7, 7, 30], {0: 11, 1: 10, 2: 10, 3: 10, 4: 10, 5: 10})
     assert [len(own) for own in spots] == [1, 1, 1, 3] and sum(n for _, n in spots[3]) == 30
