@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Ranges of a numbering, at most, and how many of them are told apart first.
+MOST_RANGES, COARSE = 10_000, 100
+
+
 def chunk_numbers(df: DataFrame, order: str, rows: int = 150_000, window_rows: int = 50_000) -> DataFrame:
-    """Adds `chunk`: contiguous runs of `rows` rows in the order of a unique number column. Ranges of the column are
-    ranked apart and meet their predecessors' counts, so no window holds the table."""
-    low, high, n = df.agg(F.min(order), F.max(order), F.count("*")).first()
-    buckets = max(1, n // window_rows)
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // buckets))
-    cut = df.withColumn("_b", F.floor((F.col(order) - F.lit(low or 0)) / width))
+    """Adds `chunk`: contiguous runs of `rows` rows in the order of a unique number column; nulls come first. Ranges of
+    about equally many rows, cut at quantiles of the column, are ranked apart and meet their predecessors' counts, so no
+    window holds the table, however the column clusters."""
+    n = df.count()
+    ranges = min(MOST_RANGES, max(1, n // window_rows))
+    cuts = df.agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 10 * ranges).alias("q")).first()["q"] if ranges > 1 else []
+    cuts = sorted(set(cuts or []))
+    below = lambda values, c: F.size(F.filter(values, lambda x: x < c))
+    some = F.array(*[F.lit(x) for x in cuts[COARSE - 1 :: COARSE]]) if len(cuts) >= COARSE else None
+    first = below(some, F.col(order)) if some is not None else F.lit(0)
+    place = (first * COARSE + below(F.slice(F.array(*[F.lit(x) for x in cuts]), first * COARSE + 1, COARSE), F.col(order))) if cuts else F.lit(0)
+    cut = df.withColumn("_b", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(place))
     sizes = cut.groupBy("_b").agg(F.count("*").alias("_n"))
     before = sizes.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("_b").orderBy(order))

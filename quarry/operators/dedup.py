@@ -20,8 +20,11 @@ def dedup_reasons(df: DataFrame, key: str, order: list[Column], chars: int = 40)
     """Every row with a reason: new, dup, no_key or bad_key (not hex of `chars` characters)."""
     empty = F.col(key).isNull() | (F.col(key) == "")
     bad = ~F.col(key).rlike(f"^[0-9A-Fa-f]{{{chars}}}$")
+    told = df.withColumn("reason", F.when(empty, "no_key").when(bad, "bad_key"))
+    # only good keys are ranked: the others may be many, and no window has to hold them
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn("reason", F.when(empty, "no_key").when(bad, "bad_key").when(rank == 1, "new").otherwise("dup"))
+    ranked = told.where("reason IS NULL").withColumn("reason", F.when(rank == 1, "new").otherwise("dup"))
+    return told.where("reason IS NOT NULL").unionByName(ranked)
 
 
 def without_history(df: DataFrame, history: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import scalars
-from quarry.operators.dedup import last_write_wins
+from quarry.operators.dedup import last_write_wins, newest_first
 
 #: Rows of a lookup table that may be broadcast; beyond, the join shuffles on its key.
 BROADCAST_ROWS = 2_000_000
@@ -46,9 +46,12 @@ def keep_rate(df: DataFrame, keep: Column) -> DataFrame:
     return out.withColumn("percent", F.coalesce(F.try_divide(100.0 * F.col("kept"), F.col("total")), F.lit(0.0)))
 
 
-def resolve(df: DataFrame, lookup: DataFrame, key: str, own: str, looked_up: str) -> DataFrame:
-    """Rows with a resolved class and its origin: own or lookup. Others go."""
-    right = usable(lookup, key).select(key, F.col(looked_up).alias("_found"))
+def resolve(df: DataFrame, lookup: DataFrame, key: str, own: str, looked_up: str, ordinal: Column | None = None) -> DataFrame:
+    """Rows with a resolved class and its origin: own or lookup. Others go. The lookup is made unique first: the last
+    row of a key in `ordinal` counts, or its greatest class where there is no order."""
+    right = usable(lookup, key)
+    right = last_write_wins(right, key, looked_up, ordinal) if ordinal is not None else right.groupBy(key).agg(F.max(looked_up).alias(looked_up))
+    right = right.select(key, F.col(looked_up).alias("_found"))
     joined = df.join(right, key, "left")
     mine = scalars.normalized(F.col(own))
     out = joined.withColumn("classification", scalars.resolved_class(F.col(own), F.col("_found")))
@@ -63,10 +66,12 @@ def combine_sources(reports: DataFrame, verdicts: DataFrame, key: str, scored: s
     return joined.withColumn("classification", F.coalesce("_verdict", scored)).withColumn("origin", F.when(F.col("_verdict").isNotNull(), "verdict").otherwise("score")).drop("_verdict")
 
 
-def batch_lookup(requests: DataFrame, table: DataFrame, key: str, code: str = "response_code") -> DataFrame:
-    """One row for each requested key; an absent key has code 0."""
+def batch_lookup(requests: DataFrame, table: DataFrame, key: str, code: str = "response_code", order: list[Column] | None = None) -> DataFrame:
+    """One row for each requested key; an absent key has code 0. Of the rows that the table has for a key the first in
+    `order` counts, or the first by their values where there is no order."""
     wanted = requested_keys(requests, key)
-    return wanted.join(table, key, "left").withColumn(code, F.coalesce(code, F.lit(0)))
+    one = newest_first(table, key, order or [F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns]))])
+    return wanted.join(one, key, "left").withColumn(code, F.coalesce(code, F.lit(0)))
 
 
 def eligible(files: DataFrame, done: DataFrame, upstream: DataFrame | None, name: str = "name") -> DataFrame:

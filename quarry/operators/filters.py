@@ -51,10 +51,20 @@ def file_dump(docs: DataFrame) -> DataFrame:
         scalars.truncated(F.col("value.total")).alias("total"),
         F.col("value.scan_date").alias("scan_date"),
         F.col("value.scans").alias("scans"),
-        own.alias("broccoli_classification"),
+        own.alias("own_classification"),
     )
 
 
+def most(values: Column) -> Column:
+    """The largest element of an array; NULL for an empty one."""
+    return F.array_max(values)
+
+
+def any_above(values: Column, bound: float) -> Column:
+    """Whether an element of an array is above the bound; false for an empty one."""
+    return F.coalesce(most(values) > bound, F.lit(False))
+
+
 def _url_positives() -> Column:
     urls = F.coalesce(F.col("urls"), F.array().cast("array<struct<positives:int>>"))
     return F.filter(F.transform(urls, lambda u: u["positives"]), lambda p: p.isNotNull())
@@ -64,8 +74,8 @@ def domain_reasons(docs: DataFrame, default: str = rules.DOMAIN_DEFAULT) -> Data
     """Domain dump rows (_id, response, urls: array of struct(positives)) with the normalized columns and a reason:
     valid, no_classification, unknown, indifferent or bad_domain."""
     raw = scalars.value_of(F.col("response"))
-    best = F.array_max(_url_positives())
-    any_positive = F.coalesce(best > 0, F.lit(False))
+    best = most(_url_positives())
+    any_positive = any_above(_url_positives(), 0)
     raw = F.nullif(raw, F.lit(""))
     effective = F.when((raw == "indifferent") & any_positive, F.lit("av_detected")).otherwise(raw)
     domain = scalars.domain_name(F.col("_id"))

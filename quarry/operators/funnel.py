@@ -19,6 +19,13 @@ def export_funnel(archives: DataFrame, records: DataFrame) -> DataFrame:
     return files.crossJoin(F.broadcast(seen))  # one row each
 
 
+def dump_counters(rows: DataFrame) -> DataFrame:
+    """path, documents, corrupt_runs, corrupt_bytes of a scan of BSON dumps: what decoded, how often reading had to find
+    its place again, and what it stepped over."""
+    bad = F.col("doc").isNull()
+    return rows.groupBy("path").agg(F.count_if(~bad).alias("documents"), F.count_if(bad).alias("corrupt_runs"), F.coalesce(F.sum("corrupt"), F.lit(0)).alias("corrupt_bytes"))
+
+
 def by_reason(df: DataFrame, reason: str = "reason") -> DataFrame:
     return df.groupBy(reason).agg(F.count("*").alias("n"))
 

@@ -39,14 +39,15 @@ def dump_to_curated(spark: SparkSession, path: str, lookup: DataFrame, split_byt
     return converted(filters.file_dump(docs).withColumn("detections", F.lit(None).cast("string")), lookup)
 
 
-def ndjson_to_curated(spark: SparkSession, path: str, lookup: DataFrame) -> DataFrame:
-    return converted(ndjson.scan(spark, path).where("parsed"), lookup)
+def ndjson_to_curated(spark: SparkSession, path: str, lookup: DataFrame, verdict: str = "own_classification") -> DataFrame:
+    """NDJSON records to curated rows; `verdict` is the field that holds a record's own class."""
+    return converted(ndjson.scan(spark, path, verdict).where("parsed"), lookup)
 
 
 def converted(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     """Gate, class resolution and curated projection of dump records; duplicates stay."""
     gated = filters.convert_gate(rows).withColumn("sha1", scalars.normalized(F.col("sha1")))
-    resolved = enrich.resolve(gated, lookup, "sha1", "broccoli_classification", "classification")
+    resolved = enrich.resolve(gated, lookup, "sha1", "own_classification", "classification")
     return resolved.select(
         "sha256", "sha1", scalars.normalized(F.col("md5")).alias("md5"),
         scalars.clamped_or_zero(scalars.truncated(F.col("positives"))).alias("positives"), scalars.clamped_or_zero(scalars.truncated(F.col("total"))).alias("total"),
@@ -64,6 +65,11 @@ def domains_to_curated(spark: SparkSession, path: str, split_bytes: int = 64 <<
 def shards(spark: SparkSession, root: str, names: tuple[str, ...], read) -> DataFrame:  # noqa: ANN001
     """UNION ALL of shard folders with a `shard` column."""
     parts = [read(spark, f"{root.rstrip('/')}/{n}").withColumn("shard", F.lit(n)) for n in names]
+    return union(parts)
+
+
+def union(parts: list[DataFrame]) -> DataFrame:
+    """UNION ALL by column name."""
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -94,8 +100,7 @@ def daily(spark: SparkSession, root: str, target: str, manifest: sinks.Manifest,
         return None
     name = chosen.strftime("%Y%m%d")
     rows = feed_to_curated(spark, f"{root.rstrip('/')}/{name}", store)
-    base = sinks.current(spark, target) if sinks.versions(spark, target) else rows.limit(0)
-    sinks.publish(dedup.insert_ignore(base, rows, "sha256", [F.asc("sha1")]), target)
+    sinks.Buckets(spark, target, "sha256").merge(rows, lambda base, new: dedup.insert_ignore(base, new, "sha256", [F.asc("sha1")]))
     manifest.mark("daily", spark.createDataFrame([(name, 0, None)], "name string, length long, version string"))
     return name
 

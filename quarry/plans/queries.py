@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from quarry import sinks
 from quarry.functions import scalars
 from quarry.operators import batches, classify, dedup, enrich, filters, funnel
+from quarry.plans import pipelines
+from quarry.streaming import feed
 
 _FOUND: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -134,7 +136,7 @@ def detection_string(spark, sf_dir):
 @query("SELECT l_orderkey, bool_or(l_quantity > 45) AS any_large, max(l_quantity) AS most FROM lineitem GROUP BY l_orderkey")
 def array_any_max(spark, sf_dir):
     grouped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_quantity").alias("q"))
-    return grouped.select("l_orderkey", F.exists("q", lambda x: x > 45).alias("any_large"), F.array_max("q").alias("most"))
+    return grouped.select("l_orderkey", filters.any_above(F.col("q"), 45).alias("any_large"), filters.most(F.col("q")).alias("most"))
 
 
 @query("SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN (SELECT doc_id, max(quality) quality FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id")
@@ -232,11 +234,7 @@ def chunk_number(spark, sf_dir):
 @query("SELECT o_orderkey, 'r0' || (o_orderkey % 6 + 1) AS shard FROM orders")
 def union_shards(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    out = None
-    for i in range(6):
-        part = orders.where(F.col("o_orderkey") % 6 == i).withColumn("shard", F.lit(f"r0{i + 1}"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return pipelines.union([orders.where(F.col("o_orderkey") % 6 == i).withColumn("shard", F.lit(f"r0{i + 1}")) for i in range(6)])
 
 
 @query("SELECT o_orderkey % 6 AS shard, count(*) AS rows, count(*) FILTER (o_orderstatus = 'F') AS valid, count(*) FILTER (o_orderstatus <> 'F') AS invalid FROM orders GROUP BY 1")
@@ -399,7 +397,7 @@ def ttl_expired(spark, sf_dir):
 
 @query("SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1")
 def hourly_counts(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count("*").alias("n"))
+    return feed.hourly(table(spark, sf_dir, "events")).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
 @query("SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders ORDER BY day DESC LIMIT 5")

@@ -1,20 +1,24 @@
 """BSON dumps as a Spark data source.
 
-A document's border cannot be told from the bytes around it, as embedded documents have the same framing. One pass on
-the driver therefore hops from length to length, reading four bytes of each document, and cuts the file into splits that
-start and end between documents; readers then decode their split only. Bytes that are no document are stepped over one
-by one to the next framing that holds and are reported as corrupt.
+A file is cut into byte ranges without being read. A reader finds the first anchored place in its range by itself and
+reads on to the first one beyond it, so ranges are read side by side and each document once. A place is anchored if the
+bytes decode and a document, or the end of the file, follows: embedded documents have the same framing, but no document
+follows them. Bytes that are no document are stepped over one by one to the next such place,
+in windows, and are reported as corrupt. A read that fails is tried again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 import struct
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 from pyarrow import fs as stores
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -120,32 +124,73 @@ def _files(path: str) -> list[str]:
     return [path] if info.type == stores.FileType.File else []
 
 
-def _framed(f: Any, at: int, size: int) -> int:
+#: Bytes read at once, tries of a read, and seconds before the second try (then twice as many each time).
+WINDOW, ATTEMPTS, PAUSE = 1 << 20, 5, 0.5
+
+
+class Bytes:
+    """Random access to a file through a window, with reads tried again after a failure."""
+
+    def __init__(self, path: str, window: int = WINDOW, pause: float = PAUSE) -> None:
+        self.store, self.name = _store(path)
+        self.size, self.window, self.pause = self.store.get_file_info(self.name).size, window, pause
+        self.file, self.start, self.held = None, 0, b""
+
+    def _fetch(self, at: int, n: int) -> bytes:
+        for attempt in range(ATTEMPTS):
+            try:
+                if self.file is None:
+                    self.file = self.store.open_input_file(self.name)
+                return self.file.read_at(n, at)
+            except OSError:
+                if attempt == ATTEMPTS - 1:
+                    raise
+                self.file = None
+                time.sleep(self.pause * 2**attempt * (1 + random.random()))
+        return b""
+
+    def get(self, at: int, n: int) -> bytes:
+        """The n bytes at `at`, fewer at the end of the file."""
+        if not (self.start <= at and at + n <= self.start + len(self.held)):
+            self.start, self.held = at, self._fetch(at, min(max(n, self.window), self.size - at))
+        return self.held[at - self.start : at - self.start + n]
+
+
+def _framed(f: Bytes, at: int) -> int:
     """Length of the document at `at`, or 0 if none is framed there."""
-    f.seek(at)
-    head = f.read(4)
+    head = f.get(at, 4)
     if len(head) < 4:
         return 0
     (n,) = struct.unpack("<i", head)
-    if not LEAST <= n <= MOST or at + n > size:
-        return 0
-    f.seek(at + n - 1)
-    return n if f.read(1) == b"\0" else 0
+    return n if LEAST <= n <= MOST and at + n <= f.size and f.get(at + n - 1, 1) == b"\0" else 0
 
 
-def _resumed(f: Any, at: int, size: int) -> tuple[int, int]:
-    """The next place from `at` on where a document decodes, and its length; (size, 0) if there is none."""
-    while at < size:
-        n = _framed(f, at, size)
-        if n:
-            f.seek(at)
-            try:
-                decode(f.read(n))
-                return at, n
-            except Malformed:
-                pass
-        at += 1
-    return size, 0
+def _decodes(f: Bytes, at: int, n: int) -> bool:
+    try:
+        decode(f.get(at, n))
+        return True
+    except Malformed:
+        return False
+
+
+def anchored(f: Bytes, at: int) -> bool:
+    """Whether a document starts at `at` that another one, or the end of the file, follows."""
+    n = _framed(f, at)
+    return bool(n) and (at + n == f.size or _framed(f, at + n) > 0) and _decodes(f, at, n)
+
+
+def resumed(f: Bytes, at: int) -> int:
+    """The first anchored place from `at` on; the end of the file if there is none."""
+    while at < f.size:
+        block = np.frombuffer(f.get(at, min(f.window, f.size - at)), np.uint8).astype(np.int64)
+        if len(block) < LEAST:
+            return f.size
+        length = block[:-3] | block[1:-2] << 8 | block[2:-1] << 16 | block[3:] << 24
+        for i in np.flatnonzero((length >= LEAST) & (length <= MOST)).tolist():
+            if anchored(f, at + i):
+                return at + i
+        at += len(block) - 3
+    return f.size
 
 
 @dataclass
@@ -156,19 +201,11 @@ class Split(InputPartition):
 
 
 def splits(path: str, most: int) -> Iterator[Split]:
-    """Runs of whole documents of at least `most` bytes, the last one shorter."""
+    """Byte ranges of `most` bytes, the last one shorter."""
     store, name = _store(path)
-    size, start, at = store.get_file_info(name).size, 0, 0
-    with store.open_input_file(name) as f:
-        while at < size:
-            n = _framed(f, at, size)
-            at, n = (at, n) if n else _resumed(f, at + 1, size)
-            at += n
-            if at - start >= most:
-                yield Split(path, start, at)
-                start = at
-    if start < size:
-        yield Split(path, start, size)
+    size = store.get_file_info(name).size
+    for start in range(0, size, most):
+        yield Split(path, start, min(start + most, size))
 
 
 class BsonReader(DataSourceReader):
@@ -180,25 +217,22 @@ class BsonReader(DataSourceReader):
         return [s for f in _files(self.path) for s in splits(f, self.most)] or [Split("", 0, 0)]
 
     def read(self, partition: Split) -> Iterator[tuple]:
-        """path, offset, doc (JSON text) of each document; doc is NULL with the length in `corrupt` for bad bytes."""
+        """path, offset, doc (JSON text) of each document from the first anchored place in the range up to the first one
+        beyond it; doc is NULL with the length in `corrupt` for bad bytes."""
         if not partition.path:
             return
-        at = partition.start
-        store, name = _store(partition.path)
-        with store.open_input_file(name) as f:
-            while at < partition.end:
-                n = _framed(f, at, partition.end)
-                if n:
-                    f.seek(at)
-                    try:
-                        yield partition.path, at, json.dumps(_plain(decode(f.read(n))), ensure_ascii=False), 0
-                    except Malformed:
-                        yield partition.path, at, None, n
-                    at += n
-                    continue
-                to, _ = _resumed(f, at + 1, partition.end)
-                yield partition.path, at, None, to - at
-                at = to
+        f = Bytes(partition.path)
+        at = 0 if partition.start == 0 else resumed(f, partition.start)
+        while at < partition.end or (at < f.size and not anchored(f, at)):
+            n = _framed(f, at)
+            if n and _decodes(f, at, n):
+                yield partition.path, at, json.dumps(_plain(decode(f.get(at, n))), ensure_ascii=False), 0
+                at += n
+                continue
+            # a sound frame around a bad document is skipped whole if something follows it, else byte by byte
+            to = at + n if n and (at + n == f.size or _framed(f, at + n)) else resumed(f, at + 1)
+            yield partition.path, at, None, to - at
+            at = to
 
 
 class BsonSource(DataSource):

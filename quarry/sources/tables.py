@@ -22,6 +22,20 @@ def files(table: DataFrame) -> DataFrame:
     return table.select(F.col("_metadata.file_name").alias("name")).groupBy("name").agg(F.count("*").alias("rows")).orderBy("name")
 
 
+def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """path, length, modified of the files under a folder, whose contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def merged_unique(parts: list[DataFrame], key: str) -> DataFrame:
+    """The distinct non-empty keys of several tables, in order."""
+    out = keys(parts[0], key)
+    for part in parts[1:]:
+        out = out.union(keys(part, key))
+    return out.distinct().orderBy(key)
+
+
 def sharded(spark: SparkSession, root: str, names: tuple[str, ...]) -> DataFrame:
     """UNION ALL of shard folders with a `shard` column, as one scan."""
     paths = [f"{root.rstrip('/')}/{n}" for n in names]

@@ -16,27 +16,30 @@ def settled(stream: DataFrame, time: str, delay: str = "2 days") -> DataFrame:
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
 
 
-def merge_batches(stream: DataFrame, root: str, checkpoint: str, key: str, order: Callable[[], list[Column]], transform: Callable[[DataFrame], DataFrame] | None = None):  # noqa: ANN201
-    """Run everything available through newest-first merging into the versioned table `root`, and stop. A batch that is
-    retried merges into the same state, so each row counts once."""
+def merge_batches(stream: DataFrame, root: str, checkpoint: str, key: str, order: Callable[[], list[Column]], transform: Callable[[DataFrame], DataFrame] | None = None, every: str | None = None, buckets: int = 256):  # noqa: ANN201
+    """Run the stream through newest-first merging into the table `root` (sinks.Buckets by `key`): everything available,
+    and stop, or with `every` (as "60 seconds") a pull at that interval. A micro-batch rewrites only the parts its keys
+    are in, and one that is retried merges into the same state, so each row counts once."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rows = batch if transform is None else transform(batch)
-        past = sinks.versions(spark, root)
-        base = sinks.current(spark, root) if past else rows.limit(0)
-        sinks.publish(dedup.upsert_latest(base, rows, key, order()), root)
+        sinks.Buckets(batch.sparkSession, root, key, buckets).merge(rows, lambda base, new: dedup.upsert_latest(base, new, key, order()))
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**pulled(every)).start()
 
 
-def insert_batches(stream: DataFrame, root: str, checkpoint: str):  # noqa: ANN201
+def pulled(every: str | None) -> dict:
+    """The trigger: what is available once, or again and again."""
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def insert_batches(stream: DataFrame, root: str, checkpoint: str, every: str | None = None):  # noqa: ANN201
     """Append each micro-batch under its batch id; a retry overwrites its own folder, so output is exactly once."""
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         sinks.parquet(batch, f"{root.rstrip('/')}/batch={batch_id:012d}", "overwrite")
 
-    return stream.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(**pulled(every)).start()
 
 
 def running_ratio(stream: DataFrame, by: str, hit: Column, time: str | None = None, window: str | None = None) -> DataFrame:
@@ -56,5 +59,5 @@ def collect_stream(stream: DataFrame, name: str, checkpoint: str, mode: str = "a
     return stream.sparkSession.table(name)
 
 
-def events_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1) -> DataFrame:
+def events_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)

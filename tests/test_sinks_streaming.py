@@ -1,7 +1,10 @@
 """Sinks, manifest, streams and end-to-end merging."""
 
 import datetime as dt
+import os
+import sqlite3
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry import sinks
@@ -35,6 +38,50 @@ def test_parquet_rolls_and_versions(spark, tmp_path):
     assert sorted(r.id for r in sinks.current(spark, root).collect()) == [1, 2, 3] and len(sinks.versions(spark, root)) == 2
 
 
+def test_versions_survive_crashed_writes(spark, tmp_path):
+    """A folder without its success marker is no version, be it the first one or a later one; old ones go."""
+    root = tmp_path / "v"
+    (root / "v=00000000000000000001").mkdir(parents=True)
+    assert sinks.versions(spark, str(root)) == []
+    with pytest.raises(FileNotFoundError):
+        sinks.current(spark, str(root))
+    for n in (3, 4, 5):
+        sinks.publish(spark.range(n), str(root), keep=2)
+    assert sinks.current(spark, str(root)).count() == 5 and len(sinks.versions(spark, str(root))) == 2 and len(list(root.iterdir())) == 2
+
+
+def test_buckets_rewrite_only_what_a_merge_touches(spark, tmp_path):
+    t = sinks.Buckets(spark, str(tmp_path / "b"), "k", 8, keep=1)
+    rows = lambda ks, v: spark.createDataFrame([(k, v) for k in ks], "k long, v string")
+    newest = lambda base, new: dedup.newest_first(base.unionByName(new), "k", [F.desc("v")])
+    assert t.read() is None and t.merge(rows([], "a"), newest) == 0
+    assert t.merge(rows(range(100), "a"), newest) == 8 and t.merge(rows([5, 200], "b"), newest) <= 2
+    (tmp_path / "b" / f"v={10**19}").mkdir()  # a crashed merge
+    got = {r.k: r.v for r in t.read().collect()}
+    assert got == {k: "b" if k in (5, 200) else "a" for k in [*range(100), 200]}
+    assert sum(len(list(p.glob("_part=*"))) for p in (tmp_path / "b").iterdir()) == 8
+
+
+def test_single_file_and_bulk_load(spark, tmp_path):
+    sinks.single(spark.range(40).repartition(4), str(tmp_path / "one.parquet"))
+    assert (tmp_path / "one.parquet").is_file() and spark.read.parquet(str(tmp_path / "one.parquet")).count() == 40
+    db, failed = str(tmp_path / "t.db"), str(tmp_path / "failed")
+    with sqlite3.connect(db) as c:
+        c.execute("CREATE TABLE t (id INTEGER PRIMARY KEY, v TEXT)")
+
+    def connect():
+        if not os.path.exists(failed):  # the first try fails
+            open(failed, "w").close()
+            raise OSError("away")
+        return sqlite3.connect(db, timeout=30)
+
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(25)] + [(3, "late")], "id long, v string").coalesce(1)
+    for _ in range(2):
+        sinks.bulk_load(rows, connect, "INSERT OR IGNORE INTO t VALUES (?, ?)", chunk=10, pause=0.01)
+    with sqlite3.connect(db) as c:
+        assert c.execute("SELECT count(*), max(v) FROM t WHERE id <> 3").fetchone() == (24, "v9") and c.execute("SELECT v FROM t WHERE id = 3").fetchone() == ("v3",)
+
+
 def test_manifest_redoes_changed_input(spark, tmp_path):
     m = sinks.Manifest(spark, str(tmp_path / "m"))
     work = spark.createDataFrame([("a", 1, "x"), ("b", 2, None)], "name string, length long, version string")
@@ -101,13 +148,24 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_path):
     src, root, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
     schema = events(spark, src, 120)
     for _ in range(2):  # the second run finds nothing new
-        feed.merge_batches(feed.events_stream(spark, src, schema), root, ck, "user_id", lambda: [F.desc("ts"), F.desc("event_id")]).awaitTermination()
+        feed.merge_batches(feed.events_stream(spark, src, schema, 1), root, ck, "user_id", lambda: [F.desc("ts"), F.desc("event_id")]).awaitTermination()
     batch = dedup.newest_first(spark.read.parquet(src), "user_id", [F.desc("ts"), F.desc("event_id")])
-    assert sorted(map(tuple, sinks.current(spark, root).collect())) == sorted(map(tuple, batch.collect()))
+    assert sorted(map(tuple, sinks.Buckets(spark, root, "user_id").read().select("event_id", "ts", "user_id", "event_type").collect())) == sorted(map(tuple, batch.collect()))
     feed.insert_batches(feed.events_stream(spark, src, schema), str(tmp_path / "all"), str(tmp_path / "ck2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "all")).count() == 120
 
 
+def test_pulls_at_an_interval(spark, tmp_path):
+    src, root = str(tmp_path / "src"), str(tmp_path / "out")
+    schema = events(spark, src, 30)
+    running = feed.merge_batches(feed.events_stream(spark, src, schema), root, str(tmp_path / "ck"), "user_id", lambda: [F.desc("ts")], every="1 second")
+    try:
+        running.processAllAvailable()
+        assert running.isActive and sinks.Buckets(spark, root, "user_id").read().count() == 7
+    finally:
+        running.stop()
+
+
 def test_stateful_counters_and_first_seen(spark, tmp_path):
     src = str(tmp_path / "src")
     schema = events(spark, src, 60)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarry import sinks
 from quarry.operators import batches, dedup, filters, funnel
 from quarry.plans import pipelines
-from quarry.sources import archive, bson, ndjson, verdicts
+from quarry.sources import archive, bson, ndjson, tables, verdicts
 
 H = {c: c * 64 for c in "abcdef0"}
 
@@ -87,8 +87,8 @@ def test_daily_runs_each_settled_day_once(spark, feed, tmp_path):
     manifest, target = sinks.Manifest(spark, str(tmp_path / "done")), str(tmp_path / "target")
     run = lambda today: pipelines.daily(spark, feed, target, manifest, store, "2024-01-01", today)
     assert [run("2024-01-03"), run("2024-01-03"), run("2024-01-04"), run("2024-01-09")] == ["20240101", None, "20240102", None]
-    assert sorted((r.sha256[0], r.classification) for r in sinks.current(spark, target).collect()) == [("d", "hacktool"), ("e", "malware"), ("f", "malware")]
-    assert pipelines.dry_run(sinks.current(spark, target), F.col("classification") == "malware").first().kept == 2
+    assert sorted((r.sha256[0], r.classification) for r in sinks.Buckets(spark, target, "sha256").read().collect()) == [("d", "hacktool"), ("e", "malware"), ("f", "malware")]
+    assert pipelines.dry_run(sinks.Buckets(spark, target, "sha256").read(), F.col("classification") == "malware").first().kept == 2
 
 
 def cstr(x):
@@ -139,7 +139,7 @@ DOCS = [
 ]
 
 
-@pytest.mark.parametrize("size", [1, 100, 333, 1 << 20])
+@pytest.mark.parametrize("size", [37, 100, 333, 1 << 20])
 def test_bson_is_read_once_whatever_the_split(spark, tmp_path, size):
     raw = b"".join(map(encode, DOCS[:6])) + b"\x07junk\xff\x00" + b"".join(map(encode, DOCS[6:])) + b"\x01\x00\x00"
     (tmp_path / "a.bson").write_bytes(raw)
@@ -148,13 +148,47 @@ def test_bson_is_read_once_whatever_the_split(spark, tmp_path, size):
     found = rows.orderBy("offset").collect()
     assert [json.loads(r.doc) for r in found if r.doc] == DOCS
     assert sum(r.corrupt for r in found) == 10
+    (counted,) = funnel.dump_counters(rows).collect()
+    assert (counted.documents, counted.corrupt_runs, counted.corrupt_bytes) == (len(DOCS), 2, 10)
+
+
+def test_bson_borders_fall_anywhere(tmp_path):
+    """Every width of range gives every document and every bad byte once, wherever borders fall: in documents, in
+    embedded ones, in junk, before junk and between."""
+    docs = [file_doc(i, inner={"a": {"b": i}}, list=[{"c": 1}, {"d": {}}]) for i in range(9)]
+    raw = b"junk" + b"".join(map(encode, docs[:3])) + b"\x09\0\0\0x" + encode(docs[3]) + b"\0" * 7 + b"".join(map(encode, docs[4:])) + b"\x05"
+    (tmp_path / "a.bson").write_bytes(raw)
+    for most in [*range(20, 700, 13), len(raw)]:
+        reader = bson.BsonReader({"path": str(tmp_path / "a.bson"), "splitBytes": str(most)})
+        rows = [r for s in reader.partitions() for r in reader.read(s)]
+        assert [json.loads(r[2]) for r in sorted(rows, key=lambda r: r[1]) if r[2]] == docs, most
+        assert sum(r[3] for r in rows) == 17, most
+
+
+def test_bson_reads_are_tried_again(tmp_path, monkeypatch):
+    (tmp_path / "a.bson").write_bytes(b"".join(map(encode, DOCS)))
+    f, calls = bson.Bytes(str(tmp_path / "a.bson"), window=64, pause=0.001), []
+    store = f.store
+
+    class Flaky:
+        def open_input_file(self, name):
+            calls.append(name)
+            if len(calls) % 3:
+                raise OSError("transient")
+            return store.open_input_file(name)
+
+    f.store = Flaky()
+    assert f.get(0, 4) == encode(DOCS[0])[:4] and len(calls) == 3
+    f.file, f.store = None, type("Gone", (), {"open_input_file": lambda self, name: (_ for _ in ()).throw(OSError("gone"))})()
+    with pytest.raises(OSError):
+        f.get(300, 80)
 
 
 def test_file_dump_rules(spark, tmp_path):
     (tmp_path / "a.bson").write_bytes(b"".join(map(encode, DOCS)))
     spark.dataSource.register(bson.BsonSource)
     kept = filters.file_dump(bson.file_docs(spark.read.format("bson_dump").load(str(tmp_path)))).collect()
-    assert [(r.sha256[-1], r.broccoli_classification) for r in sorted(kept, key=lambda r: r.sha256)] == [("4", "Malware"), ("5", None), ("7", None), ("8", "whitelist"), ("9", "Hacktool"), ("e", None)]
+    assert [(r.sha256[-1], r.own_classification) for r in sorted(kept, key=lambda r: r.sha256)] == [("4", "Malware"), ("5", None), ("7", None), ("8", "whitelist"), ("9", "Hacktool"), ("e", None)]
     by = {r.sha256[-1]: r for r in kept}
     assert by["9"].sha1 == f"{9:040x}" and by["e"].sha1 is None and by["5"].total == 60
     lookup = spark.createDataFrame([(f"{5:040x}", "suspicious"), (f"{7:040x}", "sinkholed"), (f"{8:040x}", "malware")], "sha1 string, classification string")
@@ -180,14 +214,37 @@ def test_domain_dump_rules(spark, tmp_path):
 
 
 def test_verdict_csv_and_ndjson(spark, tmp_path):
-    (tmp_path / "v.csv").write_text("sha1,broccoli_classification\n AB , Malware \nCD,indifferent\nEF,pua\nEF,hacktool\n,malware\nGH,\n")
+    (tmp_path / "v.csv").write_text("sha1,classification\n AB , Malware \nCD,indifferent\nEF,pua\nEF,hacktool\n,malware\nGH,\n")
     assert sorted(map(tuple, verdicts.csv(spark, str(tmp_path / "v.csv")).collect())) == [("ab", "malware"), ("ef", "hacktool")]
-    lines = [{"sha256": " " + "A" * 64, "sha1": "ab", "positives": 300, "total": -1, "scan_date": "19/10/2020", "detections": "E:x"}, {"sha256": "b" * 64, "broccoli_classification": "whitelist", "sha1": "ab"}]
+    lines = [{"sha256": " " + "A" * 64, "sha1": "ab", "positives": 300, "total": -1, "scan_date": "19/10/2020", "detections": "E:x"}, {"sha256": "b" * 64, "own_classification": "whitelist", "sha1": "ab"}]
     with gzip.open(tmp_path / "x.ndjson.gz", "wt") as f:
         f.write("\n".join([json.dumps(lines[0]), "", "bad", "[1]", json.dumps(lines[1]), json.dumps(lines[0])]))
     rows = ndjson.scan(spark, str(tmp_path))
     assert rows.count() == 6 and rows.where("parsed").count() == 3
     out = pipelines.ndjson_to_curated(spark, str(tmp_path), verdicts.csv(spark, str(tmp_path / "v.csv"))).collect()
     assert [(r.sha256, r.positives, r.total, r.detection_names, r.classification, r.origin, r.date) for r in out] == [("a" * 64, 255, 0, "E:x", "malware", "lookup", None)] * 2
+    for name, text in (("ab", '{"classification": "malware"}'), ("cd", "{}"), ("ef", "oops"), ("gh", "[1]")):
+        (tmp_path / f"{name}.json").write_text(text)
+    asked = spark.createDataFrame([("AB ",), ("ab",), ("cd",), ("ef",), ("gh",), ("zz",), (None,), ("",)], "sha1 string")
+    outcome = verdicts.looked_up(asked, str(tmp_path), pause=0.01)
+    assert sorted(map(tuple, outcome.collect()), key=str) == [("ab", "malware", "found"), ("cd", None, "missing"), ("ef", None, "failed"), ("gh", None, "failed"), ("zz", None, "missing")]
+    assert sorted(r.sha1 for r in verdicts.to_retry(outcome).collect()) == ["ef", "gh"]
     store = spark.createDataFrame([("/s/AB.json", '{"classification": "malware"}'), ("/s/cd", "{}"), ("/s/ef", "oops")], "path string, value string")
     assert sorted(map(tuple, verdicts.store(store).collect()), key=str) == [("ab", "malware", "found"), ("cd", None, "missing"), ("ef", None, "failed")]
+
+
+def test_archive_lines_come_in_bounded_rows():
+    data = "\n".join(f"line {i} é" for i in range(100)).encode()
+    for most in (1, 17, 400, 10**6):
+        found = list(archive.pieces(data, most))
+        assert [x for _, part in found for x in part] == data.decode().split("\n")
+        assert [n for n, _ in found] == [sum(len(p) for _, p in found[:i]) for i in range(len(found))]
+    assert list(archive.pieces(b"")) == [(0, [""])]
+
+
+def test_listing_and_unique_merge(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.bin").write_bytes(b"abc")
+    assert [(r.path.rsplit("/", 1)[1], r.length) for r in tables.listing(spark, str(tmp_path), "*.bin").collect()] == [("a.bin", 3)]
+    one, two = (spark.createDataFrame([(k,) for k in ks], "sha1 string") for ks in (["c", "a", None, "a"], ["b", "", "c"]))
+    assert [r.sha1 for r in tables.merged_unique([one, two], "sha1").collect()] == ["a", "b", "c"]
