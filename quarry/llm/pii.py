@@ -2,59 +2,77 @@
 
 Detected entities get replacements of the same type and format: each letter or digit gives way to one of its kind, drawn
 from a keyed digest of the entity's canonical form (so spellings of one entity stay one entity), IPv4 octets stay
-octets of as many digits, a number that passes the Luhn check still does, and titled names get names of the same gender
-and script. All distinct entities of the table are checked together: where two of them share a replacement, or a
-replacement is itself an entity of the table, all but one draw again until every replacement stands for one entity.
-Where `NARROW` draws in an entity's format all collided, that format counts as exhausted: the next draws come from wider
-ones, each attempt one character longer (names: a syllable; IPv4: octets of any length), so the search always ends.
+octets of as many digits, a number that passes the Luhn check and an IBAN that passes its own still do, and names get
+names of the same gender and script. A name has two parts, given name and surname, each an entity of its own: whoever
+shares a surname still does. All distinct entities of the table are checked together, whatever their types: where two
+of them share a replacement, or a replacement is itself an entity of the table, all but one draw again until every
+replacement stands for one entity. Where `NARROW` draws in an entity's format all collided, that format counts as
+exhausted: the next draws come from wider ones, each attempt one character longer (names: a syllable; IPv4: octets of
+any length), so the search always ends.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import without, written
 
-#: Titles that tell a gender, and replacement given names by script and gender.
+#: Titles that tell a gender (f, m) or none (n), replacement given names by script and gender, and further
+#: given names by which a name without a title is known.
 TITLES = {
-    ("latin", "f"): ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra"),
-    ("latin", "m"): ("Mr", "Herr", "Monsieur", "Señor", "Sr"),
-    ("cyrillic", "f"): ("Госпожа", "Г-жа"),
-    ("cyrillic", "m"): ("Господин", "Г-н"),
+    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Г-жа"),
+    "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Г-н"),
+    "n": ("Dr", "Prof", "Doctor", "Professor"),
 }
 GIVEN = {
     ("latin", "f"): ("Anna", "Clara", "Diana", "Elena", "Flora", "Greta", "Helen", "Irene", "Julia", "Karin", "Laura", "Marta", "Nora", "Paula", "Rosa", "Vera"),
     ("latin", "m"): ("Adam", "Bruno", "Carlo", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Martin", "Oscar", "Paul", "Victor"),
+    ("latin", "n"): ("Alex", "Andrea", "Chris", "Dominique", "Jamie", "Kim", "Lee", "Morgan", "Nikita", "Noa", "Pat", "Robin", "Sam", "Sasha", "Toni", "Yael"),
     ("cyrillic", "f"): ("Анна", "Вера", "Дарья", "Елена", "Жанна", "Зоя", "Инна", "Ирина", "Клара", "Лидия", "Мария", "Нина", "Ольга", "Полина", "Раиса", "Софья"),
-    ("cyrillic", "m"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Игорь", "Кирилл", "Лев", "Марк", "Никита", "Олег", "Павел", "Роман", "Семён"),
+    ("cyrillic", "m"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Игорь", "Кирилл", "Лев", "Марк", "Олег", "Павел", "Роман", "Семён", "Юрий"),
+    ("cyrillic", "n"): ("Женя", "Никита", "Саша", "Слава", "Шура", "Валя", "Тоня", "Ася"),
+}
+KNOWN = {
+    "f": ("Alice", "Amy", "Barbara", "Carol", "Catherine", "Christine", "Deborah", "Elizabeth", "Emily", "Emma", "Erika", "Fatima", "Jane", "Jennifer", "Jessica", "Karen", "Linda", "Lisa", "Margaret", "Maria", "Mary", "Michelle", "Nancy", "Patricia", "Rebecca", "Ruth", "Sandra", "Sarah", "Sophie", "Susan"),
+    "m": ("Ahmed", "Andrew", "Anthony", "Brian", "Charles", "Daniel", "Edward", "George", "Hans", "Henry", "James", "Jason", "John", "Joseph", "Kevin", "Matthew", "Michael", "Mohammed", "Peter", "Richard", "Robert", "Ryan", "Scott", "Stephen", "Steven", "Thomas", "Timothy", "Walter", "William", "José"),
 }
 #: Syllables of replacement surnames.
 SYLLABLES = {
     "latin": ("ba", "ber", "do", "dal", "fen", "gar", "hol", "ka", "lin", "mor", "nes", "per", "ros", "sten", "tal", "wen"),
     "cyrillic": ("ба", "бер", "до", "дал", "фен", "гар", "хол", "ка", "лин", "мор", "нес", "пер", "рос", "стен", "тал", "вен"),
 }
-#: Draws in an entity's own format before wider ones are tried.
-NARROW = 16
+#: Draws in an entity's own format before wider ones are tried; for given names, of which there are few.
+NARROW, NARROW_GIVEN = 16, 2
 _ALL_TITLES = "|".join(t for ts in TITLES.values() for t in ts)
+_FIRST = {g: [n for (_, of), names in GIVEN.items() if of == g for n in names] + list(KNOWN.get(g, ())) for g in "fmn"}
+_ALL_FIRST = "|".join(n for g in "fm" for n in _FIRST[g])
+_CAPITAL = r"\p{Lu}\p{Ll}++(?![\p{L}])"
+_H = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: Patterns by type, in the order in which they are tried at a place. What has no length of its own has no upper bound:
 #: possessive quantifiers keep a run linear. A keyed secret may hold dots and pads (JWT), but ends before a final dot.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "secret": r"(?<![0-9A-Za-z])(?:(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])|(?:AKIA[0-9A-Z]{16}|sk-[0-9A-Za-z]{20,}+|gh[pousr]_[0-9A-Za-z]{36,}+)(?![0-9A-Za-z])|(?<=(?i:token|secret|password|passwd|api_key|api-key|apikey)[ ]?[=:][ ]?[\"']?)(?=[0-9A-Za-z_+/~.=-]{8})[0-9A-Za-z_+/~-]++(?:[0-9A-Za-z_+/~=-]++|\.++(?=[0-9A-Za-z_+/~=-]))*+)",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    "ipv6": rf"(?<![0-9A-Za-z:.])(?:(?:{_H}:){{7}}{_H}|(?:{_H}:){{2,6}}(?::{_H}){{1,5}}|[Ff][Ee]80:(?::{_H}){{1,4}})(?![0-9A-Za-z:])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[.-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "number": r"(?<![\d.,])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})(?!\d)",
-    "name": rf"(?<![\p{{L}}])(?:{_ALL_TITLES})\.? \p{{Lu}}\p{{Ll}}++(?![\p{{L}}])(?: \p{{Lu}}\p{{Ll}}++(?![\p{{L}}]))?",
+    "street": r"(?<![\p{L}\d])\d{1,5}[a-z]? (?:\p{Lu}\p{Ll}++ ){1,3}(?:Street|Road|Avenue|Lane|Drive|Boulevard|Square|St|Rd|Ave)(?![\p{L}])|(?<![\p{L}])\p{Lu}\p{Ll}*(?:straße|strasse|weg|platz|allee) \d{1,5}[a-z]?(?![\p{L}\d])",
+    "name": rf"(?<![\p{{L}}])(?=\p{{Lu}})(?:(?:{_ALL_TITLES})\.? {_CAPITAL}(?: {_CAPITAL})?|(?:{_ALL_FIRST}) {_CAPITAL})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 TYPES = tuple(PATTERNS)
 _TITLES = [t for ts in TITLES.values() for t in ts]
 #: What every entity holds a part of; a text without a match has none, and the long pattern need not run. Titles are
-#: told by their first letters and by any of their ends, which is quick and lets no title slip.
-GATE = rf"[0-9@=:]|[{''.join(sorted({t[0] for t in _TITLES}))}](?:{'|'.join(sorted({t[1:] for t in _TITLES}))})\.? \p{{Lu}}|[A-Fa-f]{{32}}|AKIA|sk-|gh[pousr]_"
+#: told by their first letters and by any of their ends, which is quick and lets no title slip; so are given names.
+_GATE_WORDS = [*_TITLES, *(n for g in "fm" for n in _FIRST[g])]
+GATE = rf"[0-9@=:]|[{''.join(sorted({t[0] for t in _GATE_WORDS}))}](?:{'|'.join(sorted({t[1:] for t in _GATE_WORDS}))})\.? \p{{Lu}}|[A-Fa-f]{{32}}|AKIA|sk-|gh[pousr]_"
 
 
 def entities(text: Column) -> Column:
@@ -70,12 +88,50 @@ def kind(entity: Column) -> Column:
     shape = shape.when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.lit("ssn"))
     shape = shape.when(entity.rlike(r"^(?:\d{13,19}|\d{4}([ -]\d{4}){3})$"), F.lit("number"))
     shape = shape.when(entity.rlike(r"^(?:\+\d|\(\d{3}\)|\d{3}[.-]\d{3}[.-]\d{4}$)"), F.lit("phone"))
-    return shape.when(entity.rlike(rf"^(?:{_ALL_TITLES})\.? "), F.lit("name")).otherwise(F.lit("secret"))
+    for name in ("iban", "ipv6", "street"):
+        shape = shape.when(entity.rlike(rf"^(?:{PATTERNS[name]})$"), F.lit(name))
+    return shape.when(entity.rlike(rf"^(?:(?:{_ALL_TITLES})\.?|{_ALL_FIRST}) \p{{Lu}}"), F.lit("name")).otherwise(F.lit("secret"))
 
 
 def canonical(entity: Column, kind_of: Column) -> Column:
     """What spellings of one entity share."""
-    return F.when(kind_of.isin("phone", "ssn", "number"), F.regexp_replace(entity, r"\D", "")).otherwise(F.lower(entity))
+    bare = F.when(kind_of.isin("phone", "ssn", "number"), F.regexp_replace(entity, r"\D", ""))
+    return bare.when(kind_of == "iban", F.regexp_replace(entity, " ", "")).otherwise(F.lower(entity))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _piece(title: Column, kind_of: Column, part: Column) -> Column:
+    return F.struct(title.alias("title"), kind_of.alias("kind"), canonical(part, kind_of).alias("canon"), part.alias("part"))
+
+
+def _of_name(entity: Column) -> Column:
+    """The given name, if there is one, and the surname of a name; types of the two by script and gender."""
+
+    def told(x: Column) -> Column:
+        title, given = F.when(x["titled"], x["w"][0]), F.when(~x["titled"], x["w"][0]).when(F.size(x["w"]) > 2, x["w"][1])
+        gender = F.when(x["titled"] & x["bare"].isin(*TITLES["f"]), "f").when(x["titled"] & x["bare"].isin(*TITLES["m"]), "m").when(given.isin(*_FIRST["f"]), "f").when(given.isin(*_FIRST["m"]), "m").otherwise("n")
+        script = F.when(x["last"].rlike("[А-Яа-яЁё]"), F.lit("cyrillic")).otherwise(F.lit("latin"))
+        return F.struct(title.alias("title"), given.alias("given"), gender.alias("gender"), script.alias("script"), x["last"].alias("last"))
+
+    def pieces(x: Column) -> Column:
+        first = _piece(x["title"], F.concat_ws(" ", F.lit("given"), x["script"], x["gender"]), x["given"])
+        return F.filter(F.array(first, _piece(x["title"], F.concat_ws(" ", F.lit("surname"), x["script"]), x["last"])), lambda p: p["part"].isNotNull())
+
+    bare = lambda w: F.regexp_replace(w[0], r"\.$", "")
+    titled = lambda w: bare(w).isin(*_TITLES) & ((F.size(w) > 2) | ~w[0].isin(*_FIRST["f"], *_FIRST["m"]))
+    cut = _let(F.split(entity, " "), lambda w: F.struct(w.alias("w"), bare(w).alias("bare"), titled(w).alias("titled"), F.element_at(w, -1).alias("last")))
+    return _let(_let(cut, told), pieces)
+
+
+def parts(entity: Column) -> Column:
+    """array<struct<title, kind, canon, part>>: what an entity is replaced by; a name has a title, which stays, and up to
+    two parts, others are one."""
+    plain = lambda x: F.array(_piece(F.lit(None).cast("string"), x["k"], x["e"]))
+    return _let(F.struct(entity.alias("e"), kind(entity).alias("k")), lambda x: F.when(x["k"] == "name", _of_name(x["e"])).otherwise(plain(x)))
 
 
 def _draw(digest: Column, i: Column) -> Column:
@@ -125,26 +181,38 @@ def _octets(entity: Column, digest: Column, wide: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p, i: one(p, i).cast("string")), ".")
 
 
-def _name(entity: Column, key: str, attempt: Column) -> Column:
-    """Title kept; given name by gender and script, surname of syllables, each drawn from the word it replaces. More
-    attempts give longer surnames, so the supply never ends."""
-    words = F.split(entity, " ")
-    title, last = F.regexp_replace(words[0], r"\.$", ""), F.element_at(words, -1)
+def _iban(entity: Column, digest: Column) -> Column:
+    """Country kept, the rest drawn again; check digits are set so that an IBAN that was valid still is."""
+    drawn = _like(entity, digest, F.lit(4), F.lit(False))
+    bare = F.regexp_replace(drawn, " ", "")
+    turned = lambda x, check: F.concat(F.substring(x, 5, 40), F.substring(x, 1, 2), check)
+    step = lambda acc, c: F.when(c.rlike("[0-9]"), (acc * 10 + c.cast("int")) % 97).otherwise((acc * 100 + F.ascii(F.upper(c)) - 55) % 97)
+    rest = lambda x: F.aggregate(F.split(x, ""), F.lit(0), step)
+    own = F.regexp_replace(entity, " ", "")
+    check = F.lpad((98 - rest(turned(bare, F.lit("00")))).cast("string"), 2, "0")
+    valid = rest(turned(own, F.substring(own, 3, 2))) == 1
+    return F.when(valid, F.concat(F.substring(drawn, 1, 2), check, F.substring(drawn, 5, 60))).otherwise(drawn)
+
+
+def _syllables(script: str, digest: Column, n: Column) -> Column:
+    every = F.array(*[F.lit(x) for x in SYLLABLES[script]])
+    return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.element_at(every, (_draw(digest, i) % len(SYLLABLES[script]) + 1).cast("int"))), "")
+
+
+def _part_of_name(kind_of: Column, digest: Column, attempt: Column) -> Column:
+    """A given name by script and gender, or a surname of syllables; further attempts are longer, so the supply never
+    ends."""
     out = F.lit(None).cast("string")
-    for (script, gender), titles in TITLES.items():
-        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("surname"), F.lower(last), attempt.cast("string")), 512)
-        first = F.sha2(F.concat_ws("|", F.lit(key), F.lit("given"), F.lower(words[1])), 512)
-        pick = lambda choices, n: F.element_at(F.array(*[F.lit(c) for c in choices]), (n % len(choices) + 1).cast("int"))
-        surname = F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), 3 + attempt), lambda i: pick(SYLLABLES[script], _draw(digest, i))), ""))  # noqa: B023
-        own = F.concat_ws(" ", words[0], F.when(F.size(words) > 2, pick(GIVEN[script, gender], _draw(first, F.lit(0)))), surname)
-        out = F.when(title.isin(*titles), own).otherwise(out)
+    for (script, gender), choices in GIVEN.items():
+        base = F.element_at(F.array(*[F.lit(c) for c in choices]), (_draw(digest, F.lit(0)) % len(choices) + 1).cast("int"))
+        longer = F.concat(base, _syllables(script, digest, F.greatest(F.lit(1), attempt - NARROW_GIVEN + 1)))
+        out = F.when(kind_of == f"given {script} {gender}", F.when(attempt < NARROW_GIVEN, base).otherwise(longer)).otherwise(out)
+    for script in SYLLABLES:
+        out = F.when(kind_of == f"surname {script}", F.initcap(_syllables(script, digest, 4 + attempt))).otherwise(out)
     return out
 
 
-def surrogate(entity: Column, key: str, attempt: Column) -> Column:
-    """Replacement of a detected entity."""
-    what = kind(entity)
-    digest = F.sha2(F.concat_ws("|", F.lit(key), what, attempt.cast("string"), canonical(entity, what)), 512)
+def _drawn(what: Column, entity: Column, digest: Column, attempt: Column) -> Column:
     extra = F.greatest(F.lit(0), attempt - (NARROW - 1)).cast("int")
     long = F.when(extra > 0, F.concat(entity, F.repeat(F.lit("0"), extra))).otherwise(entity)
     tail = F.regexp_extract(entity, r"(\.[^.]*)$", 1)
@@ -152,26 +220,45 @@ def surrogate(entity: Column, key: str, attempt: Column) -> Column:
     address = F.concat(_like(head, digest, F.lit(0), F.lit(False)), tail)
     country = F.when(entity.startswith("+"), F.length(F.regexp_extract(entity, r"^\+(\d{1,3}?)(?=[ .(-]|\d{7})", 1))).otherwise(F.lit(0))
     valid = _luhn(F.regexp_replace(entity, r"\D", "")) % 10 == 0
+    form = r"((?:straße|strasse|weg|platz|allee) | (?:Street|Road|Avenue|Lane|Drive|Boulevard|Square|St|Rd|Ave)$)"
+    before, kept, after = (F.regexp_extract(entity, rf"^(.*?){form}(.*)$", i) for i in (1, 2, 3))
+    plain = lambda x, d: _like(x, d, F.lit(0), F.lit(False))
+    street = F.concat(plain(F.concat(F.repeat(F.lit("a"), extra), before), digest), kept, plain(after, F.reverse(digest)))
     out = F.when(what == "email", address).when(what == "ip", _octets(entity, digest, extra > 0)).when(what == "number", _number(long, digest, valid))
-    out = out.when(what == "phone", _like(long, digest, country, F.lit(False))).when(what == "ssn", _like(long, digest, F.lit(0), F.lit(False)))
-    return out.when(what == "name", _name(entity, key, attempt)).otherwise(_like(long, digest, F.lit(0), entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")))
+    out = out.when(what == "phone", _like(long, digest, country, F.lit(False))).when(what == "ssn", plain(long, digest))
+    out = out.when(what == "iban", _iban(long, digest)).when(what == "ipv6", _like(long, digest, F.lit(0), F.lit(True))).when(what == "street", street)
+    out = out.when(what.startswith("given ") | what.startswith("surname "), _part_of_name(what, digest, attempt))
+    return out.otherwise(_like(long, digest, F.lit(0), entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")))
+
+
+def _part(what: Column, entity: Column, key: str, attempt: Column) -> Column:
+    """Replacement of an entity, or of a part of a name, on its attempt-th draw."""
+    digest = F.sha2(F.concat_ws("|", F.lit(key), what, attempt.cast("string"), canonical(entity, what)), 512)
+    bound = F.struct(what.alias("k"), entity.alias("e"), digest.alias("d"), attempt.alias("a"))
+    return _let(bound, lambda x: _drawn(x["k"], x["e"], x["d"], x["a"]))
+
+
+def surrogate(entity: Column, key: str, attempt_of: Callable[[Column, Column], Column]) -> Column:
+    """Replacement of a detected entity; attempt_of(kind, canon) is the draw of each of its parts."""
+    made = lambda p: _part(p["kind"], p["part"], key, attempt_of(p["kind"], p["canon"]))
+    return _let(parts(entity), lambda ps: F.concat_ws(" ", ps[0]["title"], F.transform(ps, made)))
 
 
 def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """canon, kind, attempt of the entities that had to draw again, when no replacement collides any more."""
+    """kind, canon, attempt of the entities that had to draw again, when no replacement collides any more."""
     every = docs.select(F.explode(F.array_distinct(entities(F.col(text)))).alias("entity")).distinct()
-    every = written(every.select("entity", kind(F.col("entity")).alias("kind")).select("entity", "kind", canonical(F.col("entity"), F.col("kind")).alias("canon")), "pii-entities")
-    own = every.select("kind", "canon").distinct()
-    spelled = every.groupBy("kind", "canon").agg(F.min("entity").alias("entity"))
-    state = spelled.withColumn("attempt", F.lit(0))
+    spelled = every.select(F.explode(parts(F.col("entity"))).alias("p")).groupBy("p.kind", "p.canon").agg(F.min("p.part").alias("part"))
+    state = written(spelled.withColumn("attempt", F.lit(0)), "pii-entities")
+    real = state.select(F.col("canon").alias("to")).distinct().withColumn("real", F.lit(True))
     while True:
-        drawn = written(state.withColumn("to", surrogate(F.col("entity"), key, F.col("attempt"))).select("kind", "canon", "entity", "attempt", canonical(F.col("to"), F.col("kind")).alias("to")), "pii-drawn")
-        twice = drawn.groupBy("kind", "to").agg(F.min("canon").alias("keeps"), F.count("*").alias("n")).where("n > 1").drop("n")
-        real = own.select("kind", F.col("canon").alias("to"), F.lit(True).alias("real"))
-        again = (F.col("canon") != F.col("keeps")) | F.col("real")
-        checked = drawn.join(twice, ["kind", "to"], "left").join(real, ["kind", "to"], "left").withColumn("again", F.coalesce(again, F.lit(False)))
-        checked = written(checked.select("kind", "canon", "entity", "attempt", "again"), "pii-checked")
-        state = checked.select("kind", "canon", "entity", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+        to = canonical(_part(F.col("kind"), F.col("part"), key, F.col("attempt")), F.col("kind"))
+        drawn = written(state.withColumn("to", to), "pii-drawn")
+        own = F.struct("kind", "canon")
+        twice = drawn.groupBy("to").agg(F.min(own).alias("keeps"), F.count("*").alias("n")).where("n > 1").drop("n")
+        checked = drawn.join(twice, "to", "left").join(real, "to", "left")
+        again = F.coalesce((own != F.col("keeps")) | F.col("real"), F.lit(False))
+        checked = written(checked.select("kind", "canon", "part", "attempt", again.alias("again")), "pii-checked")
+        state = checked.select("kind", "canon", "part", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
         if checked.where("again").isEmpty():
             break
     return state.where("attempt > 0").select("kind", "canon", "attempt")
@@ -187,19 +274,21 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     Columns of these names are replaced; all others stay as they are. A null text stays null, an empty one empty, both
     with counts 0. Equal entities get equal replacements anywhere in the table, spellings of one entity (marks in
     numbers, case in addresses and secrets) get the spellings of one replacement, different entities of a type get
-    different ones. Repeated rows get equal results; texts are handled whole.
+    different ones, and none is an entity of the table. Repeated rows get equal results; texts are handled whole.
     """
     counts = ["n_entities", *(f"n_{t}" for t in TYPES)]
     base = without(docs, *counts)
     redrawn = written(attempts(base.select(text), key, text), "pii-again")
     if redrawn.isEmpty():
-        found = base.withColumn("_e", entities(F.col(text))).withColumn("_to", F.transform("_e", lambda e: surrogate(e, key, F.lit(0))))
+        first = lambda k, c: F.lit(0)
+        found = base.withColumn("_e", entities(F.col(text))).withColumn("_to", F.transform("_e", lambda e: surrogate(e, key, first)))
     else:
         own = base.select(F.xxhash64(text).alias("_h"), F.explode(F.array_distinct(entities(F.col(text)))).alias("entity")).distinct()
-        own = own.withColumn("kind", kind(F.col("entity"))).withColumn("canon", canonical(F.col("entity"), F.col("kind"))).join(redrawn, ["kind", "canon"])
-        of = own.groupBy("_h").agg(F.map_from_entries(F.collect_set(F.struct("entity", "attempt"))).alias("_m"))
+        own = own.select("_h", F.explode(parts(F.col("entity"))).alias("p")).select("_h", "p.kind", "p.canon").join(redrawn, ["kind", "canon"])
+        of = own.groupBy("_h").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canon"), F.col("attempt")))).alias("_m"))
         joined = base.withColumn("_h", F.xxhash64(text)).join(of, "_h", "left").drop("_h").withColumn("_e", entities(F.col(text)))
-        found = joined.withColumn("_to", F.transform("_e", lambda e: surrogate(e, key, F.coalesce(F.col("_m")[e], F.lit(0))))).drop("_m")
+        known = lambda k, c: F.coalesce(F.col("_m")[F.concat_ws("|", k, c)], F.lit(0))
+        found = joined.withColumn("_to", F.transform("_e", lambda e: surrogate(e, key, known))).drop("_m")
     between = F.split(F.col(text), PATTERN, -1)
     whole = F.array_join(F.zip_with(between, F.concat(F.col("_to"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     kinds = F.transform("_e", kind)

@@ -1,9 +1,15 @@
 """Quality rules: counting rules, and perplexity under a modified Kneser-Ney model of byte n-grams.
 
-Bytes fold into 32 symbols (letters without case, white space, digits, marks, UTF-8 lead and tail bytes), so a 4-gram is
-one of 2**20 and a language's model has a proven bound however large the corpus; that is what lets it be broadcast.
-Spark counts the 4-grams of every document, by language; lower orders use continuation counts, each order has the three
-discounts of modified Kneser-Ney, and the model is kept as sorted arrays of n-gram keys with log probabilities.
+Texts are read as UTF-8 bytes with A-Z lowered, digits as one and white space as one, so an n-gram of `ORDER` bytes
+tells any script's letters apart and packs into one 64-bit key. Spark counts, for each language, in how many documents
+each n-gram is, over all documents: the counts grow with the corpus, without a bound or a least count. Lower orders use
+continuation counts, each order has the three discounts of modified Kneser-Ney, and probabilities are made by joins.
+
+A document must not vouch for itself. An n-gram of one document alone is never looked up by another, so leaving each
+document out of its own judgement comes to leaving these n-grams out of what is looked up: they take part in every count
+and discount, and are then scored as unseen. What is left is kept in sorted arrays of keys with log probabilities, one
+for each language and order, and looked up by binary search. Where they take more than `MODEL_BYTES`, they are cut into
+blocks by the last byte but one of the n-gram, texts pass each block in turn, and the partial sums add up, exactly.
 
 Bands are per language too: the centre is the median of ln(perplexity) over the documents that pass the counting rules,
 the widths are multiples of its spread, both taken from exact histograms over all documents.
@@ -15,35 +21,34 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import CHUNK_BYTES, utf8, written
+from quarry.llm.common import CHUNK_BYTES, chunks, mix, utf8, written
 
-ORDER, BITS = 4, 5
-#: 4-grams seen less often back off: a text of noise must not vouch for itself.
-LEAST_COUNT = 3
-SPACE = 26
+ORDER = 6
+BLANK = 32
+#: Bytes of the arrays that are broadcast at once.
+MODEL_BYTES = 256 << 20
+#: N-grams that a task adds up before it sends them on.
+HELD_GRAMS = 4_000_000
 #: Bins per unit of ln(perplexity) in the histograms.
 BINS = 200
-#: Models that a worker keeps laid out at once; further ones are laid out anew for each batch.
-HELD = 16
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 
 
 def _fold() -> np.ndarray:
-    out = np.full(256, 28, np.uint32)
-    out[[9, 10, 11, 12, 13, 32]] = SPACE
-    out[48:58] = 27
-    for c in b"#*$%&|<>":
-        out[c] = 29
-    out[0xC0:], out[0x80:0xC0] = 30, 31
-    for i in range(26):
-        out[65 + i] = out[97 + i] = i
+    out = np.arange(256, dtype=np.uint64)
+    out[65:91] += 32
+    out[48:58] = 48
+    out[[9, 10, 11, 12, 13]] = BLANK
     return out
 
 
@@ -51,102 +56,228 @@ _FOLD = _fold()
 
 
 def grams(text: bytes) -> np.ndarray:
-    """The 4-gram ending at each byte of a text, which starts after three white spaces."""
-    s = np.concatenate([np.full(ORDER - 1, SPACE, np.uint32), _FOLD[np.frombuffer(text, np.uint8)]])
-    n = len(s) - ORDER + 1
-    return (s[:n] << 15) | (s[1 : n + 1] << 10) | (s[2 : n + 2] << 5) | s[3:]
+    """The n-gram of ORDER bytes that ends at each byte of a text, which starts after blanks."""
+    s = np.concatenate([np.full(ORDER - 1, BLANK, np.uint64), _FOLD[np.frombuffer(text, np.uint8)]])
+    out = np.zeros(len(s) - ORDER + 1, np.uint64)
+    for i in range(ORDER):
+        out = (out << np.uint64(8)) | s[i : i + len(out)]
+    return out
+
+
+def _pieces(text: bytes) -> Iterator[np.ndarray]:
+    """The n-grams of a text, whatever its length, in runs of bounded size."""
+    for i in range(0, len(text), CHUNK_BYTES):
+        yield grams(text[max(0, i - ORDER + 1) : i + CHUNK_BYTES])[min(i, ORDER - 1) :]
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with the sums of their counts."""
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    by = np.argsort(key, kind="stable")
+    key, n = key[by], n[by]
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    return key[at], np.add.reduceat(n, at) if len(at) else n
+
+
+def _packed(key: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted keys as differences, and their counts."""
+    return zstandard.compress(np.diff(key, prepend=np.uint64(0)).tobytes() + n.astype("<u4").tobytes(), 3)
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = zstandard.decompress(raw)
+    n = len(data) // 12
+    return np.cumsum(np.frombuffer(data, np.uint64, n)), np.frombuffer(data, "<u4", n, 8 * n).astype(np.int64)
 
 
 def count(docs: DataFrame) -> DataFrame:
-    """lang, gram, n over whole texts of docs (lang, text). Each task adds up its rows first and sends every 4-gram of
-    a language once."""
+    """lang, key, n: in how many texts of docs (lang, text) each n-gram is. Tasks add up their rows, send sorted keys in
+    packs to the bucket of the key's hash, and buckets add up packs as they come."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, table in held.items():
-                at = np.flatnonzero(table)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(table[at])], names=["lang", "gram", "n"])
+            rows = []
+            for lang, found in held.items():
+                key, n = _summed([k for k, _ in found], [c for _, c in found])
+                bucket = (mix(key) % np.uint64(parts)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                edges = np.searchsorted(bucket[by], np.arange(parts + 1)).tolist()
+                for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                    if b > a:
+                        rows.append((lang, i, _packed(key[by[a:b]], n[by[a:b]])))
             held.clear()
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary()))], names=["lang", "bucket", "pack"])
 
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch.column("text")), strict=True):
-                if not text:
-                    continue
-                if lang not in held:
-                    if len(held) >= 8:
-                        yield from flush()
-                    held[lang] = np.zeros(1 << (BITS * ORDER), np.int64)
-                for i in range(0, len(text), CHUNK_BYTES):
-                    own = grams(text[max(0, i - ORDER + 1) : i + CHUNK_BYTES])[ORDER - 1 if i else 0 :]
-                    if len(own) < 50_000:
-                        np.add.at(held[lang], own, 1)
-                    else:
-                        held[lang] += np.bincount(own, minlength=len(held[lang]))
+            texts = utf8(batch.column("text"))
+            langs = batch.column("lang").to_pylist()
+            for lang in sorted(set(langs)):
+                own = [t for t, of in zip(texts, langs, strict=True) if of == lang and t]
+                for a, b in chunks(own):
+                    each = [np.unique(np.concatenate([np.unique(g) for g in _pieces(t)])) for t in own[a:b]]
+                    found = np.unique(np.concatenate(each), return_counts=True)
+                    held.setdefault(lang, []).append(found)
+                    size += len(found[0])
+                    if size > HELD_GRAMS:
+                        held = {k: [_summed([x for x, _ in v], [c for _, c in v])] for k, v in held.items()}
+                        size = sum(len(v[0][0]) for v in held.values())
+                        if size > HELD_GRAMS // 2:
+                            yield from flush()
+                            size = 0
         yield from flush()
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, keys, counts, size, limit = None, [], [], 0, HELD_GRAMS
 
+        def out() -> Iterator[pa.RecordBatch]:
+            key, n = _summed(keys, counts)
+            yield pa.RecordBatch.from_arrays([pa.array([current[0]] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n)], names=["lang", "key", "n"])
 
-def _discounts(n: np.ndarray) -> np.ndarray:
-    """For counts 0, 1, 2, 3 and more."""
-    c1, c2, c3, c4 = (max(int((n == i).sum()), 1) for i in (1, 2, 3, 4))
+        for batch in batches:
+            for lang, bucket, raw in zip(*(batch.column(c).to_pylist() for c in ("lang", "bucket", "pack")), strict=True):
+                if current is not None and current != (lang, bucket):
+                    yield from out()
+                    keys, counts, size, limit = [], [], 0, HELD_GRAMS
+                current = (lang, bucket)
+                key, n = _unpacked(raw)
+                keys.append(key)
+                counts.append(n)
+                size += len(key)
+                if size > limit:
+                    key, n = _summed(keys, counts)
+                    keys, counts, size, limit = [key], [n], len(key), len(key) + HELD_GRAMS
+        if current is not None:
+            yield from out()
+
+    sent = docs.select("lang", "text").mapInArrow(tally, "lang string, bucket int, pack binary")
+    return sent.repartition(parts, "lang", "bucket").sortWithinPartitions("lang", "bucket").mapInArrow(merge, "lang string, key long, n long")
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
+    """Of modified Kneser-Ney for counts 1, 2, 3 and more, from how many n-grams have counts 1 to 4."""
+    c1, c2, c3, c4 = (max(n, 1) for n in (n1, n2, n3, n4))
     y = c1 / (c1 + 2 * c2)
-    own = [1 - 2 * y * c2 / c1, 2 - 3 * y * c3 / c2, 3 - 4 * y * c4 / c3]
-    return np.array([0.0, *(min(max(d, 0.05), i + 0.95) for i, d in enumerate(own))])
+    own = (1 - 2 * y * c2 / c1, 2 - 3 * y * c3 / c2, 3 - 4 * y * c4 / c3)
+    return tuple(min(max(d, 0.05), i + 0.95) for i, d in enumerate(own))
+
+
+def estimate(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Modified Kneser-Ney from (lang, key, n): entries (lang, k, key, p, single) of the n-grams of each order k, and
+    contexts (lang, k, key, gamma, single), whose key is the n-gram without its last byte. `single` marks what surely
+    comes from one document alone."""
+    spark = counted.sparkSession
+    levels = {ORDER: written(counted.withColumn("single", F.col("n") == 1), "lm-count")}
+    for k in range(ORDER - 1, 0, -1):  # continuation counts: how many bytes precede the shorter n-gram
+        shorter = F.col("key").bitwiseAND((1 << (8 * k)) - 1)
+        lower = levels[k + 1].groupBy("lang", shorter.alias("key")).agg(F.count("*").alias("n"), F.every("single").alias("single"))
+        levels[k] = written(lower.withColumn("single", F.col("single") & (F.col("n") == 1)), "lm-count")
+    entries, contexts, below = [], [], None
+    for k in range(1, ORDER + 1):
+        of = levels[k].groupBy("lang").agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).collect()  # a row a language
+        cut = F.broadcast(spark.createDataFrame([(r["lang"], *discounts(r["n1"], r["n2"], r["n3"], r["n4"])) for r in of], "lang string, d1 double, d2 double, d3 double"))
+        own = levels[k].join(cut, "lang").withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
+        own = own.select("lang", "key", "n", "d", "single", F.shiftrightunsigned("key", 8).alias("h"))
+        at = own.groupBy("lang", "h").agg((F.sum("d") / F.sum("n")).alias("gamma"), F.sum("n").alias("total"), (F.every("single") & (F.count("*") == 1)).alias("alone"))
+        at = written(at, "lm-context")
+        joined = own.join(at, ["lang", "h"])
+        if below is None:
+            low = joined.withColumn("low", F.lit(1 / 256))
+        else:
+            shorter = F.col("key").bitwiseAND((1 << (8 * (k - 1))) - 1)
+            low = joined.withColumn("short", shorter).join(below.select("lang", F.col("key").alias("short"), F.col("p").alias("low")), ["lang", "short"])
+        p = (F.col("n") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("low")
+        below = written(low.select("lang", "key", p.alias("p"), "single"), "lm-entry")
+        entries.append(below.select("lang", F.lit(k).alias("k"), "key", "p", "single"))
+        contexts.append(at.select("lang", F.lit(k).alias("k"), F.col("h").alias("key"), "gamma", F.col("alone").alias("single")))
+    return reduce(DataFrame.unionByName, entries), reduce(DataFrame.unionByName, contexts)
+
+
+#: Sorted keys with log2 values, by language and order.
+Arrays = dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]
 
 
 @dataclass(frozen=True)
 class NgramModel:
-    """Sorted 4-gram keys of each language with log2 probabilities, and what an unseen 4-gram backs off to."""
-
-    keys: dict[str, np.ndarray]
-    bits: dict[str, np.ndarray]
-    backoff: dict[str, np.ndarray]
-    lower: dict[str, np.ndarray]
-
-    def dense(self, lang: str) -> np.ndarray:
-        """Bits of every possible 4-gram."""
-        every = np.arange(1 << (BITS * ORDER))
-        out = -(self.backoff[lang][every >> BITS] + self.lower[lang][every & ((1 << (BITS * (ORDER - 1))) - 1)])
-        out[self.keys[lang]] = -self.bits[lang]
-        return out.astype(np.float32)
-
-
-def estimate(counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> NgramModel:
-    """Modified Kneser-Ney from the 4-gram counts of each language."""
-    keys, bits, backoff, lower = {}, {}, {}, {}
-    width = 1 << BITS
-    for lang, (gram, n) in counted.items():
-        by = np.argsort(gram)
-        key, top = gram[by].astype(np.int64), n[by].astype(np.float64)
-        discounts = _discounts(top)
-        key, top = key[top >= LEAST_COUNT], top[top >= LEAST_COUNT]
-        level = np.zeros(1 << (BITS * ORDER))
-        level[key] = top
-        tables = [level]
-        for _ in range(ORDER - 1):  # continuation counts: how many symbols precede the shorter n-gram
-            tables.append((tables[-1].reshape(width, -1) > 0).sum(0).astype(np.float64))
-        prob = np.full(width, 1 / width)
-        for k in range(ORDER - 1, -1, -1):
-            c = tables[k].reshape(-1, width)
-            d = discounts if k == 0 else _discounts(tables[k])
-            total = c.sum(1, keepdims=True)
-            kind = np.minimum(c, 3).astype(np.int64)
-            cut = d[kind]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gamma = np.where(total > 0, cut.sum(1, keepdims=True) / total, 1.0)
-                direct = np.where(total > 0, (c - cut) / total, 0.0)
-            shorter = prob
-            rest = shorter.reshape(-1, width)
-            rest = np.tile(rest, (c.shape[0] // rest.shape[0], 1)) if k < ORDER - 1 else np.broadcast_to(shorter, c.shape)
-            prob = (direct + gamma * rest).reshape(-1)
-            if k == 0:
-                backoff[lang] = np.log2(np.maximum(gamma[:, 0], 1e-12)).astype(np.float32)
-                lower[lang] = np.log2(np.maximum(shorter, 1e-12)).astype(np.float32)
-        keys[lang], bits[lang] = key.astype(np.int32), np.log2(np.maximum(prob[key], 1e-12)).astype(np.float32)
-    return NgramModel(keys, bits, backoff, lower)
+    """One block of a model: n-grams with log2 probabilities, contexts with log2 back-off weights, of all languages."""
+
+    languages: tuple[str, ...]
+    entries: Arrays
+    contexts: Arrays
+
+    def bits(self, lang: str, keys: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each n-gram of ORDER bytes after the others: from the longest order that has
+        it, with the weights of the contexts passed on the way down."""
+        out = np.zeros(len(keys))
+        todo = np.arange(len(keys))
+        for k in range(ORDER, 0, -1):
+            own = keys[todo] & np.uint64((1 << (8 * k)) - 1)
+            hit, value = _find(self.entries.get((lang, k)), own)
+            out[todo] -= value
+            todo, own = todo[~hit], own[~hit]
+            out[todo] -= _find(self.contexts.get((lang, k)), own >> np.uint64(8))[1]
+        out[todo] += 8
+        return out
+
+
+def _find(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a sorted array has each key, and its value, 0 where it has not."""
+    if table is None or not len(table[0]):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    hit = table[0][at] == keys
+    return hit, np.where(hit, table[1][at], 0.0)
+
+
+def _arrays(rows: DataFrame, value: str) -> Arrays:
+    """Collect (lang, k, key, value) as sorted arrays."""
+    table = rows.select("lang", "k", "key", F.log2(value).cast("float").alias("v")).toArrow()
+    lang, k = table.column("lang").to_numpy(zero_copy_only=False), table.column("k").to_numpy()
+    key, v = table.column("key").to_numpy().astype(np.uint64), table.column("v").to_numpy()
+    out = {}
+    for one in sorted(set(lang)):
+        for order in range(1, ORDER + 1):
+            own = np.flatnonzero((lang == one) & (k == order))
+            by = own[np.argsort(key[own])]
+            out[one, order] = key[by], v[by]
+    return out
+
+
+def blocks(entries: DataFrame, contexts: DataFrame, most: int) -> Iterator[tuple[int, int, NgramModel]]:
+    """(block, number of blocks, model) with arrays of about `most` bytes each. A block has the n-grams whose last byte
+    but one is its own, and the contexts that end with such a byte; what has no such byte is in every block."""
+    seen, ways = entries.where("NOT single"), contexts.where("NOT single")
+    sizes = seen.groupBy("lang").agg(F.count("*").alias("n")).collect(), ways.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    languages = tuple(sorted({r["lang"] for rows in sizes for r in rows}))
+    many = min(256, max(1, -(-12 * sum(r["n"] for rows in sizes for r in rows) // most)))
+    for block in range(many):
+        last = lambda key: F.pmod(key.bitwiseAND(255), F.lit(many)) == block  # noqa: B023, E731
+        own = seen.where((F.col("k") == 1) | last(F.shiftrightunsigned("key", 8)))
+        yield block, many, NgramModel(languages, _arrays(own, "p"), _arrays(ways.where((F.col("k") == 1) | last(F.col("key"))), "gamma"))
+
+
+def text_bits(model: NgramModel, texts: list[bytes], block: int = 0, many: int = 1) -> np.ndarray:
+    """Bits of each text (rows) in each language (columns) over the n-grams of a block. Each distinct n-gram of a run of
+    texts is looked up once."""
+    out = np.zeros((len(texts), len(model.languages)))
+    for a, b in chunks(texts):
+        for runs in zip_longest(*(_pieces(t) for t in texts[a:b])):  # long texts take several rounds
+            some = [i for i, r in enumerate(runs) if r is not None and len(r)]
+            if not some:
+                continue
+            each, which = np.unique(np.concatenate([runs[i] for i in some]), return_inverse=True)
+            begin = np.cumsum([0, *(len(runs[i]) for i in some)])[:-1]
+            here = (each >> np.uint64(8)) & np.uint64(255)
+            mine = np.flatnonzero(here % np.uint64(many) == block)
+            for j, lang in enumerate(model.languages):
+                cost = np.zeros(len(each))
+                cost[mine] = model.bits(lang, each[mine])
+                out[[a + i for i in some], j] += np.add.reduceat(cost[which], begin)
+    return out
 
 
 def rules(text: str | None) -> tuple[int, int, int, int, int]:
@@ -213,43 +344,37 @@ def judged(docs: DataFrame, wide: float = 6.0, least: float = 0.05, min_words: i
     columns are ignored.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
-    table = count(rows).toArrow()
-    lang_of = table.column("lang").to_numpy(zero_copy_only=False)
-    gram_of, n_of = table.column("gram").to_numpy(), table.column("n").to_numpy()
-    model = estimate({lang: (gram_of[lang_of == lang], n_of[lang_of == lang]) for lang in sorted(set(lang_of))})
-    shared = spark.sparkContext.broadcast(model)
-    schema = T.StructType.fromDDL("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ln_ppl double")
-    doc_type = rows.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", doc_type), *schema.fields[1:]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm = shared.value
-        names = sorted(lm.keys)
-        held = [lm.dense(lang) for lang in names[:HELD]]
-
-        def bits_of(raw: bytes, dense: list[np.ndarray]) -> np.ndarray:
-            bits = np.zeros(len(dense))
-            for i in range(0, len(raw), CHUNK_BYTES):
-                own = grams(raw[max(0, i - ORDER + 1) : i + CHUNK_BYTES])[ORDER - 1 if i else 0 :]
-                bits += [table[own].sum(dtype=np.float64) for table in dense]
-            return bits
-
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [rules(text) for text in texts]
-            raws = [text.encode("utf-8", "surrogatepass") if text else b"" for text in texts]
-            scores = [bits_of(raw, held) for raw in raws]
-            for at in range(HELD, len(names), HELD):
-                dense = [lm.dense(lang) for lang in names[at : at + HELD]]
-                scores = [np.append(x, bits_of(raw, dense)) for x, raw in zip(scores, raws, strict=True)]
-            best = [names[int(np.argmin(x))] if raw else None for x, raw in zip(scores, raws, strict=True)]
-            ppl = [float(x.min()) / len(raw) * math.log(2) if raw else None for x, raw in zip(scores, raws, strict=True)]
-            columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * 5
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.string()), *columns, pa.array(ppl, pa.float64())], names=schema.names)
-
+    rows = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"), F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(17), "text").alias("h2"))
+    entries, contexts = estimate(count(rows))
+    first = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("h1 long, h2 long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_bytes long, bits array<double>").fields])
+    table, languages = None, ()
+    for block, many, model in blocks(entries, contexts, MODEL_BYTES):
+        shared, languages = spark.sparkContext.broadcast(model), model.languages
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, block: int = block, many: int = many) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            for batch in batches:
+                raws = [t or b"" for t in utf8(batch.column("text"))]
+                bits = text_bits(shared.value, raws, block, many)
+                scores = pa.array(list(bits), pa.list_(pa.float64()))
+                own = [batch.column("h1"), batch.column("h2")]
+                if block:
+                    yield pa.RecordBatch.from_arrays([*own, scores], names=["h1", "h2", "bits"])
+                    continue
+                found = [rules(text) for text in batch.column("text").to_pylist()]
+                columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * 5
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *own, *columns, pa.array([len(t) for t in raws], pa.int64()), scores], names=first.names)
+
+        if block == 0:
+            table = written(rows.mapInArrow(run, first), "quality")
+        else:  # texts are known by their hashes from here on; equal ones have equal sums
+            more = rows.mapInArrow(run, "h1 long, h2 long, bits array<double>").groupBy("h1", "h2").agg(F.first("bits").alias("more"))
+            table = written(table.join(more, ["h1", "h2"]).withColumn("bits", F.zip_with("bits", "more", lambda a, b: a + b)).select(first.names), "quality")
+    best = F.array_min("bits")
+    names = F.array(*[F.lit(x) for x in languages]) if languages else F.array().cast("array<string>")
+    said = F.when((F.col("n_bytes") > 0) & (F.size("bits") > 0), F.element_at(names, F.array_position("bits", best).cast("int")))
+    table = table.withColumn("lang", said).withColumn("ln_ppl", F.when(F.col("lang").isNotNull(), best / F.col("n_bytes") * math.log(2)))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
-    scored = written(rows.mapInArrow(run, schema), "quality").withColumn("base_failed", failed)
+    scored = table.withColumn("base_failed", failed)
     bands = _bands(scored, wide, least)
     fits = F.lit(False)
     for lang, (low, high) in sorted(bands.items()):

@@ -91,3 +91,35 @@ def hits(text, items):
                     covered.update(range(j, j + len(window)))
                     found.add(item)
     return len(w), len(covered), sorted(found, key=str)
+
+
+def gram_counts(texts, order):
+    """{n-gram of folded bytes as a number: in how many texts it is}"""
+    out = Counter()
+    for t in texts:
+        raw = b" " * (order - 1) + bytes(48 if 48 <= c <= 57 else c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in t.encode())
+        out.update({int.from_bytes(raw[i : i + order], "big") for i in range(len(raw) - order + 1)})
+    return dict(out)
+
+
+def kneser_ney(top, order):
+    """{(k, n-gram): probability}, {(k, context): back-off weight}, by the textbook."""
+    levels = {order: dict(top)}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g & ((1 << (8 * k)) - 1) for g in levels[k + 1])
+    p, gamma = {}, {}
+    for k in range(1, order + 1):
+        c = levels[k]
+        n = [max(sum(v == i for v in c.values()), 1) for i in range(5)]
+        y = n[1] / (n[1] + 2 * n[2])
+        cut = [0.0] + [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05) for i in (1, 2, 3)]
+        total, held = Counter(), Counter()
+        for g, v in c.items():
+            total[g >> 8] += v
+            held[g >> 8] += cut[min(v, 3)]
+        for h in total:
+            gamma[k, h] = held[h] / total[h]
+        for g, v in c.items():
+            low = p[k - 1, g & ((1 << (8 * (k - 1))) - 1)] if k > 1 else 1 / 256
+            p[k, g] = (v - cut[min(v, 3)]) / total[g >> 8] + gamma[k, g >> 8] * low
+    return p, gamma

@@ -190,15 +190,46 @@ def test_quality_rules_match_brute_force(spark, odd):
     assert all(not r.kept for r in out if r.base_failed) and quality.judged(empty(spark)).count() == 0
 
 
-def test_kneser_ney_is_a_distribution():
-    data = ("the cat sat on the mat. " * 50 + "a dog, a log! 1234 " * 20).encode()
-    g = quality.grams(data)
-    key, n = np.unique(g, return_counts=True)
-    model = quality.estimate({"en": (key, n)})
-    p = np.exp2(-model.dense("en").astype(np.float64)).reshape(-1, 32)
-    assert np.allclose(p.sum(1), 1, atol=1e-3)
-    seen = model.dense("en")[g].mean()
-    assert seen < 1.5 < model.dense("en")[quality.grams(b"xqzv jjkw pfgh")].mean()
+def test_kneser_ney_matches_a_slow_version(spark):
+    """Counts by documents, probabilities of all orders and back-off weights, and what each context adds up to."""
+    texts = ["the cat sat on the mat " * 3, "The cat ate the rat 12", "Кот и код, кот", "the mat 99", "", "a dog"] + [f"the cat no {i}" for i in range(6)]
+    docs = spark.createDataFrame([("en", t) for t in texts] + [("x", "abc abc")], "lang string, text string").repartition(3)
+    counted = quality.count(docs)
+    own = [t for t in texts if t]
+    want = brute.gram_counts(own, quality.ORDER)
+    assert {r.key: r.n for r in counted.where("lang = 'en'").collect()} == want
+    entries, contexts = quality.estimate(counted)
+    p, gamma = brute.kneser_ney(want, quality.ORDER)
+    got = {(r.k, r.key): r.p for r in entries.where("lang = 'en'").collect()}
+    assert got.keys() == p.keys() and all(got[g] == pytest.approx(p[g], rel=1e-9) for g in p)
+    ways = {(r.k, r.key): r.gamma for r in contexts.where("lang = 'en'").collect()}
+    assert ways.keys() == gamma.keys() and all(ways[h] == pytest.approx(gamma[h], rel=1e-9) for h in gamma)
+    full = quality.NgramModel(("en",), quality._arrays(entries, "p"), quality._arrays(contexts, "gamma"))
+    for history in (b"the c", b"zzzzz", b" mat ", "ко".encode() + b" "):
+        keys = np.array([int.from_bytes(history[-5:] + bytes([c]), "big") for c in range(256)], np.uint64)
+        assert np.exp2(-full.bits("en", keys)).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_texts_do_not_vouch_for_themselves(spark):
+    """What one document alone has is scored as if that document had not been counted; blocks add up to the whole."""
+    texts = ["plain words again and again"] * 2 + ["plain words and no more", "qqzx vvkj wwpq"]
+    entries, contexts = quality.estimate(quality.count(spark.createDataFrame([("en", t) for t in texts], "lang string, text string")))
+    raws = [t.encode() for t in texts] + [b"", b"plain " * 5000]
+    ((_, many, model),) = quality.blocks(entries, contexts, 1 << 20)
+    assert many == 1 and not any(np.isin(quality.grams(raws[3])[5:], model.entries["en", quality.ORDER][0]))
+    whole = quality.text_bits(model, raws)
+    assert whole[4, 0] == 0 and whole[0, 0] / len(raws[0]) < 3 and whole[3, 0] / len(raws[3]) > 5
+    cut = list(quality.blocks(entries, contexts, 600))
+    assert len(cut) > 2 and np.allclose(sum(quality.text_bits(m, raws, i, n) for i, n, m in cut), whole)
+
+
+def test_gibberish_in_other_scripts_is_rejected(spark):
+    r = random.Random(4)
+    words = ["".join(r.choice("абвгдеклмнопрст") for _ in range(r.randint(2, 7))) for _ in range(150)]
+    rows = [(i, " ".join(r.choice(words) for _ in range(90)), "ru") for i in range(120)]
+    rows += [(500, " ".join("".join(r.choice("фхцчшщъыьэюя") for _ in range(6)) for _ in range(90)), "ru"), (501, " ".join("".join(r.choice("абвгдеклмнопрст") for _ in range(5)) for _ in range(90)), "ru")]
+    out = {x.doc_id: x.kept for x in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not out[500] and not out[501] and sum(out[i] for i in range(120)) >= 118
 
 
 def test_perplexity_bands_reject_noise(spark):
@@ -494,3 +525,31 @@ def test_html_short_blocks(spark):
     pages = [(i, f"http://h.example/{i}", f"<ul>{menu if i else ''}</ul>{'' if i else flat}<p>unique {i}u{i} words</p><p>Read more</p>") for i in range(3)]
     out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert out == {i: f"unique {i}u{i} words" for i in range(3)}
+
+
+def test_surrogates_keep_families_together(spark):
+    """Whoever shares a surname still does, whatever the draws; given names are apart from it and match the gender."""
+    first = [f"{a}{b}" for a in ("Zan", "Kor", "Lud", "Mir") for b in ("a", "ek", "in", "or", "us", "il")]
+    rows = [(0, "Mr Smith met Mrs Smith"), *((1 + i, f"Mr {f} Smith and Mrs {f} Jones") for i, f in enumerate(first)), (90, "Dr Jane Roe, John Smith and Jane Roe; Госпожа Анна Петрова, Госпожа Петрова")]
+    out = {r.doc_id: r.text for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    smith, jones = out[0].split()[1], out[1].split()[-1]
+    assert out[0].split() == ["Mr", smith, "met", "Mrs", smith] and smith not in ("Smith", jones)
+    assert all(out[1 + i].split()[2] == smith and out[1 + i].split()[-1] == jones for i in range(len(first)))
+    men, women = ({out[1 + i].split()[j] for i in range(len(first))} for j in (1, 5))
+    assert len(men) == len(women) == len(first) and not (men | women) & set(first)
+    assert all(any(x.startswith(n) for n in pii.GIVEN["latin", "m"]) for x in men) and all(any(x.startswith(n) for n in pii.GIVEN["latin", "f"]) for x in women)
+    doctor, john, jane, anna, petrova = out[90].replace(" and ", ", ").replace("; ", ", ").split(", ")
+    assert doctor == f"Dr {jane}" and john.split()[1] == smith and "Roe" not in doctor and "Jane" not in doctor
+    assert anna.split()[0] == petrova.split()[0] == "Госпожа" and anna.split()[2] == petrova.split()[1] != "Петрова" and "Анна" not in anna
+
+
+def test_surrogates_of_further_types(spark):
+    texts = ["pay to DE89 3704 0044 0532 0130 00 now", "pay to DE89370400440532013000 now", "host 2001:db8:85a3::8a2e:370:7334 up", "at 221b Baker Street today", "in der Lindenstraße 12 gestern", "at 12:30:45 and std::vector and a: b"]
+    out = {r.doc_id: r for r in pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    iban = lambda t: t.removeprefix("pay to ").removesuffix(" now")
+    assert iban(out[0].text).replace(" ", "") == iban(out[1].text) != iban(texts[1]) and [len(x) for x in iban(out[0].text).split()] == [4, 4, 4, 4, 4, 2]
+    digits = "".join(str(int(c, 36)) for c in iban(out[1].text)[4:] + iban(out[1].text)[:4])
+    assert int(digits) % 97 == 1 and iban(out[1].text).startswith("DE")
+    assert [(out[i].n_iban, out[i].n_ipv6, out[i].n_street, out[i].n_entities) for i in range(6)] == [(1, 0, 0, 1), (1, 0, 0, 1), (0, 1, 0, 1), (0, 0, 1, 1), (0, 0, 1, 1), (0, 0, 0, 0)]
+    assert [len(x) for x in out[2].text.split()[1].split(":")] == [4, 3, 4, 0, 4, 3, 4] and "85a3" not in out[2].text
+    assert out[3].text.endswith(" Street today") and "Baker" not in out[3].text and "straße " in out[4].text and "Linden" not in out[4].text and out[5].text == texts[5]
