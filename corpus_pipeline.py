@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, near-duplicate removal, decontamination, surrogates for personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns
-of documents. Null, empty or letterless texts go in the first stage; rows that repeat a doc_id go in the second.
+of documents. Null, empty or letterless texts go in the first stage; of rows that repeat a doc_id and its text, one stays.
 """
 
 from __future__ import annotations
@@ -25,14 +25,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id. Rows without doc_id stay."""
+    """One document of each group of near duplicates: that of the smallest doc_id, and of its texts, if it has several in
+    the group, that of the smallest hash. Of rows that repeat both, the smallest by their other columns stays. Rows
+    without doc_id stay."""
     found = common.written(neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT).where("doc_id IS NOT NULL"), "nd-found")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    twice = found.groupBy(F.col("doc_id").alias("gone")).agg(F.count("*").alias("n")).where("n > 1").select("gone")
-    told = common.marked(docs, "doc_id", gone.union(twice))
+    gone = found.where("NOT first").select("doc_id", F.col("text_hash").alias("_th")).distinct()
+    twice = found.where("first").groupBy("doc_id", F.col("text_hash").alias("_th")).agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "_th")
+    placed = docs.withColumn("_th", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("_key", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "_th")))
+    told = common.marked(placed, "_key", gone.union(twice).select(F.xxhash64("doc_id", "_th").alias("_key")))
     sure = told.where("NOT _in").select(*docs.columns)
-    rest = told.where("_in").join(gone, F.col("doc_id") == F.col("gone"), "left_anti").dropDuplicates(["doc_id"])
-    return sure.unionByName(rest.select(*docs.columns))
+    rest = told.where("_in").join(gone, ["doc_id", "_th"], "left_anti").groupBy("doc_id", "_th").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return sure.unionByName(rest.select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

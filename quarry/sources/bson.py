@@ -179,15 +179,22 @@ def anchored(f: Bytes, at: int) -> bool:
     return bool(n) and (at + n == f.size or _framed(f, at + n) > 0) and _decodes(f, at, n)
 
 
-def resumed(f: Bytes, at: int) -> int:
-    """The first anchored place from `at` on; the end of the file if there is none."""
+def _alone(f: Bytes, at: int) -> bool:
+    """Whether a document with an id of its own starts at `at`, whatever follows."""
+    n = _framed(f, at)
+    return n > 8 and f.get(at + 5, 4) == b"_id\0" and _decodes(f, at, n)
+
+
+def resumed(f: Bytes, at: int, lone: bool = False) -> int:
+    """The first anchored place from `at` on; the end of the file if there is none. With `lone`, a document with an id
+    between two runs of bad bytes counts too: ranges never begin there, but reading goes on there."""
     while at < f.size:
         block = np.frombuffer(f.get(at, min(f.window, f.size - at)), np.uint8).astype(np.int64)
         if len(block) < LEAST:
             return f.size
         length = block[:-3] | block[1:-2] << 8 | block[2:-1] << 16 | block[3:] << 24
         for i in np.flatnonzero((length >= LEAST) & (length <= MOST)).tolist():
-            if anchored(f, at + i):
+            if anchored(f, at + i) or (lone and _alone(f, at + i)):
                 return at + i
         at += len(block) - 3
     return f.size
@@ -230,7 +237,7 @@ class BsonReader(DataSourceReader):
                 at += n
                 continue
             # a sound frame around a bad document is skipped whole if something follows it, else byte by byte
-            to = at + n if n and (at + n == f.size or _framed(f, at + n)) else resumed(f, at + 1)
+            to = at + n if n and (at + n == f.size or _framed(f, at + n)) else resumed(f, at + 1, True)
             yield partition.path, at, None, to - at
             at = to
 
