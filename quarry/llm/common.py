@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,13 +22,20 @@ _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
 
 
+#: Working tables written so far; a result may need them until it has been read.
+_WRITTEN: list[str] = []
+
+
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only where none is named."""
+    """The shared folder the session names. Where none is named, a temporary one on this machine, which will do for a
+    local session only."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         where = current.get() if current.isDefined() else None
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="quarry-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
@@ -37,9 +45,20 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """`df` as a table in the shared folder: cuts lineage, and survives lost executors."""
     path = f"{work_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> int:
+    """Delete the working tables of all operators run so far, once their results have been read; returns how many."""
+    n = len(_WRITTEN)
+    for name in _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _WRITTEN.clear()
+    return n
+
+
 def dropped(df: DataFrame, *tables: DataFrame) -> DataFrame:
     """`df`, after the folders of working tables that nothing needs any more are deleted."""
     jvm = df.sparkSession._jvm
@@ -114,6 +133,28 @@ class WordHasher:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hash, begin and end of the words of a text, in arrays: words are separated by one blank or line end each,
+    with none before the first or after the last. Eight bytes of every word are mixed in at a time."""
+    if not data:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    raw = np.frombuffer(data, np.uint8)
+    gaps = np.flatnonzero((raw == 32) | (raw == 10))
+    begin, end = np.append(0, gaps + 1), np.append(gaps, len(data))
+    at8 = np.ndarray((len(data),), "<u8", data + bytes(8), strides=(1,))  # the eight bytes from each place on
+    left = end - begin
+    out = mix(left.astype(np.uint64))
+    todo, at = np.arange(len(begin)), begin
+    while len(todo):
+        part = at8[at]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (np.uint64(8) * left[short].astype(np.uint64))) - np.uint64(1)
+        out[todo] = mix(out[todo] ^ part)
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    return out, begin, end
+
+
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of k word hashes."""
     n = len(words) - k + 1

@@ -14,7 +14,7 @@ one per chunk and bucket. A bucket is read as a stream and keeps only strings th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import WordHasher, chunks, mix, shingles, utf8, written
+from quarry.llm.common import chunks, hashed_words, mix, shingles, utf8, written
 
 MINI = 4
 #: Text that a worker packs at once, and unpacked strings that a bucket handles at once.
@@ -47,9 +47,9 @@ def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(out[: len(x) - n + 1], out[n - have : n - have + len(x) - n + 1]) if have < n else out
 
 
-def super_kmers(words: list[bytes], hashes: np.ndarray, width: int, common: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
-    """(minimiser, first window, number of windows, packed words) of one document with at least `width` words; `common`
-    holds the sorted hashes of common runs."""
+def super_kmers(data: bytes, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray, width: int, common: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+    """(minimiser, first window, number of windows, packed words) of one document with at least `width` words, whose
+    words lie at `begin` to `end` in `data`; `common` holds the sorted hashes of common runs."""
     runs = shingles(hashes, MINI)
     rank = runs >> np.uint64(1)
     if len(common):
@@ -59,12 +59,9 @@ def super_kmers(words: list[bytes], hashes: np.ndarray, width: int, common: np.n
     cut = np.flatnonzero(low[1:] != low[:-1]) + 1
     starts = np.concatenate([[0], cut])
     ends = np.append(cut, len(low))
-    text = b" ".join(words)
-    at = np.zeros(len(words) + 1, np.int64)
-    np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
-    left, right = at[starts].tolist(), (at[ends + width - 1] - 1).tolist()
+    left, right = begin[starts].tolist(), end[ends + width - 2].tolist()
     for m, a, n, i, j in zip(low[starts].tolist(), starts.tolist(), (ends - starts).tolist(), left, right, strict=True):
-        yield m, a, n, text[i:j]
+        yield m, a, n, data[i:j]
 
 
 def common_runs(rows: DataFrame, total: int) -> np.ndarray:
@@ -72,9 +69,8 @@ def common_runs(rows: DataFrame, total: int) -> np.ndarray:
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(min(1.0, SAMPLE_ROWS / max(total, 1)) * (1 << 30))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
         for batch in batches:
-            own = [np.unique(shingles(hasher(t.split()), MINI)) for t in utf8(batch.column("text")) if t]
+            own = [np.unique(shingles(hashed_words(b" ".join(t.split()))[0], MINI)) for t in utf8(batch.column("text")) if t]
             key, n = np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))], names=["run", "n"])
 
@@ -109,17 +105,21 @@ def _pack(docs: DataFrame, width: int, buckets: int, common: np.ndarray) -> Data
             yield turn % buckets, 1, press.compress(_heads(late))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, turn = WordHasher(), 0
+        turn = 0
         for batch in batches:
             ids, ties, texts = batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist(), [t or b"" for t in utf8(batch.column("text"))]
             for a, b in chunks(texts, PACK_BYTES):
                 held: dict[int, dict[bytes, Place]] = {}
                 late: list[Place] = []
-                for doc, tie, text in zip(ids[a:b], ties[a:b], texts[a:b], strict=True):
-                    words = text.split()
-                    if len(words) < width or doc is None:
-                        continue
-                    for m, start, n, packed in super_kmers(words, hasher(words), width, common):
+                own = [(i, b" ".join(texts[i].split())) for i in range(a, b) if ids[i] is not None]
+                own = [(i, text, text.count(b" ") + 1) for i, text in own if text.count(b" ") + 1 >= width]
+                data = b"\n".join([text for _, text, _ in own])
+                hashes, begin, end = hashed_words(data)
+                at = 0
+                for i, _, size in own:
+                    words, doc, tie = slice(at, at + size), ids[i], ties[i]
+                    at += size
+                    for m, start, n, packed in super_kmers(data, begin[words], end[words], hashes[words], width, common):
                         strings = held.setdefault(m % buckets, {})
                         place, first = (doc, tie, start, n), strings.get(packed)
                         if first is None:
@@ -159,22 +159,21 @@ def _same(data: bytes, begin: np.ndarray, end: np.ndarray, at: np.ndarray, lead:
     return all(data[a:b] == data[c:d] for a, b, c, d in spans)
 
 
-def marked_windows(heads: dict[str, np.ndarray], data: bytes, hasher: WordHasher, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def marked_windows(heads: dict[str, np.ndarray], data: bytes, width: int, hashed: Callable = hashed_words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """doc, tie and start of each window of the super-k-mers (strings in `data`, one a line) that also starts earlier,
     and which strings hold the first place of a window."""
-    hashes = hasher(data.split())
+    hashes, begin, end = hashed(data)
     n = heads["windows"]
     first = np.cumsum(n + width - 1) - (n + width - 1)
-    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    owner = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((heads["start"], heads["tie"], heads["doc"]))  # then windows are in the order of their places
+    owner = np.repeat(order, n[order])
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(n[order]) - n[order], n[order])
     at = first[owner] + nth
     doc, tie, start = heads["doc"][owner], heads["tie"][owner], heads["start"][owner] + nth
     key = _hashed(hashes, at, width)
-    gaps = np.flatnonzero(np.isin(np.frombuffer(data, np.uint8), (10, 32)))
-    begin = np.append(0, gaps + 1)
-    end = np.append(gaps, len(data))[width - 1 :]  # of the window from each word
+    end = end[width - 1 :]  # of the window from each word
     while True:
-        by = np.lexsort((start, tie, doc, key))
+        by = np.argsort(key, kind="stable")
         new = np.append(True, key[by][1:] != key[by][:-1])[: len(by)]
         lead = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
         if _same(data, begin, end, at[by[~new]], at[lead[~new]]):
@@ -193,7 +192,7 @@ def _repeats(packed: DataFrame, width: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tie), pa.array(start), pa.array(start + count + width - 2)], names=["doc_id", "tie", "first", "last"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, open_press = WordHasher(), zstandard.ZstdDecompressor()
+        open_press = zstandard.ZstdDecompressor()
         heads: list[dict[str, np.ndarray]] = []
         texts: list[bytes] = []
         size, limit, current = 0, SORT_BYTES, None
@@ -203,7 +202,7 @@ def _repeats(packed: DataFrame, width: int) -> DataFrame:
             if texts:
                 head = {name: np.concatenate([h[name] for h in heads]) for name, _ in _HEAD}
                 data = b"\n".join(texts)
-                doc, tie, start, firsts = marked_windows(head, data, hasher, width)
+                doc, tie, start, firsts = marked_windows(head, data, width)
                 if len(doc):
                     by = np.lexsort((start, tie, doc))
                     doc, tie, start = doc[by], tie[by], start[by]

@@ -59,21 +59,31 @@ def test_substring_matches_brute_force(spark, odd):
 
 def test_super_kmers_cover_every_window_once():
     words = [b"w%d" % (i * i % 11) for i in range(90)]
-    hashes = substring.WordHasher(5)(words)
+    data = b" ".join(words)
+    hashes, begin, end = substring.hashed_words(data)
     common = np.sort(substring.shingles(hashes, 4)[::3])
-    spans = [(a, n, packed.split()) for _, a, n, packed in substring.super_kmers(words, hashes, 20, common)]
+    spans = [(a, n, packed.split()) for _, a, n, packed in substring.super_kmers(data, begin, end, hashes, 20, common)]
     assert [a for a, _, _ in spans] == [0, *np.cumsum([n for _, n, _ in spans])[:-1]] and sum(n for _, n, _ in spans) == 71
     assert all(w == words[a : a + n + 19] for a, n, w in spans)
 
 
+def test_words_hash_by_their_bytes():
+    r = random.Random(9)
+    words = [bytes(r.randrange(33, 256) for _ in range(n)) for n in (1, 2, 7, 8, 9, 15, 16, 17, 40, 300)]
+    words += [w[:-1] + b"!" for w in words] + [w + b"\0" for w in words] + words
+    hashes, begin, end = substring.hashed_words(b" ".join(words[:20]) + b"\n" + b" ".join(words[20:]))
+    assert len({w: h for w, h in zip(words, hashes.tolist(), strict=True)}) == len(set(hashes.tolist())) == len(set(words))
+    assert (hashes[:10] == hashes[30:]).all() and (end - begin).tolist() == [len(w) for w in words] and not len(substring.hashed_words(b"")[0])
+
+
 def test_substring_compares_words_where_hashes_collide(odd):
     """Every word has one hash: windows are told apart by their words, in one round or several."""
     docs = [(d, t.encode().split()) for d, t in odd if t and len(t.split()) >= 20][:14]
     strings = [(d, i, b" ".join(w[i : i + 25])) for d, w in docs for i in range(0, min(len(w), 120) - 24, 6)]
     heads = {"doc": [d for d, _, _ in strings], "tie": [0] * len(strings), "start": [i for _, i, _ in strings], "windows": [6] * len(strings)}
     args = {k: np.array(v, np.int64) for k, v in heads.items()}, b"\n".join(x for _, _, x in strings)
-    same = lambda words: np.zeros(len(words), np.uint64)
-    want, got = (substring.marked_windows(*args, h, 20) for h in (substring.WordHasher(), same))
+    same = lambda data: (np.zeros(len(data.split()), np.uint64), *substring.hashed_words(data)[1:])
+    want, got = (substring.marked_windows(*args, 20, h) for h in (substring.hashed_words, same))
     assert len(want[0]) and sorted(zip(*(x.tolist() for x in want[:3]), strict=True)) == sorted(zip(*(x.tolist() for x in got[:3]), strict=True))
 
 
