@@ -3,8 +3,15 @@ shape; every column is named alike on both sides."""
 
 from __future__ import annotations
 
+import bz2
+import io
+import struct
+import tarfile
+import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
+from pyarrow import fs as stores
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +19,7 @@ from quarry import sinks
 from quarry.functions import scalars
 from quarry.operators import batches, classify, dedup, enrich, filters, funnel
 from quarry.plans import pipelines
+from quarry.sources import archive, bson
 from quarry.streaming import feed
 
 _FOUND: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -446,6 +454,54 @@ def target_table(spark, sf_dir):
     return sinks.target_rows(rows).select(F.lower(F.hex("sha256")).alias("sha256"), "classification", "source", "positives", "scan_date")
 
 
+@query("SELECT n_nationkey, n_name FROM nation")
+def archive_roundtrip(spark, sf_dir):
+    """Rows as lines of a bz2-compressed tar, opened again."""
+    names = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+
+    def packed(raw: bytes) -> bytes:
+        buffer = io.BytesIO()
+        with tarfile.open(fileobj=buffer, mode="w") as tar:
+            info = tarfile.TarInfo("lines.ndjson")
+            info.size = len(raw)
+            tar.addfile(info, io.BytesIO(raw))
+        return bz2.compress(buffer.getvalue())
+
+    def pack(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([f"/f/20240101/20240101T{i:04}" for i in range(batch.num_rows)]), pa.array([packed(x.encode()) for x in batch.column("value").to_pylist()], pa.binary())], names=["path", "content"])
+
+    lines = sinks.ndjson_line(names).mapInArrow(pack, "path string, content binary")
+    opened = archive.opened(lines).select(F.explode("lines").alias("line"))
+    return opened.select(F.from_json("line", "n_nationkey long, n_name string").alias("r")).select(F.col("r.n_nationkey").cast(names.schema["n_nationkey"].dataType).alias("n_nationkey"), "r.n_name")
+
+
+@query("SELECT r_regionkey AS id, r_name AS name FROM region")
+def bson_roundtrip(spark, sf_dir):
+    """Rows as a BSON dump in the shared folder, read again in ranges of a few bytes."""
+    rows = table(spark, sf_dir, "region").select("r_regionkey", "r_name").orderBy("r_regionkey").collect()  # five rows
+    text = lambda name, value: b"\x02" + name + b"\0" + struct.pack("<i", len(value.encode()) + 1) + value.encode() + b"\0"
+    bodies = [text(b"_id", str(r["r_regionkey"])) + text(b"name", r["r_name"]) for r in rows]
+    path = f"{sinks.shared_dir(spark)}/region-{uuid.uuid4().hex}.bson"
+    store, name = stores.FileSystem.from_uri(path)
+    with store.open_output_stream(name) as f:
+        f.write(b"".join(struct.pack("<i", len(b) + 5) + b + b"\0" for b in bodies))
+    spark.dataSource.register(bson.BsonSource)
+    docs = spark.read.format("bson_dump").option("splitBytes", 64).load(path)
+    found = docs.select(F.from_json("doc", "_id string, name string").alias("d"))
+    return found.select(F.col("d._id").cast(table(spark, sf_dir, "region").schema["r_regionkey"].dataType).alias("id"), "d.name")
+
+
+@query("SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1")
+def stream_available_now(spark, sf_dir):
+    """The hourly counts of events read as a stream, everything available at once."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    name = f"hours_{uuid.uuid4().hex}"
+    counted = feed.collect_stream(feed.hourly(stream), name, f"{sinks.shared_dir(spark)}/{name}", "complete")
+    return counted.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, (f, _) in _FOUND.items()}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import time
 from collections.abc import Callable, Iterator
 from itertools import islice
@@ -188,6 +189,16 @@ def bulk_load(df: DataFrame, connect: Callable[[], Any], statement: str, chunk:
     df.foreachPartition(load)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the session names as shared by the driver and all executors; a local session may do without."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="quarry-")
+
+
 class Manifest:
     """Finished work: name, length, version of what was done, by stage. Appended after the commit of the work itself."""
 

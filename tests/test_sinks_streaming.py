@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry import sinks
-from quarry.operators import classify, dedup, enrich, funnel
+from quarry.operators import batches, classify, dedup, enrich, funnel
 from quarry.plans import pipelines
 from quarry.streaming import feed
 
@@ -177,3 +177,29 @@ def test_stateful_counters_and_first_seen(spark, tmp_path):
     assert sorted(map(tuple, hours.collect())) == sorted(map(tuple, feed.hourly(spark.read.parquet(src)).collect()))
     first = feed.collect_stream(dedup.first_seen(feed.events_stream(spark, src, schema, 10), "user_id", "ts", "2 days"), "seen", str(tmp_path / "c3"))
     assert sorted(r.user_id for r in first.collect()) == list(range(7))
+
+
+def test_lookups_never_fan_out(spark):
+    rows = spark.createDataFrame([("a", None), ("b", "pua")], "sha1 string, own string")
+    table = spark.createDataFrame([("a", "malware", 1), ("a", "hacktool", 2), ("b", "x", 1), ("b", "x", 1), ("", "y", 1)], "sha1 string, cls string, at int")
+    assert [r.sha1 for r in enrich.resolve(rows, table, "sha1", "own", "cls").collect()] == ["a"]
+    assert {r.sha1: r.classification for r in enrich.resolve(rows, table, "sha1", "own", "cls", F.col("at")).collect()}["a"] == "hacktool"
+    found = enrich.batch_lookup(rows.select("sha1"), table.withColumn("response_code", F.lit(1)), "sha1", order=[F.desc("at")])
+    assert sorted((r.sha1, r.cls) for r in found.collect()) == [("a", "hacktool"), ("b", "x")]
+
+
+def test_reasons_rank_good_keys_only(spark):
+    good = "a" * 40
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("", 3), ("zz", 4), ("zz", 5), (good, 6), (good, 7)], "k string, t int")
+    out = dedup.dedup_reasons(rows, "k", [F.desc("t")])
+    assert sorted((r.t, r.reason) for r in out.collect()) == [(1, "no_key"), (2, "no_key"), (3, "no_key"), (4, "bad_key"), (5, "bad_key"), (6, "dup"), (7, "new")]
+
+
+def test_chunks_of_clustered_numbers(spark):
+    """Nearly all numbers lie close together: ranges are cut at quantiles, so no window holds most rows."""
+    numbers = [*range(5000), *range(10**15, 10**15 + 40), -(10**12)]
+    df = spark.createDataFrame([(x,) for x in numbers], "id long").repartition(3)
+    out = batches.chunk_numbers(df, "id", rows=100, window_rows=20)
+    assert [r.chunk for r in out.orderBy("id").collect()] == [i // 100 for i in range(len(numbers))]
+    plan = batches.chunk_numbers(df, "id", rows=100, window_rows=20)
+    assert plan.count() == len(numbers) and batches.chunk_numbers(df.limit(0), "id").count() == 0

@@ -10,7 +10,7 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
-from quarry import sinks
+from quarry import cli, sinks
 from quarry.operators import batches, dedup, filters, funnel
 from quarry.plans import pipelines
 from quarry.sources import archive, bson, ndjson, tables, verdicts
@@ -248,3 +248,34 @@ def test_listing_and_unique_merge(spark, tmp_path):
     assert [(r.path.rsplit("/", 1)[1], r.length) for r in tables.listing(spark, str(tmp_path), "*.bin").collect()] == [("a.bin", 3)]
     one, two = (spark.createDataFrame([(k,) for k in ks], "sha1 string") for ks in (["c", "a", None, "a"], ["b", "", "c"]))
     assert [r.sha1 for r in tables.merged_unique([one, two], "sha1").collect()] == ["a", "b", "c"]
+
+
+def test_programs(spark, feed, tmp_path):
+    """Each program end to end; a dump is resumed, a dry run writes nothing."""
+    out = lambda name: str(tmp_path / "out" / name)
+    (funnel_row,) = cli.main(["export", "--input", feed, "--output", out("feed"), "--dry-run"])
+    assert funnel_row["rec_new"] >= 2 and not (tmp_path / "out").exists()
+    cli.main(["export", "--input", feed, "--output", out("feed")])
+    exported = spark.read.parquet(out("feed"))
+    assert exported.count() == funnel_row["rec_new"]
+    cli.main(["export", "--input", feed, "--output", out("last"), "--max-days", "1"])
+    assert {r.day for r in spark.read.parquet(out("last")).select("day").collect()} == {max(r.day for r in exported.select("day").collect())}
+    (tmp_path / "v").mkdir()
+    for r in exported.collect():
+        (tmp_path / "v" / f"{r.sha1}.json").write_text('{"classification": "malware"}')
+    assert cli.main(["backfill", "--table", out("feed"), "--verdicts", str(tmp_path / "v"), "--output", out("filled"), "--dry-run"])[0]["percent"] == 100
+    cli.main(["backfill", "--table", out("feed"), "--verdicts", str(tmp_path / "v"), "--output", out("filled")])
+    cli.main(["filter", "--input", str(next((tmp_path / "out" / "filled").glob("v=*"))), "--output", out("kept")])
+    assert spark.read.parquet(out("kept")).count() == exported.count()
+    (tmp_path / "bson").mkdir()
+    (tmp_path / "bson" / "a.bson").write_bytes(b"".join(map(encode, DOCS)))
+    (tmp_path / "v.csv").write_text("sha1,classification\nab,malware\n")
+    args = ["dump", "--input", str(tmp_path / "bson"), "--output", out("dump"), "--verdicts", str(tmp_path / "v.csv"), "--resume"]
+    assert cli.main([*args, "--dry-run"])[0]["documents"] == len(DOCS)
+    cli.main(args)
+    n = spark.read.parquet(out("dump")).count()
+    (tmp_path / "bson" / "b.bson").write_bytes(b"".join(map(encode, DOCS)))
+    cli.main(args)
+    assert n and spark.read.parquet(out("dump")).count() == 2 * n
+    cli.main(["tsv", "--input", out("dump"), "--output", out("tsv")])
+    assert sum(len(p.read_text().splitlines()) for p in (tmp_path / "out" / "tsv").glob("part-*")) == 2 * n
