@@ -141,11 +141,11 @@ def _draw(digest: Column, i: Column) -> Column:
 
 def _as(ch: Column, n: Column, hexadecimal: Column) -> Column:
     """A character of the kind of `ch`, chosen by n; others stay."""
-    at = lambda letters: F.substr(F.lit(letters), (n % len(letters) + 1).cast("int"), F.lit(1))
-    low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    digits, low, up = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     small, great = "абвгдежзиклмнопрстуфхцчшэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"
-    out = F.when(ch.rlike("[0-9]"), at("0123456789")).when(hexadecimal & ch.rlike("[a-f]"), at("abcdef")).when(hexadecimal & ch.rlike("[A-F]"), at("ABCDEF"))
-    return out.when(ch.rlike(r"[а-яё]"), at(small)).when(ch.rlike(r"[А-ЯЁ]"), at(great)).when(ch.rlike(r"\p{Ll}|\p{Lo}"), at(low)).when(ch.rlike(r"\p{Lu}"), at(up)).otherwise(ch)
+    of = F.when(ch.rlike("[0-9]"), digits).when(hexadecimal & ch.rlike("[a-f]"), "abcdef").when(hexadecimal & ch.rlike("[A-F]"), "ABCDEF")
+    of = of.when(ch.rlike(r"[а-яё]"), small).when(ch.rlike(r"[А-ЯЁ]"), great).when(ch.rlike(r"\p{Ll}|\p{Lo}"), low).when(ch.rlike(r"\p{Lu}"), up).otherwise(ch)
+    return _let(of, lambda letters: F.substr(letters, (n % F.length(letters) + 1).cast("int"), F.lit(1)))
 
 
 def _like(entity: Column, digest: Column, skip: Column, hexadecimal: Column) -> Column:
@@ -164,13 +164,12 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
-def _number(entity: Column, digest: Column, valid: Column) -> Column:
-    """Digits drawn again but for the first; where `valid`, the last one is set so that the Luhn check is valid."""
-    drawn = _like(entity, digest, F.lit(1), F.lit(False))
+def _number(drawn: Column) -> Column:
+    """A drawn number with its last digit set so that the Luhn check is valid."""
     bare = lambda x: F.regexp_replace(x, r"\D", "")
     head = F.regexp_extract(drawn, r"(?s)^(.*)\d(\D*)$", 1)
     check = ((10 - _luhn(F.concat(bare(head), F.lit("0"))) % 10) % 10).cast("string")
-    return F.when(valid, F.concat(head, check)).otherwise(drawn)
+    return F.concat(head, check)
 
 
 def _octets(entity: Column, digest: Column, wide: Column) -> Column:
@@ -181,54 +180,51 @@ def _octets(entity: Column, digest: Column, wide: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p, i: one(p, i).cast("string")), ".")
 
 
-def _iban(entity: Column, digest: Column) -> Column:
-    """Country kept, the rest drawn again; check digits are set so that an IBAN that was valid still is."""
-    drawn = _like(entity, digest, F.lit(4), F.lit(False))
-    bare = F.regexp_replace(drawn, " ", "")
-    turned = lambda x, check: F.concat(F.substring(x, 5, 40), F.substring(x, 1, 2), check)
+def _rest(iban: Column, check: Column) -> Column:
+    """What the check of an IBAN without blanks leaves, with these check digits; 1 where it is valid."""
+    turned = F.concat(F.substring(iban, 5, 40), F.substring(iban, 1, 2), check)
     step = lambda acc, c: F.when(c.rlike("[0-9]"), (acc * 10 + c.cast("int")) % 97).otherwise((acc * 100 + F.ascii(F.upper(c)) - 55) % 97)
-    rest = lambda x: F.aggregate(F.split(x, ""), F.lit(0), step)
-    own = F.regexp_replace(entity, " ", "")
-    check = F.lpad((98 - rest(turned(bare, F.lit("00")))).cast("string"), 2, "0")
-    valid = rest(turned(own, F.substring(own, 3, 2))) == 1
-    return F.when(valid, F.concat(F.substring(drawn, 1, 2), check, F.substring(drawn, 5, 60))).otherwise(drawn)
+    return F.aggregate(F.split(turned, ""), F.lit(0), step)
 
 
-def _syllables(script: str, digest: Column, n: Column) -> Column:
-    every = F.array(*[F.lit(x) for x in SYLLABLES[script]])
-    return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.element_at(every, (_draw(digest, i) % len(SYLLABLES[script]) + 1).cast("int"))), "")
+def _iban(entity: Column, drawn: Column) -> Column:
+    """A drawn IBAN, with check digits set if the one it replaces was valid."""
+    own = F.regexp_replace(entity, " ", "")
+    check = F.lpad((98 - _rest(F.regexp_replace(drawn, " ", ""), F.lit("00"))).cast("string"), 2, "0")
+    return F.when(_rest(own, F.substring(own, 3, 2)) == 1, F.concat(F.substring(drawn, 1, 2), check, F.substring(drawn, 5, 60))).otherwise(drawn)
 
 
 def _part_of_name(kind_of: Column, digest: Column, attempt: Column) -> Column:
     """A given name by script and gender, or a surname of syllables; further attempts are longer, so the supply never
     ends."""
-    out = F.lit(None).cast("string")
+    pool = F.lit(None).cast("string")
     for (script, gender), choices in GIVEN.items():
-        base = F.element_at(F.array(*[F.lit(c) for c in choices]), (_draw(digest, F.lit(0)) % len(choices) + 1).cast("int"))
-        longer = F.concat(base, _syllables(script, digest, F.greatest(F.lit(1), attempt - NARROW_GIVEN + 1)))
-        out = F.when(kind_of == f"given {script} {gender}", F.when(attempt < NARROW_GIVEN, base).otherwise(longer)).otherwise(out)
-    for script in SYLLABLES:
-        out = F.when(kind_of == f"surname {script}", F.initcap(_syllables(script, digest, 4 + attempt))).otherwise(out)
-    return out
+        pool = F.when(kind_of == f"given {script} {gender}", F.lit(" ".join(choices))).otherwise(pool)
+    syllables = F.split(F.when(kind_of.endswith("latin") | kind_of.contains(" latin "), F.lit(" ".join(SYLLABLES["latin"]))).otherwise(F.lit(" ".join(SYLLABLES["cyrillic"]))), " ")
+    pick = lambda choices, i: F.element_at(choices, (_draw(digest, i) % F.size(choices) + 1).cast("int"))
+    n = F.when(kind_of.startswith("surname "), 4 + attempt).otherwise(F.greatest(F.lit(0), attempt - NARROW_GIVEN + 1))
+    tail = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: pick(syllables, i)), "")).otherwise(F.lit(""))
+    return F.when(kind_of.startswith("surname "), F.initcap(tail)).otherwise(F.concat(pick(F.split(pool, " "), F.lit(0)), tail))
 
 
 def _drawn(what: Column, entity: Column, digest: Column, attempt: Column) -> Column:
     extra = F.greatest(F.lit(0), attempt - (NARROW - 1)).cast("int")
-    long = F.when(extra > 0, F.concat(entity, F.repeat(F.lit("0"), extra))).otherwise(entity)
-    tail = F.regexp_extract(entity, r"(\.[^.]*)$", 1)
-    head = F.concat(F.repeat(F.lit("a"), extra), F.regexp_replace(entity, r"\.[^.]*$", ""))
-    address = F.concat(_like(head, digest, F.lit(0), F.lit(False)), tail)
-    country = F.when(entity.startswith("+"), F.length(F.regexp_extract(entity, r"^\+(\d{1,3}?)(?=[ .(-]|\d{7})", 1))).otherwise(F.lit(0))
-    valid = _luhn(F.regexp_replace(entity, r"\D", "")) % 10 == 0
+    wider, digits = F.repeat(F.lit("a"), extra), F.regexp_replace(entity, r"\D", "")
     form = r"((?:straße|strasse|weg|platz|allee) | (?:Street|Road|Avenue|Lane|Drive|Boulevard|Square|St|Rd|Ave)$)"
-    before, kept, after = (F.regexp_extract(entity, rf"^(.*?){form}(.*)$", i) for i in (1, 2, 3))
-    plain = lambda x, d: _like(x, d, F.lit(0), F.lit(False))
-    street = F.concat(plain(F.concat(F.repeat(F.lit("a"), extra), before), digest), kept, plain(after, F.reverse(digest)))
-    out = F.when(what == "email", address).when(what == "ip", _octets(entity, digest, extra > 0)).when(what == "number", _number(long, digest, valid))
-    out = out.when(what == "phone", _like(long, digest, country, F.lit(False))).when(what == "ssn", plain(long, digest))
-    out = out.when(what == "iban", _iban(long, digest)).when(what == "ipv6", _like(long, digest, F.lit(0), F.lit(True))).when(what == "street", street)
-    out = out.when(what.startswith("given ") | what.startswith("surname "), _part_of_name(what, digest, attempt))
-    return out.otherwise(_like(long, digest, F.lit(0), entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")))
+    # what is drawn again: an address without its last label, a street without its kind, anything else whole
+    text = F.when(what == "email", F.concat(wider, F.regexp_replace(entity, r"\.[^.]*$", ""))).when(what == "street", F.concat(wider, F.regexp_replace(entity, form, "\0")))
+    text = text.otherwise(F.concat(entity, F.repeat(F.lit("0"), extra)))
+    country = F.length(F.regexp_extract(entity, r"^\+(\d{1,3}?)(?=[ .(-]|\d{7})", 1))
+    skip = F.when(what == "phone", F.when(entity.startswith("+"), country).otherwise(0)).when(what == "number", 1).when(what == "iban", 4).otherwise(0)
+    hexadecimal = (what == "ipv6") | ((what == "secret") & entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"))
+
+    def finished(drawn: Column) -> Column:
+        out = F.when(what == "email", F.concat(drawn, F.regexp_extract(entity, r"(\.[^.]*)$", 1))).when(what == "street", F.replace(drawn, F.lit("\0"), F.regexp_extract(entity, form, 1)))
+        return out.when((what == "number") & (_luhn(digits) % 10 == 0), _number(drawn)).when(what == "iban", _iban(entity, drawn)).otherwise(drawn)
+
+    named = what.startswith("given ") | what.startswith("surname ")
+    like = _let(_like(text, digest, skip, hexadecimal), finished)
+    return F.when(named, _part_of_name(what, digest, attempt)).when(what == "ip", _octets(entity, digest, extra > 0)).otherwise(like)
 
 
 def _part(what: Column, entity: Column, key: str, attempt: Column) -> Column:
