@@ -30,6 +30,8 @@ MINI = 4
 PACK_BYTES, SORT_BYTES = 8 << 20, 12 << 20
 #: Unpacked strings that a bucket is meant to hold; they take about three times the bytes of the text.
 BUCKET_BYTES = 8 << 20
+#: Buckets that one task should read, so that tasks grow in number and not in size.
+TASK_BUCKETS = 16
 #: Documents in whose sample a run of MINI words is sought, how many of these must have it to be common, and how many
 #: runs count as common at most. They decide which bucket a window goes to, and nothing else.
 SAMPLE_ROWS, COMMON, MOST_COMMON = 4000, 8, 1 << 16
@@ -258,7 +260,7 @@ def remove_repeats(docs: DataFrame, width: int = 20, buckets: int | None = None)
     else:
         rows = rows.join(written(told, "ss-twice"), F.col("doc_id") == F.col("twice"), "left").select("doc_id", "text", F.when(F.col("twice").isNotNull(), own).otherwise(F.lit(0)).alias("tie"))
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets // TASK_BUCKETS)
     packed = _pack(rows, width, buckets, common_runs(rows, total)).repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = _repeats(packed, width).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
     schema = T.StructType.fromDDL("doc_id long, n_words long, n_removed long, kept binary")

@@ -1,6 +1,7 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -123,3 +124,71 @@ def kneser_ney(top, order):
             low = p[k - 1, g & ((1 << (8 * (k - 1))) - 1)] if k > 1 else 1 / 256
             p[k, g] = (v - cut[min(v, 3)]) / total[g >> 8] + gamma[k, g >> 8] * low
     return p, gamma
+
+
+def page_texts(pages, blocks, long, one_in, article_pages):
+    """[text of each page] for pages (host, html): what repeats is found by comparing all windows of a host."""
+    parsed = [(h, [(z, t.split()) for z, t in blocks(html or "")]) for h, html in pages]
+
+    def substrings(page, inside):
+        """(place, width, words) of windows over block borders, and of short blocks"""
+        own = [t for z, t in page if (z == 2) == inside]
+        flat, out, at = [w for t in own for w in t], [], 0
+        out += [(i, long, tuple(flat[i : i + long])) for i in range(len(flat) - long + 1)]
+        for t in own:
+            if 0 < len(t) < long:
+                out.append((at, len(t), tuple(t)))
+            at += len(t)
+        return out
+
+    texts = []
+    for h, page in parsed:
+        own = [p for g, p in parsed if g == h]
+        gone = []
+        for inside in (False, True):
+            side = [p for p in own if any((z == 2) == inside for z, _ in p)]
+            key = (lambda p: str([t for z, t in p if z == 2])) if inside else str
+            distinct = {key(p): p for p in side}.values()
+            # a whole block is counted as such, a window as such
+            seen = Counter(x for p in distinct for x in {(w, s) for _, w, s in substrings(p, inside)})
+            rule = (lambda n, d=distinct: n >= article_pages and 2 * n >= len(d)) if inside else (lambda n, d=distinct: n >= 2 and one_in * n >= len(d))
+            gone.append([(a, w) for a, w, s in substrings(page, inside) if rule(seen[w, s])])
+        at, kept = [0, 0], []
+        for z, t in page:
+            side = int(z == 2)
+            a, b = at[side], at[side] + len(t)
+            at[side] = b
+            covered = {i for x, w in gone[side] for i in range(x, x + w)}
+            drop = {i for x, w in gone[side] if a <= x and x + w <= b for i in range(x, x + w)}
+            if set(range(a, b)) <= covered:
+                drop = set(range(a, b))
+            if z >= 0:
+                kept += [w for i, w in enumerate(t, a) if i not in drop]
+        texts.append(" ".join(kept))
+    return texts
+
+
+def ppm_bits(labelled, lang, text, order):
+    """Bits of a text by PPM (escape method C, no exclusion), from the labelled texts themselves."""
+    streams = {x: b"\n" + b"\n".join(t for y, t in labelled if y == x) for x, _ in labelled}
+    after = defaultdict(lambda: defaultdict(Counter))
+    for x, s in streams.items():
+        for k in range(order + 1):
+            for i in range(len(s) - k):
+                after[s[i : i + k]][x][s[i + k]] += 1
+
+    def cost(context, c):
+        counts = after[context][lang]
+        total, kinds = sum(counts.values()), len(counts)
+        if counts[c]:
+            return math.log2((total + kinds) / counts[c])
+        escape = math.log2((total + kinds) / kinds) if total else 0.0
+        return escape + (cost(context[1:], c) if context else 8.0)
+
+    known, bits, context = set(after), 0.0, b""
+    for c in text:
+        bits += cost(context, c)
+        context = (context + bytes([c]))[-order:]
+        while context not in known:
+            context = context[1:]
+    return bits

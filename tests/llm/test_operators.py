@@ -298,6 +298,16 @@ def test_language_id_exact_code_lengths():
     assert (bits[1] == 0).all() and bits.shape == (3, 2)
 
 
+def test_language_id_matches_a_slow_version():
+    labelled = [("x", b"abababab cabab"), ("y", b"zzyzzy zzy\xc3\xa9"), ("x", b"abac"), ("y", b"the zzy")]
+    model = langid.fit(labelled, order=3, max_states=500)
+    texts = [b"abab zzy q\xc3\xa9", b"zzyzzyabac", b"\n", bytes(range(60, 130))]
+    bits = langid.code_lengths(model, texts)
+    for i, t in enumerate(texts):
+        for j, lang in enumerate(model.languages):
+            assert bits[i, j] == pytest.approx(brute.ppm_bits(labelled, lang, t, 3), rel=1e-5), (t, lang)
+
+
 def test_language_id_odd_rows(spark, odd):
     model = langid.fit(langid.sample(frame(spark, odd), 20))
     out = {r.doc_id: r for r in langid.predict(frame(spark, odd), model).collect()}
@@ -563,3 +573,28 @@ def test_surrogates_of_further_types(spark):
     assert [(out[i].n_iban, out[i].n_ipv6, out[i].n_street, out[i].n_entities) for i in range(6)] == [(1, 0, 0, 1), (1, 0, 0, 1), (0, 1, 0, 1), (0, 0, 1, 1), (0, 0, 1, 1), (0, 0, 0, 0)]
     assert [len(x) for x in out[2].text.split()[1].split(":")] == [4, 3, 4, 0, 4, 3, 4] and "85a3" not in out[2].text
     assert out[3].text.endswith(" Street today") and "Baker" not in out[3].text and "straße " in out[4].text and "Linden" not in out[4].text and out[5].text == texts[5]
+
+
+def test_html_equal_pages_keep_their_text(spark):
+    page = "<p>one page that was stored two times under one name with all its words</p>"
+    rows = [(1, "http://h.example/a", page), (1, "http://h.example/a", page), (2, "http://h.example/b", "<p>other words stand here on this page</p>")]
+    out = sorted((r.page_id, r.n_chars) for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert out == [(1, 68), (1, 68), (2, 35)]
+
+
+def test_html_matches_brute_force(spark, monkeypatch):
+    """Random pages of three hosts made of shared and own runs, in one unit a host and in many."""
+    r, words = random.Random(21), [f"w{i}" for i in range(400)]
+    run = lambda n: " ".join(r.choice(words) for _ in range(n))
+    shared, rows = [run(n) for n in (3, 9, 12, 20, 5)], []
+    for i in range(60):
+        part = lambda: "".join(f"<p>{r.choice(shared) if r.random() < 0.5 else ''} {run(r.randint(0, 14))} {r.choice(shared) if r.random() < 0.2 else ''}</p>" for _ in range(r.randint(0, 4)))
+        page = part() + (f"<article>{part()}</article>" if r.random() < 0.7 else "") + f"<nav>{r.choice(shared)}</nav>" + part()
+        rows += [(i, f"http://{r.choice('abc')}.example/{i}", page)] * (2 if i % 10 == 0 else 1)
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for size, one_in in ((2000, 50), (4, 50), (4, 3)):
+        monkeypatch.setattr(html, "CHUNK_PAGES", size)
+        monkeypatch.setattr(html, "ONE_IN", one_in)
+        want = {d: t for (d, _, _), t in zip(rows, brute.page_texts([(u.split("/")[2], h) for _, u, h in rows], html.blocks, html.LONG, one_in, html.ARTICLE_PAGES), strict=True)}
+        out = html.extract(frame).collect()
+        assert len(out) == len(rows) and {x.page_id: x.text for x in out} == want, (size, one_in)
