@@ -22,7 +22,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -55,19 +54,36 @@ def _fold() -> np.ndarray:
 _FOLD = _fold()
 
 
-def grams(text: bytes) -> np.ndarray:
-    """The n-gram of ORDER bytes that ends at each byte of a text, which starts after blanks."""
-    s = np.concatenate([np.full(ORDER - 1, BLANK, np.uint64), _FOLD[np.frombuffer(text, np.uint8)]])
-    out = np.zeros(len(s) - ORDER + 1, np.uint64)
+def grams(s: np.ndarray) -> np.ndarray:
+    """The n-gram of ORDER bytes that ends at each folded byte but the first ORDER - 1."""
+    out = np.zeros(max(len(s) - ORDER + 1, 0), np.uint64)
     for i in range(ORDER):
         out = (out << np.uint64(8)) | s[i : i + len(out)]
     return out
 
 
-def _pieces(text: bytes) -> Iterator[np.ndarray]:
-    """The n-grams of a text, whatever its length, in runs of bounded size."""
-    for i in range(0, len(text), CHUNK_BYTES):
-        yield grams(text[max(0, i - ORDER + 1) : i + CHUNK_BYTES])[min(i, ORDER - 1) :]
+def placed(texts: list[bytes]) -> Iterator[tuple[int, bool, np.ndarray]]:
+    """Sorted (n-gram, text) pairs of runs of texts, in one number each: the n-gram in the upper 48 bits, below it the
+    text's place in the run; with the place of the first text, and whether the run is only a part of one long text.
+    A text starts after blanks."""
+    blank = b" " * (ORDER - 1)
+    for a, b in chunks(texts):
+        if b == a + 1 and len(texts[a]) > CHUNK_BYTES:
+            for i in range(0, len(texts[a]), CHUNK_BYTES):
+                before = texts[a][i - ORDER + 1 : i] if i else blank
+                yield a, True, np.sort(grams(_FOLD[np.frombuffer(before + texts[a][i : i + CHUNK_BYTES], np.uint8)]) << np.uint64(16))
+            continue
+        for c in range(a, b, 1 << 16):
+            own = texts[c : min(b, c + (1 << 16))]
+            lens = np.fromiter(map(len, own), np.int64, len(own))
+            text = np.repeat(np.arange(len(own)), lens)
+            every = grams(_FOLD[np.frombuffer(blank + blank.join(own), np.uint8)])
+            yield c, False, np.sort((every[np.arange(len(text)) + text * (ORDER - 1)] << np.uint64(16)) | text.astype(np.uint64))
+
+
+def _heads(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has a new value."""
+    return np.append(True, x[1:] != x[:-1])[: len(x)]
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,17 +134,24 @@ def count(docs: DataFrame) -> DataFrame:
             langs = batch.column("lang").to_pylist()
             for lang in sorted(set(langs)):
                 own = [t for t, of in zip(texts, langs, strict=True) if of == lang and t]
-                for a, b in chunks(own):
-                    each = [np.unique(np.concatenate([np.unique(g) for g in _pieces(t)])) for t in own[a:b]]
-                    found = np.unique(np.concatenate(each), return_counts=True)
-                    held.setdefault(lang, []).append(found)
-                    size += len(found[0])
+                long: dict[int, np.ndarray] = {}
+                for at, part, pairs in placed(own):
+                    key = pairs[_heads(pairs)] >> np.uint64(16)
+                    if part:  # a long text counts each n-gram once over all its parts
+                        both = np.sort(np.concatenate([long.get(at, key[:0]), key]))
+                        long[at] = both[_heads(both)]
+                        continue
+                    first = np.flatnonzero(_heads(key))
+                    held.setdefault(lang, []).append((key[first], np.diff(np.append(first, len(key)))))
+                    size += len(first)
                     if size > HELD_GRAMS:
                         held = {k: [_summed([x for x, _ in v], [c for _, c in v])] for k, v in held.items()}
                         size = sum(len(v[0][0]) for v in held.values())
                         if size > HELD_GRAMS // 2:
                             yield from flush()
                             size = 0
+                for key in long.values():
+                    held.setdefault(lang, []).append((key, np.ones(len(key), np.int64)))
         yield from flush()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,19 +287,18 @@ def text_bits(model: NgramModel, texts: list[bytes], block: int = 0, many: int =
     """Bits of each text (rows) in each language (columns) over the n-grams of a block. Each distinct n-gram of a run of
     texts is looked up once."""
     out = np.zeros((len(texts), len(model.languages)))
-    for a, b in chunks(texts):
-        for runs in zip_longest(*(_pieces(t) for t in texts[a:b])):  # long texts take several rounds
-            some = [i for i, r in enumerate(runs) if r is not None and len(r)]
-            if not some:
-                continue
-            each, which = np.unique(np.concatenate([runs[i] for i in some]), return_inverse=True)
-            begin = np.cumsum([0, *(len(runs[i]) for i in some)])[:-1]
-            here = (each >> np.uint64(8)) & np.uint64(255)
-            mine = np.flatnonzero(here % np.uint64(many) == block)
-            for j, lang in enumerate(model.languages):
-                cost = np.zeros(len(each))
-                cost[mine] = model.bits(lang, each[mine])
-                out[[a + i for i in some], j] += np.add.reduceat(cost[which], begin)
+    for at, part, pairs in placed(texts):
+        key = pairs >> np.uint64(16)
+        head = _heads(key)
+        each, which = key[head], np.cumsum(head) - 1
+        text = (pairs & np.uint64(0xFFFF)).astype(np.int64)
+        here = (each >> np.uint64(8)) & np.uint64(255)
+        mine = np.flatnonzero(here % np.uint64(many) == block)
+        for j, lang in enumerate(model.languages):
+            cost = np.zeros(len(each))
+            cost[mine] = model.bits(lang, each[mine])
+            bits = np.bincount(text, cost[which])
+            out[at : at + len(bits), j] += bits
     return out
 
 

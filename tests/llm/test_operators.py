@@ -205,6 +205,9 @@ def test_kneser_ney_matches_a_slow_version(spark):
     texts = ["the cat sat on the mat " * 3, "The cat ate the rat 12", "Кот и код, кот", "the mat 99", "", "a dog"] + [f"the cat no {i}" for i in range(6)]
     docs = spark.createDataFrame([("en", t) for t in texts] + [("x", "abc abc")], "lang string, text string").repartition(3)
     counted = quality.count(docs)
+    huge = "the cat 7 " * 450_000
+    both = {r.key: r.n for r in quality.count(spark.createDataFrame([("en", huge), ("en", huge + "é"), ("en", "the")], "lang string, text string")).collect()}
+    assert both == brute.gram_counts([huge, huge + "é", "the"], quality.ORDER)
     own = [t for t in texts if t]
     want = brute.gram_counts(own, quality.ORDER)
     assert {r.key: r.n for r in counted.where("lang = 'en'").collect()} == want
@@ -226,9 +229,11 @@ def test_texts_do_not_vouch_for_themselves(spark):
     entries, contexts = quality.estimate(quality.count(spark.createDataFrame([("en", t) for t in texts], "lang string, text string")))
     raws = [t.encode() for t in texts] + [b"", b"plain " * 5000]
     ((_, many, model),) = quality.blocks(entries, contexts, 1 << 20)
-    assert many == 1 and not any(np.isin(quality.grams(raws[3])[5:], model.entries["en", quality.ORDER][0]))
+    assert many == 1 and not any(np.isin(quality.grams(np.frombuffer(raws[3], np.uint8).astype(np.uint64)), model.entries["en", quality.ORDER][0]))
     whole = quality.text_bits(model, raws)
     assert whole[4, 0] == 0 and whole[0, 0] / len(raws[0]) < 3 and whole[3, 0] / len(raws[3]) > 5
+    long = raws[5] * 300  # a text of several runs
+    assert quality.text_bits(model, [b"a", long, b"b"])[1, 0] == pytest.approx(300 * (quality.text_bits(model, [raws[5]])[0, 0]), rel=1e-3)
     cut = list(quality.blocks(entries, contexts, 600))
     assert len(cut) > 2 and np.allclose(sum(quality.text_bits(m, raws, i, n) for i, n, m in cut), whole)
 
