@@ -105,6 +105,20 @@ def daily(spark: SparkSession, root: str, target: str, manifest: sinks.Manifest,
     return name
 
 
+def late_verdicts(table: sinks.Buckets, verdicts: DataFrame) -> int:
+    """Classes that arrived after their rows had been published with a fallback: rows of `table` whose key has a verdict
+    (key column and classification, one row a key) take its class, and nothing is inserted. Returns how many parts of
+    the table were written anew."""
+    if table.read() is None:
+        return 0
+
+    def combine(base: DataFrame, new: DataFrame) -> DataFrame:
+        late = new.select(table.key, F.col("classification").alias("_late"))
+        return base.join(late, table.key, "left").withColumn("classification", F.coalesce("_late", "classification")).select(*base.columns)
+
+    return table.merge(verdicts, combine)
+
+
 def dry_run(rows: DataFrame, keep) -> DataFrame:  # noqa: ANN001
     """What a run would keep, counted and not written."""
     return enrich.keep_rate(rows, keep)

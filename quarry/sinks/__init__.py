@@ -143,7 +143,7 @@ class Buckets:
         if not touched:
             return 0
         base = self.read(touched)
-        merged = combine(rows.limit(0) if base is None else base.select(*rows.columns), rows)
+        merged = combine(rows.limit(0) if base is None else base, rows)
         spread = self._numbered(merged).repartition("_part")
         spread.write.partitionBy("_part").option("compression", "zstd").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(_version_path(self.root))
         for folders in self._newest().values():

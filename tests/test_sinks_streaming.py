@@ -203,3 +203,13 @@ def test_chunks_of_clustered_numbers(spark):
     assert [r.chunk for r in out.orderBy("id").collect()] == [i // 100 for i in range(len(numbers))]
     plan = batches.chunk_numbers(df, "id", rows=100, window_rows=20)
     assert plan.count() == len(numbers) and batches.chunk_numbers(df.limit(0), "id").count() == 0
+
+
+def test_late_verdicts_reach_published_rows(spark, tmp_path):
+    table = sinks.Buckets(spark, str(tmp_path / "t"), "sha1", 4)
+    late = spark.createDataFrame([("b", "malware"), ("zz", "pua")], "sha1 string, classification string")
+    assert pipelines.late_verdicts(table, late) == 0
+    rows = spark.createDataFrame([(k, 1, "unknown") for k in "abc"], "sha1 string, n int, classification string")
+    table.merge(rows, lambda base, new: dedup.insert_ignore(base, new, "sha1", [F.asc("n")]))
+    assert 1 <= pipelines.late_verdicts(table, late) <= 2
+    assert sorted((r.sha1, r.n, r.classification) for r in table.read().collect()) == [("a", 1, "unknown"), ("b", 1, "malware"), ("c", 1, "unknown")]
