@@ -49,6 +49,7 @@ NARROW, NARROW_GIVEN = 16, 2
 _ALL_TITLES = "|".join(t for ts in TITLES.values() for t in ts)
 _FIRST = {g: [n for (_, of), names in GIVEN.items() if of == g for n in names] + list(KNOWN.get(g, ())) for g in "fmn"}
 _ALL_FIRST = "|".join(n for g in "fm" for n in _FIRST[g])
+_PAIR = r"\p{Lu}[\p{L}-]*+\.? \p{Lu}"
 _CAPITAL = r"\p{Lu}\p{Ll}++(?![\p{L}])"
 _H = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -64,15 +65,14 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "number": r"(?<![\d.,])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})(?!\d)",
     "street": r"(?<![\p{L}\d])\d{1,5}[a-z]? (?:\p{Lu}\p{Ll}++ ){1,3}(?:Street|Road|Avenue|Lane|Drive|Boulevard|Square|St|Rd|Ave)(?![\p{L}])|(?<![\p{L}])\p{Lu}\p{Ll}*(?:straße|strasse|weg|platz|allee) \d{1,5}[a-z]?(?![\p{L}\d])",
-    "name": rf"(?<![\p{{L}}])(?=\p{{Lu}})(?:(?:{_ALL_TITLES})\.? {_CAPITAL}(?: {_CAPITAL})?|(?:{_ALL_FIRST}) {_CAPITAL})",
+    "name": rf"(?<![\p{{L}}])(?={_PAIR})(?:(?:{_ALL_TITLES})\.? {_CAPITAL}(?: {_CAPITAL})?|(?:{_ALL_FIRST}) {_CAPITAL})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 TYPES = tuple(PATTERNS)
 _TITLES = [t for ts in TITLES.values() for t in ts]
-#: What every entity holds a part of; a text without a match has none, and the long pattern need not run. Titles are
-#: told by their first letters and by any of their ends, which is quick and lets no title slip; so are given names.
-_GATE_WORDS = [*_TITLES, *(n for g in "fm" for n in _FIRST[g])]
-GATE = rf"[0-9@=:]|[{''.join(sorted({t[0] for t in _GATE_WORDS}))}](?:{'|'.join(sorted({t[1:] for t in _GATE_WORDS}))})\.? \p{{Lu}}|[A-Fa-f]{{32}}|AKIA|sk-|gh[pousr]_"
+#: What every entity holds a part of; a text without a match has none, and the long pattern need not run. Names are looked
+#: for only where a word with a capital comes before another.
+GATE = rf"[0-9@=:]|(?<![\p{{L}}])(?={_PAIR})(?:{_ALL_TITLES}|{_ALL_FIRST})\.? \p{{Lu}}|[A-Fa-f]{{32}}|AKIA|sk-|gh[pousr]_"
 
 
 def entities(text: Column) -> Column:
@@ -240,9 +240,10 @@ def surrogate(entity: Column, key: str, attempt_of: Callable[[Column, Column], C
     return _let(parts(entity), lambda ps: F.concat_ws(" ", ps[0]["title"], F.transform(ps, made)))
 
 
-def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """kind, canon, attempt of the entities that had to draw again, when no replacement collides any more."""
-    every = docs.select(F.explode(F.array_distinct(entities(F.col(text)))).alias("entity")).distinct()
+def attempts(found: DataFrame, key: str) -> DataFrame:
+    """kind, canon, attempt of the entities (array column `e`) that had to draw again, when no replacement collides any
+    more."""
+    every = found.select(F.explode("e").alias("entity")).distinct()
     spelled = every.select(F.explode(parts(F.col("entity"))).alias("p")).groupBy("p.kind", "p.canon").agg(F.min("p.part").alias("part"))
     state = written(spelled.withColumn("attempt", F.lit(0)), "pii-entities")
     real = state.select(F.col("canon").alias("to")).distinct().withColumn("real", F.lit(True))
@@ -274,12 +275,13 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     counts = ["n_entities", *(f"n_{t}" for t in TYPES)]
     base = without(docs, *counts)
-    redrawn = written(attempts(base.select(text), key, text), "pii-again")
+    held = written(base.select(F.xxhash64(text).alias("_h"), F.array_distinct(entities(F.col(text))).alias("e")).where(F.size("e") > 0), "pii-held")
+    redrawn = written(attempts(held, key), "pii-again")
     if redrawn.isEmpty():
         first = lambda k, c: F.lit(0)
         found = base.withColumn("_e", entities(F.col(text))).withColumn("_to", F.transform("_e", lambda e: surrogate(e, key, first)))
     else:
-        own = base.select(F.xxhash64(text).alias("_h"), F.explode(F.array_distinct(entities(F.col(text)))).alias("entity")).distinct()
+        own = held.select("_h", F.explode("e").alias("entity")).distinct()
         own = own.select("_h", F.explode(parts(F.col("entity"))).alias("p")).select("_h", "p.kind", "p.canon").join(redrawn, ["kind", "canon"])
         of = own.groupBy("_h").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canon"), F.col("attempt")))).alias("_m"))
         joined = base.withColumn("_h", F.xxhash64(text)).join(of, "_h", "left").drop("_h").withColumn("_e", entities(F.col(text)))
