@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import CHUNK_BYTES, chunks, mix, utf8, written
+from quarry.llm.common import chunks, mix, utf8, written
 
 ORDER = 6
 BLANK = 32
 #: Bytes of the arrays that are broadcast at once.
 MODEL_BYTES = 256 << 20
-#: N-grams that a task adds up before it sends them on.
-HELD_GRAMS = 4_000_000
+#: N-grams that a task adds up before it sends them on, and bytes of text whose n-grams it sorts at once.
+HELD_GRAMS, RUN_BYTES = 2_000_000, 1 << 20
 #: Bins per unit of ln(perplexity) in the histograms.
 BINS = 200
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -67,11 +67,11 @@ def placed(texts: list[bytes]) -> Iterator[tuple[int, bool, np.ndarray]]:
     text's place in the run; with the place of the first text, and whether the run is only a part of one long text.
     A text starts after blanks."""
     blank = b" " * (ORDER - 1)
-    for a, b in chunks(texts):
-        if b == a + 1 and len(texts[a]) > CHUNK_BYTES:
-            for i in range(0, len(texts[a]), CHUNK_BYTES):
+    for a, b in chunks(texts, RUN_BYTES):
+        if b == a + 1 and len(texts[a]) > RUN_BYTES:
+            for i in range(0, len(texts[a]), RUN_BYTES):
                 before = texts[a][i - ORDER + 1 : i] if i else blank
-                yield a, True, np.sort(grams(_FOLD[np.frombuffer(before + texts[a][i : i + CHUNK_BYTES], np.uint8)]) << np.uint64(16))
+                yield a, True, np.sort(grams(_FOLD[np.frombuffer(before + texts[a][i : i + RUN_BYTES], np.uint8)]) << np.uint64(16))
             continue
         for c in range(a, b, 1 << 16):
             own = texts[c : min(b, c + (1 << 16))]
@@ -259,12 +259,13 @@ def _find(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> tupl
 def _arrays(rows: DataFrame, value: str) -> Arrays:
     """Collect (lang, k, key, value) as sorted arrays."""
     table = rows.select("lang", "k", "key", F.log2(value).cast("float").alias("v")).toArrow()
-    lang, k = table.column("lang").to_numpy(zero_copy_only=False), table.column("k").to_numpy()
-    key, v = table.column("key").to_numpy().astype(np.uint64), table.column("v").to_numpy()
+    named = table.column("lang").combine_chunks().dictionary_encode()
+    lang, k = named.indices.to_numpy(), table.column("k").to_numpy()
+    key, v = table.column("key").to_numpy().view(np.uint64), table.column("v").to_numpy()
     out = {}
-    for one in sorted(set(lang)):
+    for i, one in enumerate(named.dictionary.to_pylist()):
         for order in range(1, ORDER + 1):
-            own = np.flatnonzero((lang == one) & (k == order))
+            own = np.flatnonzero((lang == i) & (k == order))
             by = own[np.argsort(key[own])]
             out[one, order] = key[by], v[by]
     return out
