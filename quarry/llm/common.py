@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -93,16 +93,22 @@ def marked(df: DataFrame, key: str, ids: DataFrame, out: str = "_in") -> DataFra
     return both.select(*df.columns, hit.alias(out))
 
 
-def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Index ranges of whole texts of about `limit` bytes together."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
+def spans(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Index ranges of whole items of about `limit` together."""
+    start = size = end = 0
+    for i, n in enumerate(sizes):
+        if size and size + n > limit:
             yield start, i
             start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        size += n
+        end = i + 1
+    if start < end:
+        yield start, end
+
+
+def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Index ranges of whole texts of about `limit` bytes together."""
+    return spans(map(len, texts), limit)
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:

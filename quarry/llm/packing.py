@@ -12,15 +12,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import chunks, written
+from quarry.llm.common import spans, written
 from quarry.llm.tokens import encoder
 
 DIMENSIONS, DEPTH = 3, 10
-#: Characters of whole texts that are encoded together.
-ENCODE_CHARS = 1 << 20
+#: Bytes of whole texts that are taken out of Arrow and encoded together.
+ENCODE_BYTES = 1 << 18
 SIGNS = np.random.RandomState(7).choice(np.array([-1, 1], np.int8), size=(DIMENSIONS, 1 << 16))
 
 
@@ -74,9 +75,9 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in chunks(texts, ENCODE_CHARS):  # type: ignore[arg-type]
-                flat, counts = encode(texts[a:b])
+            sizes = pc.fill_null(pc.binary_length(batch.column("text").cast(pa.binary())), 0)
+            for a, b in spans(sizes.to_pylist(), ENCODE_BYTES):
+                flat, counts = encode([t or "" for t in batch.column("text").slice(a, b - a).to_pylist()])
                 keys = curve_keys(flat, counts)
                 ends = np.cumsum(counts).tolist()
                 own = [np.append(flat[i:j], np.uint32(end_id)) for i, j in zip([0, *ends], ends, strict=False)]

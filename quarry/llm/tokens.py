@@ -15,19 +15,23 @@ from functools import lru_cache
 
 import numpy as np
 
-from quarry.llm.common import mix
+from quarry.llm.common import chunks, mix
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: The characters of the pattern's white space, and its contractions.
 WHITE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
+#: Characters that the splitter is shown at once, and pieces that are learned at once: tokenizers takes some hundred
+#: bytes for each, and what it frees stays with the process.
+PROBE_CHARS, LEARN_PIECES = 1 << 14, 1 << 12
 
 
 @lru_cache(maxsize=2)
 def classes(path: str) -> np.ndarray:
     """Class of each code point, as the tokenizer's own splitter sees it: runs of one class in Python's tables are tried
     on the splitter, each after a character that is surely of that class, and where a run falls apart (their Unicode
-    versions differ) its characters are tried one by one."""
+    versions differ) its characters are tried one by one. Long runs are cut, and no call sees more than `PROBE_CHARS`
+    characters and a run."""
     out = np.full(0x110000, OTHER, np.uint8)
     for i in range(0x110000):
         kind = unicodedata.category(chr(i))[0]
@@ -35,15 +39,18 @@ def classes(path: str) -> np.ndarray:
             out[i] = LETTER if kind == "L" else NUMBER
     out[list(WHITE)] = SPACE
     leads = {LETTER: "a", NUMBER: "1", OTHER: "!", SPACE: "!"}
-    edges = sorted({*(np.flatnonzero(out[1:] != out[:-1]) + 1).tolist(), 0, 0xD800, 0xE000, 0x110000})  # no surrogates
-    runs = [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if a != 0xD800]
+    edges = sorted({*(np.flatnonzero(out[1:] != out[:-1]) + 1).tolist(), *range(0, 0x110000, PROBE_CHARS), 0xD800, 0xE000, 0x110000})
+    runs = [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if not 0xD800 <= a < 0xE000]  # no surrogates
     split = _tokenizer(path).pre_tokenizer.pre_tokenize_str
 
     def whole(tries: list[str]) -> list[bool]:
         """Whether each string, on a line of its own, stays in one piece."""
-        have = {spot for _, spot in split("\n" + "\n".join(tries))}
-        begin = np.cumsum([1, *(len(t) + 1 for t in tries)])[:-1].tolist()
-        return [(a, a + len(t)) in have for a, t in zip(begin, tries, strict=True)]
+        out: list[bool] = []
+        for i, j in chunks(tries, PROBE_CHARS):  # type: ignore[arg-type]
+            have = {spot for _, spot in split("\n" + "\n".join(tries[i:j]))}
+            begin = np.cumsum([1, *(len(t) + 1 for t in tries[i:j])])[:-1].tolist()
+            out += [(a, a + len(t)) in have for a, t in zip(begin, tries[i:j], strict=True)]
+        return out
 
     text = lambda a, b: "".join(map(chr, range(a, b)))
     sure = whole([leads[int(out[a])] + text(a, b) for a, b in runs])
@@ -169,10 +176,15 @@ class Encoder:
         self.begin, self.uses = ends - self.count, np.zeros(len(ends), np.int64)
 
     def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
-        found = self.own.encode(pieces, is_pretokenized=True, add_special_tokens=False)  # each piece by itself
-        count = np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+        ids, counts = [], []
+        for i in range(0, len(pieces), LEARN_PIECES):
+            part = pieces[i : i + LEARN_PIECES]
+            found = self.own.encode(part, is_pretokenized=True, add_special_tokens=False)  # each piece by itself
+            counts.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
+            ids.append(np.array(found.ids, np.uint32))
+        count = np.concatenate(counts)
         begin = len(self.pool) + np.cumsum(count) - count
-        self.pool = np.concatenate([self.pool, np.array(found.ids, np.uint32)])
+        self.pool = np.concatenate([self.pool, *ids])
         by = np.argsort(np.concatenate([self.key, keys]), kind="stable")
         new = (keys, checks, begin, count, np.zeros(len(keys), np.int64))
         old = (self.key, self.check, self.begin, self.count, self.uses)

@@ -1,7 +1,10 @@
 """Each operator against a brute-force version, and on rows that are odd in some way."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import brute
@@ -342,6 +345,48 @@ def test_tokens_equal_the_tokenizer():
     assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
 
 
+#: Prints by how many MB the memory of a worker's encoder grows: for its classes, and for learning 200,000 pieces at once.
+ENCODER_MEMORY = """
+import re, numpy as np
+from quarry.llm import packing, queries, tokens
+most = lambda: int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+path = queries.tokenizer_path()
+tokens._tokenizer(path), tokens._plain(path)
+at = most()
+encode = tokens.encoder(path)
+print(most() - at)
+text = "".join(f" {i:x}" for i in range(200_000)).translate(str.maketrans("0123456789", "ghijklmnop"))
+at = most()
+encode([text])
+print(most() - at)
+"""
+
+
+def test_encoder_takes_little_memory():
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(queries.__file__))))
+    said = subprocess.run([sys.executable, "-c", ENCODER_MEMORY], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert int(said[0]) < 64 and int(said[1]) < 120, said
+
+
+def test_tokens_in_small_blocks_are_the_same(monkeypatch):
+    path = queries.tokenizer_path()
+    whole, r = tokens.classes(path), random.Random(9)
+    monkeypatch.setattr(tokens, "PROBE_CHARS", 1 << 12)
+    monkeypatch.setattr(tokens, "LEARN_PIECES", 7)
+    assert (tokens.classes.__wrapped__(path) == whole).all()
+    texts = ["".join(chr(r.choice([32, 39, 49, 65, 97, 0xE9, 0x6F22, 0x1F600])) for _ in range(r.randint(0, 60))) for _ in range(300)]
+    ids, counts = tokens.Encoder(path)(texts)
+    want = [e.ids for e in tokens._tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
+def test_packing_in_small_blocks_is_the_same(spark, odd, monkeypatch):
+    want = sorted(map(tuple, packing.pack(frame(spark, odd), queries.tokenizer_path(), length=64).collect()), key=str)
+    for size in (1, 50):
+        monkeypatch.setattr(packing, "ENCODE_BYTES", size)
+        assert sorted(map(tuple, packing.pack(frame(spark, odd), queries.tokenizer_path(), length=64).collect()), key=str) == want
+
+
 def test_hilbert_walks_through_neighbours():
     grid = np.array([(x, y, z) for x in range(8) for y in range(8) for z in range(8)])
     by = grid[np.argsort(packing.hilbert(grid, 3))]
