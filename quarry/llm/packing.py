@@ -68,6 +68,21 @@ def curve_keys(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return hilbert(cells.astype(np.int64))
 
 
+def stored(flat: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[pa.Array, pa.Array]:
+    """Whether each document has an id over 16 bits, and its ids, then `end_id`, in as many bits."""
+    own = np.full(len(flat) + len(counts), end_id, np.uint32)
+    ends = np.cumsum(counts + 1)
+    inner = np.ones(len(own), bool)
+    inner[ends - 1] = False
+    own[inner] = flat
+    if int(own.max(initial=0)) <= 0xFFFF and 2 * len(own) < 1 << 31:
+        borders = np.append(0, 2 * ends).astype(np.int32)
+        return pa.array(np.zeros(len(counts), bool)), pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(borders), pa.py_buffer(own.astype("<u2"))])
+    each = np.split(own, ends[:-1])
+    wide = [bool(x.max() > 0xFFFF) for x in each]
+    return pa.array(wide), pa.array([x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(each, wide, strict=True)], pa.binary())
+
+
 def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id, key, doc_tokens and ids (little-endian, 16 bits where all ids fit, else 32) of each row."""
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, doc_tokens long, wide boolean, ids binary"
@@ -79,13 +94,8 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
             for a, b in spans(sizes.to_pylist(), ENCODE_BYTES):
                 flat, counts = encode([t or "" for t in batch.column("text").slice(a, b - a).to_pylist()])
                 keys = curve_keys(flat, counts)
-                ends = np.cumsum(counts).tolist()
-                own = [np.append(flat[i:j], np.uint32(end_id)) for i, j in zip([0, *ends], ends, strict=False)]
-                wide = [bool(x.max() > 0xFFFF) for x in own]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(keys), pa.array(counts + 1), pa.array(wide), pa.array([x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(own, wide, strict=True)], pa.binary())],
-                    names=["doc_id", "key", "doc_tokens", "wide", "ids"],
-                )
+                wide, ids = stored(flat, counts, end_id)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(keys), pa.array(counts + 1), wide, ids], names=["doc_id", "key", "doc_tokens", "wide", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

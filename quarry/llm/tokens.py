@@ -2,8 +2,8 @@
 
 The splitter reproduces the public byte-level pattern
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
-over an array of character classes; BPE works inside each piece, so ids of pieces, taken from the tokenizers library and
-kept in a bounded memory by a 128-bit hash, join to the ids of the text.
+over an array of character classes; BPE works inside each piece, so ids of pieces, taken from the tokenizers library's
+model and kept in a bounded memory by a 128-bit hash, join to the ids of the text.
 """
 
 from __future__ import annotations
@@ -12,8 +12,11 @@ import json
 import os
 import unicodedata
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
+import xxhash
 
 from quarry.llm.common import chunks, mix
 
@@ -33,10 +36,10 @@ def classes(path: str) -> np.ndarray:
     versions differ) its characters are tried one by one. Long runs are cut, and no call sees more than `PROBE_CHARS`
     characters and a run."""
     out = np.full(0x110000, OTHER, np.uint8)
-    for i in range(0x110000):
-        kind = unicodedata.category(chr(i))[0]
-        if kind in "LN":
-            out[i] = LETTER if kind == "L" else NUMBER
+    for i in range(0, 0x110000, PROBE_CHARS):
+        own = out[i : i + PROBE_CHARS]
+        kinds = np.frombuffer("".join(map(unicodedata.category, map(chr, range(i, i + len(own))))).encode(), np.uint8)[::2]  # "Lu", "Nd"
+        own[kinds == ord("L")], own[kinds == ord("N")] = LETTER, NUMBER
     out[list(WHITE)] = SPACE
     leads = {LETTER: "a", NUMBER: "1", OTHER: "!", SPACE: "!"}
     edges = sorted({*(np.flatnonzero(out[1:] != out[:-1]) + 1).tolist(), *range(0, 0x110000, PROBE_CHARS), 0xD800, 0xE000, 0x110000})
@@ -91,26 +94,45 @@ def cuts(text: str, begins: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-#: Two odd bases of polynomial hashes modulo 2**64; a piece is known by both together.
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-
-
-#: Characters hashed at once; only a longer piece exceeds it.
-HASH_CHARS = 1 << 18
-
-
-class Powers:
-    """Powers of a base and of its inverse modulo 2**64, as far as needed so far."""
+#: Bytes of a piece, from the lowest, that lie in its last eight.
+TAIL = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
+#: Pieces of more bytes than this are hashed one by one.
+HASH_BYTES = 64
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each piece; a piece is known by both together. Eight bytes are mixed in at a time; where there are
+    no more, the first hash tells pieces of one length apart for sure."""
+    at8 = np.ndarray((len(data),), "<u8", data + bytes(8), strides=(1,))  # the eight bytes from each place on
+    size = ends - starts
+    with np.errstate(over="ignore"):
+        part = at8[starts] & TAIL[np.minimum(size, 8)]
+        plus = part + size.astype(np.uint64) * _ODD
+        one, two = mix(plus), mix(plus * _ODD ^ part)
+        todo = np.flatnonzero((size > 8) & (size <= HASH_BYTES))
+        at, left = starts[todo] + 8, size[todo] - 8
+        while len(todo):
+            part = at8[at] & TAIL[np.minimum(left, 8)]
+            one[todo], two[todo] = mix(one[todo] ^ part), mix(two[todo] * _ODD + part)
+            more = left > 8
+            todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > HASH_BYTES).tolist():
+        both = xxhash.xxh3_128_intdigest(data[int(starts[i]) : int(ends[i])])
+        one[i], two[i] = both >> 64, both & 0xFFFFFFFFFFFFFFFF
+    return one, two
+
+
+def byte_letters() -> np.ndarray:
+    """The character by which the byte-level splitter tells each byte: itself where it can be seen, else one past 255."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    out = np.zeros(256, np.uint16)
+    out[seen] = seen
+    out[out == 0] = 256 + np.arange(256 - len(seen))
+    return out
 
-    def __init__(self, base: int) -> None:
-        self.base, self.inverse, self.up, self.down = base, pow(base, -1, 1 << 64), np.ones(1, np.uint64), np.ones(1, np.uint64)
 
-    def reach(self, n: int) -> None:
-        while len(self.up) < n:
-            k = len(self.up)
-            with np.errstate(over="ignore"):
-                self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, k, 1 << 64))])
-                self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.inverse, k, 1 << 64))])
+LETTERS = byte_letters()
 
 
 @lru_cache(maxsize=2)
@@ -124,71 +146,109 @@ def _tokenizer(path: str):  # noqa: ANN202
 
 
 def _plain(path: str) -> bool:
-    """Whether the file splits by the public pattern, into bytes, with nothing done before."""
+    """Whether the file splits by the public pattern, into bytes, with nothing done or taken out before."""
     with open(path, encoding="utf-8") as f:
         said = json.load(f)
     split = said.get("pre_tokenizer") or {}
+    if not all(t.get("special") for t in said.get("added_tokens") or []) or said.get("truncation") or said.get("padding"):
+        return False
     return said.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
 
 
+#: What is remembered of a piece: two hashes, its ids' place in the pool and number, and in how many calls it was seen.
+FIELDS = {"key": np.uint64, "check": np.uint64, "begin": np.int64, "count": np.int64, "uses": np.int32}
+
+
 class Encoder:
-    """ids of texts, as uint32 arrays. Remembers at most about `most` pieces: past that, those seen again."""
+    """ids of texts, as uint32 arrays. Remembers at most about `most` pieces: past that, those seen again.
+
+    Known pieces lie in arrays with room to grow, so learning some moves no others, and are found by open addressing:
+    `slots` has a piece's number at its key or, where others came before, at the next free place. Number 0 is none."""
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 800_000) -> None:
         self.own, self.most = _tokenizer(path), most
         self.kinds = classes(path) if _plain(path) else None
-        self.powers = [Powers(b) for b in BASES]
-        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.begin, self.count, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+        self.tokenize = self.own.model.tokenize
+        for name, kind in FIELDS.items():
+            setattr(self, name, np.zeros(1, kind))
         self.pool = np.zeros(0, np.uint32)
-
-    def _hashes(self, code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two hashes of each piece, over blocks of whole pieces so that powers and sums stay short."""
-        out = np.zeros((2, len(starts)), np.uint64)
-        i = 0
-        while i < len(starts):
-            j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASH_CHARS, "right")))
-            low = int(starts[i])
-            plus = code[low : int(ends[j - 1])].astype(np.uint64) + np.uint64(1)
-            for h, p in enumerate(self.powers):
-                p.reach(len(plus) + 1)
-                with np.errstate(over="ignore"):
-                    total = np.zeros(len(plus) + 1, np.uint64)
-                    np.cumsum(plus * p.up[: len(plus)], out=total[1:])
-                    out[h, i:j] = mix((total[ends[i:j] - low] - total[starts[i:j] - low]) * p.down[starts[i:j] - low])
-            i = j
-        return out[0], out[1]
-
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each key among the known ones, and whether it is there."""
-        if not len(self.key):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
-        return at, self.key[at] == keys
+        self._keep(np.zeros(0, np.int64))
+
+    def _ids(self, which: np.ndarray) -> np.ndarray:
+        """The ids of pieces, one after another."""
+        n = self.count[which]
+        ends = np.cumsum(n)
+        return self.pool[np.repeat(self.begin[which] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
+
+    def _keep(self, which: np.ndarray) -> None:
+        """Only these of the known pieces."""
+        ids, room = self._ids(which), max(self.most + (self.most >> 2), len(which)) + 1
+        self.begin[which] = np.cumsum(self.count[which]) - self.count[which]
+        self.uses[which] = 0
+        for name, kind in FIELDS.items():
+            fresh = np.zeros(room, kind)
+            fresh[1 : len(which) + 1] = getattr(self, name)[which]
+            setattr(self, name, fresh)
+        self.pool = np.zeros(max(4 * room, len(ids)), np.uint32)
+        self.pool[: len(ids)] = ids
+        self.known, self.ids = len(which) + 1, len(ids)
+        self._place()
+
+    def _place(self) -> None:
+        """A table at most half full of all known pieces."""
+        self.slots = np.zeros(1 << (2 * max(self.most, self.known)).bit_length(), np.int32)
+        self._insert(np.arange(1, self.known, dtype=np.int32))
+
+    def _insert(self, which: np.ndarray) -> None:
+        last = len(self.slots) - 1
+        spot = (self.key[which] & np.uint64(last)).astype(np.int64)
+        while len(which):
+            free = self.slots[spot] == 0
+            self.slots[spot[free]] = which[free]
+            rest = self.slots[spot] != which
+            which, spot = which[rest], (spot[rest] + 1) & last
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of the piece of each key, 0 where it is unknown."""
+        last = len(self.slots) - 1
+        spot = (keys & np.uint64(last)).astype(np.int64)
+        out = self.slots[spot]
+        todo = np.flatnonzero((self.key[out] != keys) & (out != 0))
+        spot = spot[todo]
+        while len(todo):
+            spot = (spot + 1) & last
+            at = self.slots[spot]
+            out[todo] = at
+            on = (self.key[at] != keys[todo]) & (at != 0)
+            todo, spot = todo[on], spot[on]
+        return out
 
     def _forget(self) -> None:
-        """Keep the pieces used more often than the median."""
-        keep = self.uses > np.sort(self.uses)[len(self.uses) // 2]
-        self.key, self.check, self.begin, self.count, self.uses = (x[keep] for x in (self.key, self.check, self.begin, self.count, self.uses))
-        ends = np.cumsum(self.count)
-        total = int(ends[-1]) if len(ends) else 0
-        self.pool = self.pool[np.repeat(self.begin - (ends - self.count), self.count) + np.arange(total)]
-        self.begin, self.uses = ends - self.count, np.zeros(len(ends), np.int64)
+        """Keep the pieces seen in more calls than the median."""
+        uses = self.uses[1 : self.known]
+        self._keep(np.flatnonzero(uses > np.sort(uses)[len(uses) // 2]) + 1)
 
     def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
-        ids, counts = [], []
+        """Pieces in the splitter's letters, each told by the tokenizer's model."""
         for i in range(0, len(pieces), LEARN_PIECES):
-            part = pieces[i : i + LEARN_PIECES]
-            found = self.own.encode(part, is_pretokenized=True, add_special_tokens=False)  # each piece by itself
-            counts.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
-            ids.append(np.array(found.ids, np.uint32))
-        count = np.concatenate(counts)
-        begin = len(self.pool) + np.cumsum(count) - count
-        self.pool = np.concatenate([self.pool, *ids])
-        by = np.argsort(np.concatenate([self.key, keys]), kind="stable")
-        new = (keys, checks, begin, count, np.zeros(len(keys), np.int64))
-        old = (self.key, self.check, self.begin, self.count, self.uses)
-        self.key, self.check, self.begin, self.count, self.uses = (np.concatenate([a, b])[by] for a, b in zip(old, new, strict=True))
+            found = list(map(self.tokenize, pieces[i : i + LEARN_PIECES]))
+            count = np.fromiter(map(len, found), np.int64, len(found))
+            total = int(count.sum())
+            ids = np.fromiter(map(attrgetter("id"), chain.from_iterable(found)), np.uint32, total)
+            a, b = self.known, self.known + len(found)
+            if b > len(self.key):
+                for name, kind in FIELDS.items():
+                    setattr(self, name, np.append(getattr(self, name), np.zeros(b, kind)))
+            if self.ids + total > len(self.pool):
+                self.pool = np.append(self.pool, np.zeros(self.ids + total, np.uint32))
+            self.pool[self.ids : self.ids + total] = ids
+            self.key[a:b], self.check[a:b] = keys[i : i + len(found)], checks[i : i + len(found)]
+            self.begin[a:b], self.count[a:b] = self.ids + np.cumsum(count) - count, count
+            self.known, self.ids = b, self.ids + total
+            if 2 * b > len(self.slots):
+                self._place()
+            else:
+                self._insert(np.arange(a, b, dtype=np.int32))
 
     def _plainly(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [np.array(e.ids, np.uint32) for e in self.own.encode_batch(texts, add_special_tokens=False)]
@@ -203,28 +263,27 @@ class Encoder:
         if self.kinds is None:
             return self._plainly(texts)
         text = "".join(texts)
-        if len(self.key) > self.most:
+        if self.known > self.most:
             self._forget()
-        starts = cuts(text, begins, self.kinds)
-        ends = np.append(starts[1:], len(text))
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        keys, checks = self._hashes(code, starts, ends)
-        each, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        at, known = self._find(each)
-        if not known.all():
-            new = first[~known]
-            self._learn(each[~known], checks[new], [text[i:j] for i, j in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-            at, known = self._find(each)
-        at = at[which]
-        if not known.all() or (self.check[at] != checks).any():  # two pieces with one key, or more pieces than fit
+        starts = first = cuts(text, begins, self.kinds)
+        data = text.encode("utf-8", "surrogatepass")
+        if len(data) > len(text):
+            starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)[starts]
+        ends = np.append(starts[1:], len(data))
+        keys, checks = hashes(data, starts, ends)
+        at = self._find(keys)
+        todo = np.flatnonzero(at == 0)
+        if len(todo):
+            new = todo[np.unique(keys[todo], return_index=True)[1]]
+            letters = LETTERS[np.frombuffer(data, np.uint8)].tobytes().decode("utf-16-le")
+            self._learn(keys[new], checks[new], [letters[i:j] for i, j in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            at[todo] = self._find(keys[todo])
+        if (self.check[at] != checks).any():  # two pieces with one key
             return self._plainly(texts)
-        self.uses += np.bincount(at, minlength=len(self.key))
-        n = self.count[at]
-        stop = np.cumsum(n)
-        ids = self.pool[np.repeat(self.begin[at] - (stop - n), n) + np.arange(stop[-1])]
+        self.uses[at] += 1
         counts = np.zeros(len(texts), np.int64)
-        counts[size > 0] = np.add.reduceat(n, np.searchsorted(starts, begins))
-        return ids, counts
+        counts[size > 0] = np.add.reduceat(self.count[at], np.searchsorted(first, begins))
+        return self._ids(at), counts
 
 
 @lru_cache(maxsize=1)

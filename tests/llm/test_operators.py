@@ -5,6 +5,7 @@ import os
 import random
 import subprocess
 import sys
+import time
 import zlib
 
 import brute
@@ -380,6 +381,57 @@ def test_tokens_in_small_blocks_are_the_same(monkeypatch):
     assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
 
 
+def fresh_words(seed, n=60_000):
+    r = random.Random(seed)
+    return [" " + "".join(r.choices("abcdefghijklmnopqrst", k=8)) for _ in range(n)]
+
+
+def test_learning_moves_no_known_piece_and_costs_less_than_encoding():
+    encode, spent = tokens.Encoder(queries.tokenizer_path()), []
+    encode(["what was known before"])
+    known, key, pool = encode.known, encode.key, encode.pool
+    for seed in range(3):
+        words = fresh_words(seed)
+        at = time.process_time()
+        ids, _ = encode(["".join(words)])
+        mid = time.process_time()
+        want = encode.own.encode(words, is_pretokenized=True, add_special_tokens=False).ids
+        spent.append((mid - at) / (time.process_time() - mid))
+        assert ids.tolist() == want
+    assert encode.key is key and encode.pool is pool and encode.known > known + 150_000
+    assert min(spent) < 1, spent  # the tokenizer's own way of encoding the same pieces once
+
+
+@pytest.mark.parametrize("change", [lambda one: one << np.uint64(40), lambda one: one & np.uint64(15)], ids=["one slot", "one key"])
+def test_tokens_are_right_whatever_the_hashes(monkeypatch, change):
+    hashes = tokens.hashes
+    monkeypatch.setattr(tokens, "hashes", lambda *args: (change(hashes(*args)[0]), hashes(*args)[1]))
+    encode = tokens.Encoder(queries.tokenizer_path(), most=100)
+    for seed in range(4):
+        texts = ["".join(fresh_words(seed % 3, 300)), "", "é" * 50 + " " + "漢" * 40 + " a\x00b"]
+        ids, counts = encode(texts)
+        want = [e.ids for e in encode.own.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
+def test_hashes_tell_pieces_apart():
+    pieces = [b"\x00" * n for n in range(2, 200)] + [b"a" * n + c for n in range(200) for c in (b"b", b"c", b"\x00")]
+    ends = np.cumsum([*map(len, pieces)] * 2)
+    one, two = tokens.hashes(b"".join(pieces) * 2, np.append(0, ends[:-1]), ends)
+    n = len(pieces)
+    assert len(set(one[:n].tolist())) == len(set(two[:n].tolist())) == n
+    assert (one[:n] == one[n:]).all() and (two[:n] == two[n:]).all()
+
+
+def test_ids_are_stored_in_as_many_bits_as_they_need():
+    wide, ids = packing.stored(np.array([5, 6, 7], np.uint32), np.array([0, 2, 1, 0]), 1)
+    assert wide.to_pylist() == [False] * 4 and [np.frombuffer(x, "<u2").tolist() for x in ids.to_pylist()] == [[1], [5, 6, 1], [7, 1], [1]]
+    wide, ids = packing.stored(np.array([5, 70_000, 7], np.uint32), np.array([0, 2, 1, 0]), 1)
+    assert wide.to_pylist() == [False, True, False, False] and np.frombuffer(ids[1].as_py(), "<u4").tolist() == [5, 70_000, 1]
+    wide, ids = packing.stored(np.zeros(0, np.uint32), np.zeros(0, np.int64), 1)
+    assert len(wide) == len(ids) == 0
+
+
 def test_packing_in_small_blocks_is_the_same(spark, odd, monkeypatch):
     want = sorted(map(tuple, packing.pack(frame(spark, odd), queries.tokenizer_path(), length=64).collect()), key=str)
     for size in (1, 50):
